@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from tessella.llm.packing import op7_packing
 from tessella.llm.sharding import op6_rendezvous
+from tessella.llm.token_files import op5_token_files
 
 
 def queries() -> dict:
     return {
+        "op5_token_files": op5_token_files,
         "op6_rendezvous": op6_rendezvous,
+        "op7_packing": op7_packing,
     }
 
 
