@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+from tessella.llm.chat import OP3_SQL, op3_chat
 from tessella.llm.packing import op7_packing
 from tessella.llm.sharding import op6_rendezvous
 from tessella.llm.token_files import op5_token_files
+from tessella.llm.warc import OP9_SQL, op9_warc
 
 
 def queries() -> dict:
     return {
+        "op3_chat": op3_chat,
         "op5_token_files": op5_token_files,
         "op6_rendezvous": op6_rendezvous,
         "op7_packing": op7_packing,
+        "op9_warc": op9_warc,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_chat": OP3_SQL, "op9_warc": OP9_SQL}
