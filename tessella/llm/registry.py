@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tessella.llm.chat import OP3_SQL, op3_chat
+from tessella.llm.jaccard_join import op2_jaccard_join
 from tessella.llm.packing import op7_packing
 from tessella.llm.sharding import op6_rendezvous
 from tessella.llm.token_files import op5_token_files
@@ -11,6 +12,7 @@ from tessella.llm.warc import OP9_SQL, op9_warc
 
 def queries() -> dict:
     return {
+        "op2_jaccard_join": op2_jaccard_join,
         "op3_chat": op3_chat,
         "op5_token_files": op5_token_files,
         "op6_rendezvous": op6_rendezvous,
