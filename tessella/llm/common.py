@@ -33,6 +33,11 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, size: str = "8m") -> None:
+    """Arrow batches to Python of at most this size, so that very long texts come one by one."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -46,7 +51,7 @@ def doc_key(column: str = "doc_id") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit("null"))
 
 
-def slices(batches: Iterator, max_bytes: int = 1 << 22) -> Iterator:
+def slices(batches: Iterator, max_bytes: int = 1 << 21) -> Iterator:
     """Cut Arrow batches so that each holds about ``max_bytes`` or one row."""
     for batch in batches:
         rows = batch.num_rows

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessella.llm.common import slices, table, text_or_empty
+from tessella.llm.common import slices, small_batches, table, text_or_empty
 
 WINDOW, END_ID = 4096, 2
 #: Tokens packed together: 64 MB of ids.
@@ -88,7 +88,7 @@ def pack_documents(docs: DataFrame, vocabulary: str, window: int = WINDOW, batch
 
         tokens, used, held, size = encoder(vocabulary), TaskContext.get().partitionId() << 40, [], 0
         for batch in slices(batches):
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), tokens.encode(batch.column("text").to_pylist()), strict=True):
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), tokens.encode(batch.column("text")), strict=True):
                 held.append((doc_id, np.append(ids, np.uint32(END_ID)).astype("<u4")))
                 size += len(ids) + 1
                 if size >= batch_tokens:
@@ -130,5 +130,6 @@ def pack_documents(docs: DataFrame, vocabulary: str, window: int = WINDOW, batch
 
 
 def op7_packing(spark, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     pieces = pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessella.llm.common import doc_key, materialise, scratch_path, slices, table, text_or_empty
+from tessella.llm.common import doc_key, materialise, scratch_path, slices, small_batches, table, text_or_empty
 
 MAGIC, TRAILER, END_ID = b"TESSIDS1", b"TESSIDX1", 2
 INDEX = np.dtype([("null", "u1"), ("doc_id", "<i8"), ("offset", "<u8"), ("size", "<u8"), ("tokens", "<u8")])
@@ -79,7 +79,7 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str) -> None:
             rows = [] if index else [MAGIC + dictionary_hash(dictionary)]
             entries = np.zeros(batch.num_rows, dtype=INDEX)
             offset = offset or len(rows[0]) + 1
-            for i, (doc_id, ids) in enumerate(zip(batch.column("doc_id").to_pylist(), tokens.encode(batch.column("text").to_pylist()), strict=True)):
+            for i, (doc_id, ids) in enumerate(zip(batch.column("doc_id").to_pylist(), tokens.encode(batch.column("text")), strict=True)):
                 frame = pack.compress(np.append(ids, np.uint32(END_ID)).astype("<u4").tobytes())
                 entries[i] = (doc_id is None, doc_id or 0, offset, len(frame), len(ids) + 1)
                 rows.append(frame)
@@ -161,6 +161,7 @@ def with_start(rows: DataFrame) -> DataFrame:
 
 
 def op5_token_files(spark, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     path = scratch_path(spark, "token-ids")
     write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
     read = read_token_files(spark, path).select("part", "before", "doc_id", "n_tokens", F.crc32("ids").alias("ids_crc32"))

@@ -4,20 +4,22 @@ Both vocabularies never let a token span a space that stands before a visible
 character: the byte-level one begins a new piece at such a space, the word-level
 one drops white space. A text cut there therefore has the ids of its pieces, one
 after the other, and a piece that was seen before needs no second encoding.
+Pieces are found and looked up by 64-bit hashes of their bytes, in arrays.
 """
 
 from __future__ import annotations
 
-import re
-from collections.abc import Sequence
-
 import numpy as np
+import pyarrow as pa
+
+from tessella.llm.words import BLOCK, SALT, polynomial, mix, text_buffers
+
+#: Pieces kept, bytes over which a piece is not kept, and pieces encoded in one call.
+CACHE, LONGEST, TOGETHER = 2_500_000, 64, 500
 
-#: A space before a character that is neither white space nor near the white space outside ASCII.
-CUT = re.compile(" (?=[!-~À-῿])")
-UNSAFE = re.compile(" (?![!-~À-῿])")
-#: Pieces kept, and the length over which a piece is not kept.
-CACHE, LONGEST = 600_000, 64
+#: First bytes of characters that surely are visible: not of white space outside ASCII (after 0xC2, 0xE1, 0xE2, 0xE3).
+_VISIBLE = np.zeros(256, dtype=bool)
+_VISIBLE[0x21:0x7F] = _VISIBLE[0xC3:0xE1] = _VISIBLE[0xE4:0xF5] = True
 
 
 class ChunkEncoder:
@@ -28,61 +30,108 @@ class ChunkEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        words = self.tokenizer.get_vocab()
+        #: In a row of plain words, a token with this mark ends a word (word level) or begins one (byte level).
+        self.ends = any(w.endswith("</w>") for w in list(words)[:1000])
+        self.mark = np.zeros(max(words.values()) + 1, dtype=bool)
+        self.mark[[i for w, i in words.items() if (w.endswith("</w>") if self.ends else w.startswith("Ġ"))]] = True
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[str, int] = {}
+        self.levels: list[tuple[np.ndarray, np.ndarray]] = []  # sorted hashes and numbers; sizes grow towards the front
         self.ids = np.zeros(1 << 20, dtype=np.uint32)
         self.first = np.zeros(1 << 18, dtype=np.int64)
-        self.count = np.zeros(1 << 18, dtype=np.int64)
-        self.known = self.used = 0
-
-    def learn(self, pieces: list[str]) -> None:
-        """A piece stands for a space and what follows; one that begins with NUL, for what follows the NUL."""
-        for at in range(0, len(pieces), 20_000):
-            some = pieces[at : at + 20_000]
-            found = [e.ids for e in self.tokenizer.encode_batch_fast([p[1:] if p[:1] == "\0" else " " + p for p in some], add_special_tokens=False)]
+        self.count = np.zeros(1 << 18, dtype=np.int32)
+        self.used = self.known = 0
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """Numbers of the sorted hashes, -1 for unknown ones."""
+        numbers = np.full(len(hashes), -1, dtype=np.int64)
+        left = np.arange(len(hashes))
+        for keys, values in self.levels:
+            at = np.minimum(np.searchsorted(keys, hashes[left]), len(keys) - 1)
+            hit = keys[at] == hashes[left]
+            numbers[left[hit]] = values[at[hit]]
+            left = left[~hit]
+        return numbers
+
+    def keep(self, hashes: np.ndarray, numbers: np.ndarray) -> None:
+        self.levels.append((hashes, numbers))
+        while len(self.levels) > 1 and len(self.levels[-2][0]) < 4 * len(self.levels[-1][0]):
+            (a, x), (b, y) = self.levels.pop(), self.levels.pop()
+            keys, values = np.concatenate([b, a]), np.concatenate([y, x])
+            order = np.argsort(keys, kind="stable")
+            self.levels.append((keys[order], values[order]))
+
+    def store(self, numbers: np.ndarray, flat: np.ndarray, count: np.ndarray) -> None:
+        while self.used + len(flat) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[self.used : self.used + len(flat)] = flat
+        self.first[numbers] = self.used + np.cumsum(count) - count
+        self.count[numbers] = count
+        self.used += len(flat)
+
+    def learn(self, pieces: list[str]) -> np.ndarray:
+        """Encode new pieces and return their numbers. Spaces with words of ASCII letters are encoded many in one call."""
+        start, self.known = self.known, self.known + len(pieces)
+        while self.known > len(self.first):
+            self.first = np.concatenate([self.first, np.zeros_like(self.first)])
+            self.count = np.concatenate([self.count, np.zeros_like(self.count)])
+        plain = np.fromiter((p[:1] == " " and p.isascii() and p[1:].isalpha() for p in pieces), dtype=bool, count=len(pieces))
+        words, others = np.flatnonzero(plain), np.flatnonzero(~plain)
+        for at in range(0, len(words), 20_000):
+            some = words[at : at + 20_000]
+            rows = ["".join([pieces[i] for i in some[k : k + TOGETHER].tolist()]) for k in range(0, len(some), TOGETHER)]
+            flat = np.concatenate([np.array(e.ids, dtype=np.uint32) for e in self.tokenizer.encode_batch_fast(rows, add_special_tokens=False)])
+            edge = np.flatnonzero(self.mark[flat])
+            count = np.diff(edge, prepend=-1) if self.ends else np.diff(edge, append=len(flat))
+            if len(count) != len(some):
+                raise ValueError("the vocabulary does not mark the borders of words")
+            self.store(start + some, flat, count)
+        for at in range(0, len(others), 20_000):
+            some = others[at : at + 20_000]
+            found = [e.ids for e in self.tokenizer.encode_batch_fast([pieces[i] for i in some.tolist()], add_special_tokens=False)]
             count = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-            flat = np.fromiter((i for ids in found for i in ids), dtype=np.uint32, count=int(count.sum()))
-            known = self.known
-            while known + len(some) > len(self.first):
-                self.first = np.concatenate([self.first, np.zeros_like(self.first)])
-                self.count = np.concatenate([self.count, np.zeros_like(self.count)])
-            while self.used + len(flat) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            self.ids[self.used : self.used + len(flat)] = flat
-            self.first[known : known + len(some)] = self.used + np.cumsum(count) - count
-            self.count[known : known + len(some)] = count
-            self.used += len(flat)
-            self.known += len(some)
-            self.index.update(zip(some, range(known, known + len(some)), strict=True))
-
-    def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
-        """An array of ids for each text."""
-        parts: list[str] = []
-        ends = []
-        for text in texts:
-            if text:
-                # NUL marks a piece without a space before it, also where a text itself has NULs
-                cut = text.split(" ") if not UNSAFE.search(text) and text[0] != " " else CUT.split(text)
-                parts.append("\0" + cut[0])
-                if len(cut) > 1:
-                    parts.extend(cut[1:] if "\0" not in text else [("\0 " + p) if p[:1] == "\0" else p for p in cut[1:]])
-            ends.append(len(parts))
-        missing = list({p for p in parts if p not in self.index})
-        if self.known + len(missing) > CACHE:
+            self.store(start + some, np.fromiter((i for ids in found for i in ids), dtype=np.uint32, count=int(count.sum())), count)
+        return np.arange(start, self.known)
+
+    def numbers(self, data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The number of each piece of ``data``."""
+        hashes = mix(polynomial(data, begins, ends) + (ends - begins).astype(np.uint64) * SALT[13])
+        unique, sample, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        number = self.find(unique)
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            a, b, raw = begins[sample[new]], ends[sample[new]], data.tobytes()
+            number[new] = self.learn([raw[i:j].decode() for i, j in zip(a.tolist(), b.tolist(), strict=True)])
+            short = (b - a) <= LONGEST
+            if short.any():
+                self.keep(unique[new[short]], number[new[short]])
+        return number[inverse]
+
+    def encode(self, texts) -> list[np.ndarray]:
+        """An array of ids for each text of a list or an Arrow column; null is empty."""
+        if self.known > CACHE or self.used > 8 * CACHE:
             self.clear()
-            missing = list(set(parts))
-        self.learn(missing)
-        at = np.fromiter(map(self.index.__getitem__, parts), dtype=np.int64, count=len(parts))
-        count = self.count[at]
+        data, offsets = text_buffers(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()))
+        if not len(data):
+            return [np.zeros(0, dtype=np.uint32) for _ in range(len(offsets) - 1)]
+        cut = np.zeros(len(data) + 1, dtype=bool)
+        cut[:-2] = (data[:-1] == 0x20) & _VISIBLE[data[1:]]
+        cut[offsets] = True
+        edges = np.flatnonzero(cut)
+        numbers, at = [], 0
+        while at < len(edges) - 1:  # blocks of whole pieces
+            stop = max(at + 1, int(np.searchsorted(edges, edges[at] + BLOCK, side="right")) - 1)
+            low = edges[at]
+            numbers.append(self.numbers(data[low : edges[stop]], edges[at:stop] - low, edges[at + 1 : stop + 1] - low))
+            at = stop
+        at = np.concatenate(numbers)
+        count = self.count[at].astype(np.int64)
         total = np.concatenate([[0], np.cumsum(count)])
-        take = np.repeat(self.first[at] - total[:-1], count) + np.arange(total[-1])
-        flat = self.ids[take]
-        for piece in (p for p in missing if len(p) > LONGEST):
-            del self.index[piece]  # its numbers stay unused until the cache is cleared
-        bounds = total[np.array([0, *ends], dtype=np.int64)]
-        return [flat[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        flat = self.ids[np.repeat(self.first[at] - total[:-1], count) + np.arange(total[-1])]
+        bounds = total[np.searchsorted(edges, offsets)]
+        return [flat[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
 
 
 _ENCODERS: dict[str, ChunkEncoder] = {}
