@@ -7,6 +7,7 @@ from tessella.llm.jaccard_join import op2_jaccard_join
 from tessella.llm.packing import op7_packing
 from tessella.llm.sharding import op6_rendezvous
 from tessella.llm.token_files import op5_token_files
+from tessella.llm.toxicity import op4_toxicity
 from tessella.llm.warc import OP9_SQL, op9_warc
 
 
@@ -14,6 +15,7 @@ def queries() -> dict:
     return {
         "op2_jaccard_join": op2_jaccard_join,
         "op3_chat": op3_chat,
+        "op4_toxicity": op4_toxicity,
         "op5_token_files": op5_token_files,
         "op6_rendezvous": op6_rendezvous,
         "op7_packing": op7_packing,

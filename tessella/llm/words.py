@@ -21,8 +21,13 @@ _rng = np.random.default_rng(20250101)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _FOLDED = _BYTE.copy()
 _FOLDED[65:91] = _BYTE[97:123]
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: Classes of bytes: 0 stands between tokens, and a token ends where the class changes.
+SPACED = np.ones(256, dtype=np.uint8)
+SPACED[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = 0
+LETTERS = np.zeros(256, dtype=np.uint8)  # letters, and all that is not ASCII
+LETTERS[65:91] = LETTERS[97:123] = LETTERS[128:] = 1
+WORDS_AND_MARKS = SPACED * 2  # letters and digits, or runs of other visible bytes
+WORDS_AND_MARKS[48:58] = WORDS_AND_MARKS[65:91] = WORDS_AND_MARKS[97:123] = WORDS_AND_MARKS[128:] = 1
 _STEP = int(_rng.integers(1, 2**62)) * 2 + 1
 _POWERS = {"up": np.ones(0, np.uint64), "down": np.ones(0, np.uint64)}
 SALT = _rng.integers(1, 2**63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -54,20 +59,21 @@ def polynomial(data: np.ndarray, begin: np.ndarray, end: np.ndarray, values: np.
     return (total[end] - total[begin]) * down[begin]
 
 
-def _hash_block(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes, first bytes and ends of the words of a block; a text begins at each of ``starts``."""
+def _hash_block(data: np.ndarray, starts: np.ndarray, classes: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, first bytes and ends of the tokens of a block; a text begins at each of ``starts``."""
     n = len(data)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    inside = ~_SPACE[data]
+    kind = classes[data]
+    inside = kind > 0
     new = np.zeros(n + 1, dtype=bool)
     new[starts[starts < n]] = True
     new[n] = True
-    before = np.concatenate([[False], inside[:-1]])
-    begin = np.flatnonzero(inside & (~before | new[:-1]))
-    after = np.concatenate([inside[1:], [False]])
-    end = np.flatnonzero(inside & (~after | new[1:])) + 1
-    return mix(polynomial(data, begin, end, _FOLDED) + (end - begin).astype(np.uint64) * SALT[15]), begin, end
+    change = kind[1:] != kind[:-1]
+    new[1:-1] |= change
+    begin = np.flatnonzero(inside & (new[:-1] | (np.arange(n) == 0)))
+    end = np.flatnonzero(inside & new[1:]) + 1
+    return mix(polynomial(data, begin, end, values) + (end - begin).astype(np.uint64) * SALT[15]), begin, end
 
 
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -81,19 +87,21 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def word_hashes(column: pa.Array, positions: bool = False):
-    """Word hashes of all texts one after the other, and where each text's begin (one more entry at the end).
+def word_hashes(column: pa.Array, positions: bool = False, classes: np.ndarray = SPACED, fold: bool = True):
+    """Token hashes of all texts one after the other, and where each text's begin (one more entry at the end).
 
-    With ``positions`` also the first byte and the end of each word, counted from the start of the column.
+    ``classes`` says what a token is, ``fold`` whether A-Z are lower-cased. With
+    ``positions`` also the first byte and the end of each token, counted from the
+    start of the column.
     """
     data, offsets = text_buffers(column)
     hashes, firsts, ends, at = [], [], [], 0
     while at < len(data):
         stop = min(at + BLOCK, len(data))
-        while stop < len(data) and not _SPACE[data[stop]]:  # to the end of a word
-            step = np.flatnonzero(_SPACE[data[stop : stop + BLOCK]])
+        while stop < len(data) and SPACED[data[stop]]:  # to the end of a word
+            step = np.flatnonzero(SPACED[data[stop : stop + BLOCK]] == 0)
             stop = stop + int(step[0]) if len(step) else min(stop + BLOCK, len(data))
-        h, b, e = _hash_block(data[at:stop], offsets[np.searchsorted(offsets, at) : np.searchsorted(offsets, stop)] - at)
+        h, b, e = _hash_block(data[at:stop], offsets[np.searchsorted(offsets, at) : np.searchsorted(offsets, stop)] - at, classes, _FOLDED if fold else _BYTE)
         hashes.append(h)
         firsts.append(b + at)
         ends.append(e + at)
