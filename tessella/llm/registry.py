@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from tessella.llm.chat import OP3_SQL, op3_chat
+from tessella.llm.importance import op1_importance
 from tessella.llm.jaccard_join import op2_jaccard_join
 from tessella.llm.packing import op7_packing
 from tessella.llm.sharding import op6_rendezvous
+from tessella.llm.spotsigs import op10_spotsigs
 from tessella.llm.token_files import op5_token_files
 from tessella.llm.toxicity import op4_toxicity
 from tessella.llm.warc import OP9_SQL, op9_warc
@@ -13,6 +15,7 @@ from tessella.llm.warc import OP9_SQL, op9_warc
 
 def queries() -> dict:
     return {
+        "op1_importance": op1_importance,
         "op2_jaccard_join": op2_jaccard_join,
         "op3_chat": op3_chat,
         "op4_toxicity": op4_toxicity,
@@ -20,6 +23,7 @@ def queries() -> dict:
         "op6_rendezvous": op6_rendezvous,
         "op7_packing": op7_packing,
         "op9_warc": op9_warc,
+        "op10_spotsigs": op10_spotsigs,
     }
 
 
