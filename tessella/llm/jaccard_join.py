@@ -167,13 +167,13 @@ def postings(docs: DataFrame, words: int, cells: np.ndarray, boundary: int, simi
 
     rows = docs.select("doc_id", "text").mapInArrow(run, "key long, n int, sid long")
     order = Window.partitionBy("key").orderBy("sid")
-    near = rows.withColumns({"before": F.lag("sid").over(order), "after": F.lead("sid").over(order)})
+    near = rows.withColumns({"least": F.first("sid").over(order), "after": F.lead("sid").over(order)})
     # of equal neighbours the last stays; a list of one set goes
-    return materialise(near.where("after is not null and after <> sid or after is null and before is not null and before <> sid or after is null and before = sid").select("key", "n", "sid", "before", "after"), "jaccard-lists")
+    return materialise(near.where("after <> sid or after is null and least <> sid").select("key", "n", "sid"), "jaccard-lists")
 
 
 def fetch_sets(docs: DataFrame, words: int, wanted: DataFrame) -> DataFrame:
-    """(sid, shingles) of the wanted sets, once for each document that has one."""
+    """(sid, n, items) of the wanted sets (sid, doc_id), read from the texts of those documents."""
     bits = 1 << max(10, min(FILTER_BITS.bit_length() - 1, (16 * max(1, wanted.count())).bit_length()))
     cell = F.col("sid").bitwiseAND(F.lit(bits - 1))
     rows = wanted.groupBy(F.shiftright(cell, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(sid & 63 as int))")).alias("bits")).collect()
@@ -190,36 +190,50 @@ def fetch_sets(docs: DataFrame, words: int, wanted: DataFrame) -> DataFrame:
             hit = (mask[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)
             keep = [r for r, h in zip(found, hit.tolist(), strict=True) if h and len(r[1])]
             if keep:
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in keep], pa.int64()), pa.array([r[2] for r in keep], pa.int64()), pa.array([r[1].tobytes() for r in keep], pa.binary())], ["doc_id", "sid", "shingles"])
+                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in keep], pa.int64()), pa.array([r[2] for r in keep], pa.int64()), pa.array([len(r[1]) for r in keep], pa.int32()), pa.array([r[1].view(np.int64) for r in keep], pa.list_(pa.int64()))], ["doc_id", "sid", "n", "items"])
 
-    rows = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, sid long, shingles binary")
-    return materialise(rows.join(wanted, (rows.sid == wanted.sid) & rows.doc_id.eqNullSafe(wanted.doc_id), "left_semi").select("sid", "shingles").dropDuplicates(["sid"]), "jaccard-sets")
+    rows = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, sid long, n int, items array<long>")
+    found = rows.join(wanted.withColumnRenamed("doc_id", "from"), "sid").where(F.col("doc_id").eqNullSafe(F.col("from")))
+    return materialise(found.select("sid", "n", "items").dropDuplicates(["sid"]), "jaccard-sets")
 
 
-def verify(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """Those of the distinct pairs (star, sid) that link. A star is dealt to as many tasks as its number of members asks for."""
+def enough_keys(both: int, a: int, b: int, similarity: tuple[int, int]) -> bool:
+    """Whether sets of ``a`` and ``b`` shingles with ``both`` keys in common can link: of their prefixes they share one more than the pair's overlap exceeds what the larger needs at least."""
+    overlap = -(-similarity[0] * (a + b) // (similarity[0] + similarity[1]))
+    return both > overlap - least_overlap(max(a, b), similarity)
+
+
+def similar(both: int, a: int, b: int, similarity: tuple[int, int]) -> bool:
+    return similarity[1] * both >= similarity[0] * (a + b - both)
+
+
+def verify(pairs: DataFrame, sets: DataFrame, test, similarity: tuple[int, int]) -> DataFrame:
+    """The distinct pairs (star, sid) whose ``sets`` (sid, n, items) pass the test on the number of common items.
+
+    A star is dealt to as many tasks as its number of members asks for; a task
+    holds one star at a time.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        star, own = None, None
+        star = own = size = None
         for batch in batches:
             found = []
-            for s, sid, shingles in zip(batch.column("star").to_pylist(), batch.column("sid").to_pylist(), batch.column("shingles"), strict=True):
-                mine = np.frombuffer(shingles.as_buffer(), dtype=np.uint64)
+            for s, sid, n, items in zip(batch.column("star").to_pylist(), batch.column("sid").to_pylist(), batch.column("n").to_pylist(), batch.column("items"), strict=True):
+                mine = items.values.to_numpy(zero_copy_only=False)
                 if sid is None:
-                    star, own = s, mine.copy()
+                    star, own, size = s, mine.copy(), n
                     continue
                 if s != star:
                     raise ValueError("a pair came without its star")
-                both = np.intersect1d(own, mine, assume_unique=True).size
-                if similarity[1] * both >= similarity[0] * (len(own) + len(mine) - both):
+                if test(np.intersect1d(own, mine, assume_unique=True).size, size, n, similarity):
                     found.append((s, sid))
             if found:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], ["star", "sid"])
 
     salts = pairs.groupBy("star").agg(F.ceil(F.count(F.lit(1)) / STAR_SHARE).cast("int").alias("salts"))
-    stars = salts.join(sets, salts.star == sets.sid).select("star", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(None).cast("long").alias("sid"), "shingles")
-    members = pairs.join(salts, "star").select("star", F.pmod("sid", "salts").cast("int").alias("salt"), "sid").join(sets, "sid").select("star", "salt", "sid", "shingles")
-    return stars.unionByName(members).repartition("star", "salt").sortWithinPartitions("star", "salt", F.asc_nulls_first("sid")).mapInArrow(run, "a long, b long")
+    stars = salts.join(sets, salts.star == sets.sid).select("star", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(None).cast("long").alias("sid"), "n", "items")
+    members = pairs.join(salts, "star").select("star", F.pmod("sid", "salts").cast("int").alias("salt"), "sid").join(sets, "sid").select("star", "salt", "sid", "n", "items")
+    return stars.unionByName(members).repartition("star", "salt").sortWithinPartitions("star", "salt", F.asc_nulls_first("sid")).mapInArrow(run, "star long, sid long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -250,28 +264,36 @@ def jaccard_links(docs: DataFrame, words: int = WORDS, similarity: tuple[int, in
     sizes = {r.n: r["count"] for r in per_doc.where(F.col("n").between(1, LARGEST_SMALL)).groupBy("n").count().collect()}
     mean = float(cells.mean())
     meets = max(0.0, float((cells.astype(float) ** 2).sum() / max(1, cells.sum())) - mean) / 2
-    lists = postings(docs, words, cells, choose_boundary(sizes, meets, similarity), similarity)
-    first = lists.groupBy("sid").agg(F.lit(1))
-    wanted = per_doc.where("n > 0").join(first, "sid", "left_semi").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
-    sets = fetch_sets(docs, words, materialise(wanted, "jaccard-wanted"))
+    boundary = choose_boundary(sizes, meets, similarity)
+    lists = postings(docs, words, cells, boundary, similarity)
+    keys = materialise(lists.groupBy("sid", "n").agg(F.collect_list("key").alias("items")), "jaccard-keys")
+    first = per_doc.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
 
     def likely(a: str, b: str):  # sizes that can link
         return (F.col(a) * similarity[1] >= F.col(b) * similarity[0]) & (F.col(b) * similarity[1] >= F.col(a) * similarity[0])
 
+    def links_of(pairs: DataFrame) -> DataFrame:
+        """Links among the pairs (star, sid, large): first by their keys, unless both sets are small, then by the full sets."""
+        pairs = materialise(pairs, "jaccard-pairs")
+        some = verify(pairs.where("large").select("star", "sid"), keys, enough_keys, similarity)
+        some = materialise(some.unionByName(pairs.where("not large").select("star", "sid")), "jaccard-candidates")
+        nodes = some.select(F.explode(F.array("star", "sid")).alias("sid")).distinct()
+        sets = fetch_sets(docs, words, materialise(nodes.join(first, "sid"), "jaccard-wanted"))
+        return materialise(verify(some, sets, similar, similarity).select(F.col("star").alias("a"), F.col("sid").alias("b")), "jaccard-links")
+
     star = Window.partitionBy("key")
-    starred = lists.select("key", "n", "sid", F.min(F.struct("sid", "n")).over(star).alias("star"))
-    pairs = starred.where("sid <> star.sid").where(likely("n", "star.n")).select(F.col("star.sid").alias("star"), "sid").distinct()
-    links = materialise(verify(pairs, sets, similarity), "jaccard-links")
+    starred = lists.select("n", "sid", F.min(F.struct("sid", "n")).over(star).alias("star")).where("sid <> star.sid").where(likely("n", "star.n"))
+    links = links_of(starred.select(F.col("star.sid").alias("star"), "sid", (F.greatest("n", "star.n") > boundary).alias("large")).distinct())
     # one and two steps towards a common star; a set without a link stands for itself
     step = links.groupBy(F.col("b").alias("sid")).agg(F.min("a").alias("label"))
     twice = step.join(step.select(F.col("sid").alias("label"), F.col("label").alias("next")), "label", "left").select("sid", F.coalesce("next", "label").alias("label"))
-    labelled = lists.select("key", "n", "sid").join(twice, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
-    open_lists = labelled.withColumns({"lo": F.min("label").over(star), "hi": F.max("label").over(star), "first": F.min("sid").over(star)}).where("lo <> hi").select("key", "n", "sid", "label", "first")
-    open_lists = materialise(open_lists, "jaccard-open")
+    labelled = lists.join(twice, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
+    open_lists = labelled.withColumns({"lo": F.min("label").over(star), "hi": F.max("label").over(star), "first": F.min("sid").over(star)}).where("lo <> hi")
+    open_lists = materialise(open_lists.select("key", "n", "sid", "label", "first"), "jaccard-open")
     a, b = (open_lists.select("key", "first", *(F.col(c).alias(f"{c}_{x}") for c in ("n", "sid", "label"))) for x in "ab")
     rest = a.join(b.drop("first"), "key").where("sid_a < sid_b and label_a <> label_b and sid_a <> first").where(likely("n_a", "n_b"))
-    rest = rest.select(F.col("sid_a").alias("star"), F.col("sid_b").alias("sid")).distinct()
-    return per_doc, links.unionByName(materialise(verify(materialise(rest, "jaccard-rest"), sets, similarity), "jaccard-links"))
+    rest = rest.select(F.col("sid_a").alias("star"), F.col("sid_b").alias("sid"), (F.greatest("n_a", "n_b") > boundary).alias("large")).distinct()
+    return per_doc, links.unionByName(links_of(rest))
 
 
 def jaccard_components(docs: DataFrame, words: int = WORDS, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:

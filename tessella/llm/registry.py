@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tessella.llm.chat import OP3_SQL, op3_chat
+from tessella.llm.decontaminate import op8_decontaminate
 from tessella.llm.importance import op1_importance
 from tessella.llm.jaccard_join import op2_jaccard_join
 from tessella.llm.packing import op7_packing
@@ -22,6 +23,7 @@ def queries() -> dict:
         "op5_token_files": op5_token_files,
         "op6_rendezvous": op6_rendezvous,
         "op7_packing": op7_packing,
+        "op8_decontaminate": op8_decontaminate,
         "op9_warc": op9_warc,
         "op10_spotsigs": op10_spotsigs,
     }
