@@ -30,7 +30,7 @@ FOUND = "doc_id long, item_id long, score double, first_word long, last_word lon
 def item_words(texts: list[str | None]) -> list[np.ndarray]:
     from tessella.llm import words
 
-    h, bounds = words.word_hashes(pa.array(texts, pa.string()), classes=words.LETTERS)
+    h, bounds = words.letter_words(pa.array(texts, pa.string()))
     return [h[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
@@ -159,7 +159,7 @@ def seed_frequencies(docs: DataFrame, index: SeedIndex) -> tuple[np.ndarray, int
         index, rows = shared.value, 0
         count = np.zeros(len(index.unique), dtype=np.int64)
         for batch in slices(batches):
-            h, bounds = words.word_hashes(batch.column("text"), classes=words.LETTERS)
+            h, bounds = words.letter_words(batch.column("text"))
             rows += batch.num_rows
             at, number = index.hits(words.grams(h, SEED))
             doc = np.searchsorted(bounds, at, side="right") - 1
@@ -191,7 +191,7 @@ def found_in(column: pa.Array, index: SeedIndex, least: float) -> Iterator[tuple
     """(text, match) of every match in a column of texts."""
     from tessella.llm import words
 
-    h, bounds = words.word_hashes(column, classes=words.LETTERS)
+    h, bounds = words.letter_words(column)
     at, number = index.hits(words.grams(h, SEED))
     doc = np.searchsorted(bounds, at, side="right") - 1
     inside = at + SEED <= bounds[doc + 1]

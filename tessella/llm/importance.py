@@ -100,25 +100,36 @@ def gumbel(doc_id: list, texts: pa.Array, seed: int) -> np.ndarray:
     return -np.log(-np.log(np.clip(u, 1e-16, 1 - 1e-16)))
 
 
-def importance(docs: DataFrame, labels: DataFrame, seed: int = 17, temperature: float = 1.0) -> DataFrame:
-    """doc_id, log_weight and gumbel_key of every document, the key being log_weight + temperature * noise.
-
-    A null or empty text has weight 0 (log). Without good labels all weights are 0.
-    """
+def weigher(docs: DataFrame, labels: DataFrame, seed: int, temperature: float):
+    """A function of an Arrow batch that gives log weights and keys."""
     counts = gram_counts(docs, {d: q for d, q in good_ids(labels).items() if not calibrates(d)})
     ratio = log_ratio(counts) if counts[1].sum() else np.zeros(BUCKETS)
 
+    def weigh(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        bucket, doc = hashed_grams(batch.column("text"))
+        size = np.bincount(doc, minlength=batch.num_rows)
+        weight = np.bincount(doc, ratio[bucket], minlength=batch.num_rows) * np.minimum(1.0, EVIDENCE / np.maximum(size, 1))
+        return weight, weight + temperature * gumbel(batch.column("doc_id").to_pylist(), batch.column("text"), seed)
+
+    return weigh
+
+
+def score_with(docs: DataFrame, weigh) -> DataFrame:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            bucket, doc = hashed_grams(batch.column("text"))
-            size = np.bincount(doc, minlength=batch.num_rows)
-            weight = np.bincount(doc, ratio[bucket], minlength=batch.num_rows) * np.minimum(1.0, EVIDENCE / np.maximum(size, 1))
-            key = weight + temperature * gumbel(batch.column("doc_id").to_pylist(), batch.column("text"), seed)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(weight), pa.array(key)], ["doc_id", "log_weight", "gumbel_key"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, weigh(batch))], ["doc_id", "log_weight", "gumbel_key"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(score, "doc_id long, log_weight double, gumbel_key double")
 
 
+def importance(docs: DataFrame, labels: DataFrame, seed: int = 17, temperature: float = 1.0) -> DataFrame:
+    """doc_id, log_weight and gumbel_key of every document, the key being log_weight + temperature * noise.
+
+    A null or empty text has weight 0 (log). Without good labels all weights are 0.
+    """
+    return score_with(docs, weigher(docs, labels, seed, temperature))
+
+
 def choose_size(scored: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> int:
     """How many documents to keep: those as likely good as the labelled ones show.
 
@@ -186,6 +197,25 @@ def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, seed: int
     return top_k(scored, choose_size(scored, labels) if k is None else k)
 
 
+def kept_documents(docs: DataFrame, labels: DataFrame, seed: int = 17) -> DataFrame:
+    """The documents, with all their columns, that ``resample`` keeps.
+
+    The k-th largest key is the cut, so that documents tied with it stay too;
+    the keys are computed again where the documents are, and no row moves.
+    """
+    weigh = weigher(docs, labels, seed, 1.0)
+    scored = materialise(score_with(docs, weigh), "importance")
+    cut = top_k(scored, choose_size(scored, labels)).agg(F.min("gumbel_key")).head()[0]
+    if cut is None:
+        return docs
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            yield batch.filter(pa.array(weigh(batch)[1] >= cut))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op1_importance(spark, sf_dir: str) -> DataFrame:
     small_batches(spark)
     return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

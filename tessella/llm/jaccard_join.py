@@ -43,6 +43,8 @@ LARGEST_SMALL, SUBSET = 64, 2
 FILTER_BITS = 1 << 25
 #: Members that one task compares with a star before the star is dealt again.
 STAR_SHARE = 400
+#: Ids (8 bytes each) up to which they are broadcast.
+BROADCAST_IDS = 1_000_000
 
 
 def least_overlap(n: int, similarity: tuple[int, int] = SIMILARITY) -> int:
@@ -316,5 +318,22 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, similarity: tuple[in
     )
 
 
+def one_of_each(docs: DataFrame, words: int = WORDS, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
+    """The documents, with all their columns, that have the smallest doc_id of their component.
+
+    Of rows with one doc_id one stays. Documents without an id are all kept, as
+    nothing names them.
+    """
+    parts = materialise(jaccard_components(docs, words, similarity).select("doc_id", "component_id"), "jaccard-parts")
+    gone = parts.where("doc_id <> component_id").select("doc_id").distinct()
+    gone = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
+    kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    again = parts.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if again.isEmpty():
+        return kept
+    again = materialise(again, "jaccard-again")
+    return kept.join(again, "doc_id", "left_anti").select(docs.columns).unionByName(kept.join(again, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"]))
+
+
 def op2_jaccard_join(spark, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))

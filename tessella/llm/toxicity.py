@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +34,7 @@ def feature_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray
     """Even hashes of words and word beginnings, the word each is from, and the bounds of the texts' words."""
     from tessella.llm import words
 
+    column = pc.utf8_lower(column)
     h, bounds, first, end = words.word_hashes(column, positions=True, classes=words.LETTERS)
     data, _ = words.text_buffers(column)
     word = np.arange(len(h))
@@ -41,9 +43,7 @@ def feature_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray
     for k in range(1, max(PREFIXES) + 1):
         longer = (end - first)[word] >= k + (k in PREFIXES)
         word, lead = word[longer], lead[longer]
-        byte = data[first[word] + k - 1]
-        byte = np.where((byte >= 65) & (byte <= 90), byte + 32, byte).astype(np.uint64)
-        lead = lead * np.uint64(257) + byte
+        lead = lead * np.uint64(257) + data[first[word] + k - 1]
         if k in PREFIXES:
             found.append(words.mix(lead * np.uint64(16) + np.uint64(k)))
             of.append(word)
@@ -166,6 +166,10 @@ class Lexicon:
         step = np.clip(np.ceil(2 * np.log2(np.maximum(stats[:, 0] / stats[:, 1], 1e-6) / self.cuts[1])) + 5, 0, 9).astype(int)
         return np.concatenate([text, row, np.arange(len(stats))]), np.concatenate([feature, self.size + 2 * col + patterns[row, col] - 1, self.size + 6 + step])
 
+    def score(self, column: pa.Array, weights: np.ndarray, bias: float) -> np.ndarray:
+        row, col = self.design(*self.read(column))
+        return 1 / (1 + np.exp(-np.clip(bias + np.bincount(row, weights[col], minlength=len(column)), -500, 500)))
+
 
 class LabelModel:
     """p(class) * prod_j p(vote_j | vote of parent(j), class), the parents forming a tree."""
@@ -279,15 +283,24 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            row, col = known.design(*known.read(batch.column("text")))
-            z = bias + np.bincount(row, weights[col], minlength=batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(1 / (1 + np.exp(-np.clip(z, -500, 500))))], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(known.score(batch.column("text"), weights, bias))], ["doc_id", "score"])
 
     scored = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, score double")
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
     return scored.select("doc_id", (F.crc32(key.cast("binary")) % 5 == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def clean_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents, with all their columns, whose score is under 0.5; no row moves."""
+    known, weights, bias = fit(docs, labels)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            yield batch.filter(pa.array(known.score(batch.column("text"), weights, bias) < 0.5))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op4_toxicity(spark, sf_dir: str) -> DataFrame:
     small_batches(spark)
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Bytes of text that are hashed at a time (about 50 bytes of memory each).
 BLOCK = 1 << 20
@@ -114,6 +115,11 @@ def word_hashes(column: pa.Array, positions: bool = False, classes: np.ndarray =
     return h, bounds
 
 
+def letter_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the runs of letters, lower-cased in any script, and where each text's begin."""
+    return word_hashes(pc.utf8_lower(column), classes=LETTERS)
+
+
 def grams(h: np.ndarray, n: int) -> np.ndarray:
     """Hashes of the runs of ``n`` words, by their first word."""
     if len(h) < n:
