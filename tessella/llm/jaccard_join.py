@@ -32,11 +32,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessella.llm.common import materialise, slices, table
+from tessella.llm.common import materialise, slices, small_batches, table
 
 WORDS, SIMILARITY = 5, (3, 4)
-#: Cells of the count sketch (4 MB), sent in blocks.
-CELLS, CELL_BLOCKS = 1 << 20, 32
+#: Cells of the count sketch (32 MB of counts, 4 MB of levels), sent in blocks.
+CELLS, CELL_BLOCKS = 1 << 22, 64
+CELL_SHIFT = np.uint64(64 - 22)
 #: No set over this size is small, whatever the cost says; subsets have two shingles.
 LARGEST_SMALL, SUBSET = 64, 2
 #: Bits of the filter for sets to fetch (4 MB at most).
@@ -97,7 +98,7 @@ def survey(docs: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
         cells = np.zeros(CELLS, dtype=np.int64)
         names = ["doc_id", "n", "sid", "block", "counts"]
         for rows in batches_of_sets(batches, words):
-            cells += np.bincount(np.concatenate([s for _, s, _ in rows]) >> np.uint64(44), minlength=CELLS)
+            cells += np.bincount(np.concatenate([s for _, s, _ in rows]) >> CELL_SHIFT, minlength=CELLS)
             ids, sizes, digests = [r[0] for r in rows], [len(r[1]) for r in rows], [r[2] for r in rows]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(digests, pa.int64()), pa.nulls(len(rows), pa.int32()), pa.nulls(len(rows), pa.binary())], names)
         if cells.any():
@@ -122,8 +123,9 @@ def survey(docs: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
 
 
 def heaviness(cells: np.ndarray) -> np.ndarray:
-    """0 for cells near the mean, else 1 + log2 of how many times 4 means a cell has."""
-    return np.clip(np.ceil(np.log2(np.maximum(cells, 1) / max(4 * cells.mean(), 8.0))), 0, 60).astype(np.uint8)
+    """0 for cells that chance explains, else a level for every half power of two over that."""
+    usual = 2 * cells.mean() + 6 * np.sqrt(cells.mean()) + 2
+    return np.clip(np.ceil(2 * np.log2(np.maximum(cells, 1) / usual)), 0, 120).astype(np.uint8)
 
 
 def keys_of(shingles: np.ndarray, level: np.ndarray, boundary: int, similarity: tuple[int, int]) -> np.ndarray:
@@ -131,7 +133,7 @@ def keys_of(shingles: np.ndarray, level: np.ndarray, boundary: int, similarity:
     from tessella.llm.words import mix
 
     n = len(shingles)
-    ordered = shingles[np.lexsort((shingles, level[shingles >> np.uint64(44)]))]
+    ordered = shingles[np.lexsort((shingles, level[shingles >> CELL_SHIFT]))]
     keys = []
     if n > boundary or n >= least_overlap(boundary + 1, similarity):
         keys.append(ordered[: prefix_length(n, 1, similarity)])
@@ -284,16 +286,18 @@ def jaccard_links(docs: DataFrame, words: int = WORDS, similarity: tuple[int, in
         return materialise(verify(some, sets, similar, similarity).select(F.col("star").alias("a"), F.col("sid").alias("b")), "jaccard-links")
 
     star = Window.partitionBy("key")
-    starred = lists.select("n", "sid", F.min(F.struct("sid", "n")).over(star).alias("star")).where("sid <> star.sid").where(likely("n", "star.n"))
+    # the star of a list is the member whose lists are longest on average: of a family of copies the one nearest to all
+    company = lists.withColumn("m", F.count(F.lit(1)).over(star)).groupBy("sid").agg(F.avg("m").alias("company"))
+    lists = materialise(lists.join(company, "sid").select("key", "n", "sid", F.max(F.struct("company", "sid", "n")).over(star).alias("star")), "jaccard-stars")
+    starred = lists.where("sid <> star.sid").where(likely("n", "star.n"))
     links = links_of(starred.select(F.col("star.sid").alias("star"), "sid", (F.greatest("n", "star.n") > boundary).alias("large")).distinct())
-    # one and two steps towards a common star; a set without a link stands for itself
-    step = links.groupBy(F.col("b").alias("sid")).agg(F.min("a").alias("label"))
-    twice = step.join(step.select(F.col("sid").alias("label"), F.col("label").alias("next")), "label", "left").select("sid", F.coalesce("next", "label").alias("label"))
-    labelled = lists.join(twice, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
-    open_lists = labelled.withColumns({"lo": F.min("label").over(star), "hi": F.max("label").over(star), "first": F.min("sid").over(star)}).where("lo <> hi")
+    # what hangs together by now has one label; a set without a link stands for itself
+    label = materialise(components(links), "jaccard-labels").withColumnRenamed("node", "sid")
+    labelled = lists.join(label, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
+    open_lists = labelled.withColumns({"lo": F.min("label").over(star), "hi": F.max("label").over(star), "first": F.col("star.sid")}).where("lo <> hi")
     open_lists = materialise(open_lists.select("key", "n", "sid", "label", "first"), "jaccard-open")
     a, b = (open_lists.select("key", "first", *(F.col(c).alias(f"{c}_{x}") for c in ("n", "sid", "label"))) for x in "ab")
-    rest = a.join(b.drop("first"), "key").where("sid_a < sid_b and label_a <> label_b and sid_a <> first").where(likely("n_a", "n_b"))
+    rest = a.join(b.drop("first"), "key").where("sid_a < sid_b and label_a <> label_b and sid_a <> first and sid_b <> first").where(likely("n_a", "n_b"))
     rest = rest.select(F.col("sid_a").alias("star"), F.col("sid_b").alias("sid"), (F.greatest("n_a", "n_b") > boundary).alias("large")).distinct()
     return per_doc, links.unionByName(links_of(rest))
 
@@ -336,4 +340,5 @@ def one_of_each(docs: DataFrame, words: int = WORDS, similarity: tuple[int, int]
 
 
 def op2_jaccard_join(spark, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return jaccard_components(table(spark, sf_dir, "documents"))

@@ -537,10 +537,10 @@ def unit_weighted(spark, d):
     return rounded(u)
 
 
-@query(f"""WITH {RG} SELECT biological_unit_id, condition, 'm' AS marker, compartment, count(DISTINCT image_id) AS n_images, round(sum(area_px), 6) AS total_area_um2, round(avg(mean_od), 5) AS mean_intensity, round(quantile_cont(median_cell_od, 0.5), 6) AS median_intensity, round(sum(integrated_od), 4) AS integrated_intensity, round(avg(positive_area_px / area_px), 6) AS positive_area_fraction FROM rg GROUP BY 1, 2, 4""")
+@query(f"""WITH {RG} SELECT biological_unit_id, condition, 'm' AS marker, compartment, count(DISTINCT image_id) AS n_images, round(sum(area_px), 6) AS total_area_um2, round(avg(mean_od) + 1e-9, 5) AS mean_intensity, round(quantile_cont(median_cell_od, 0.5), 6) AS median_intensity, round(sum(integrated_od), 4) AS integrated_intensity, round(avg(positive_area_px / area_px), 6) AS positive_area_fraction FROM rg GROUP BY 1, 2, 4""")
 def unit_unweighted(spark, d):
     r = full_regions(spark, d).select("image_id", "biological_unit_id", "condition", "marker", "compartment", F.col("area_px").alias("area_um2"), F.col("mean_od").alias("mean_intensity"), F.col("median_cell_od").alias("median_intensity"), F.col("integrated_od").alias("integrated_intensity"), (F.col("positive_area_px") / F.col("area_px")).alias("positive_area_fraction"))
-    return rounded(st.unit_means(r).withColumns({"integrated_intensity": F.round("integrated_intensity", 4), "mean_intensity": F.round("mean_intensity", 5)}))
+    return rounded(st.unit_means(r).withColumns({"integrated_intensity": F.round("integrated_intensity", 4), "mean_intensity": F.round(F.col("mean_intensity") + 1e-9, 5)}))
 
 
 @query(f"WITH {RG} SELECT condition, count(DISTINCT image_id) AS n_images, count(DISTINCT biological_unit_id) AS n_biological_units FROM rg WHERE compartment = 'global' GROUP BY 1")
@@ -612,3 +612,55 @@ def flagship(spark, d):
     cells = measure.single_cells(pixels(spark, d), ["condition", "image_id"], "v", 0.05)
     scores = cells.withColumn("intensity_class", intensity_class("cell_mean", (0.0, 0.05, 0.1))).groupBy("condition").agg(F.count(F.lit(1)).alias("n_cells"), F.avg(F.col("is_positive_cell").cast("int")).alias("positive_cell_fraction"), F.avg("nc_ratio").alias("mean_nc_ratio"))
     return measure.four_domains(pixels(spark, d), ["condition"], "v", 0.1).join(scores, "condition")
+
+
+# image kernels: no SQL, tested against brute force and known truth
+
+
+def planes_of(spark, d):
+    """Each embedding as an 8 x 8 plane, enlarged four times."""
+    import numpy as np
+    import pandas as pd
+
+    def run(frames):
+        for frame in frames:
+            data = [np.kron(np.asarray(e, dtype=float).reshape(8, 8) + 0.5, np.ones((4, 4))).clip(0, 1).astype("<f4").tobytes() for e in frame["embedding"]]
+            yield pd.DataFrame({"image_id": frame["vec_id"], "h": 32, "w": 32, "nuclear": data})
+
+    return table(spark, d, "embeddings").select("vec_id", "embedding").mapInPandas(run, "image_id long, h int, w int, nuclear binary")
+
+
+@query(None)
+def fluorescence_segmentation(spark, d):
+    from tessella.operators import segment
+
+    o = segment.FluorescenceOptions(blur=1.0, min_area=4, max_area=600, radius=3)
+    labels = segment.segment_fluorescent(planes_of(spark, d), o)
+    return measure.moments(segment.label_pixels(labels).withColumn("v", F.lit(1.0)), ["image_id"], "nuc_label", "v")
+
+
+def kernel_query(name: str, kernel: Callable):
+    def run(spark, d):
+        from tessella.operators import segment
+
+        out = segment.map_planes(planes_of(spark, d), "nuclear", kernel, "result")
+        return segment.plane_pixels(out, "result").groupBy("image_id").agg(F.round(F.sum("v"), 4).alias("total"), F.round(F.max("v"), 4).alias("peak"))
+
+    run.__name__ = f"kernel_{name}"
+    query(None)(run)
+
+
+def _kernels():
+    from tessella.functions import kernels as k
+
+    kernel_query("blur", lambda a: k.gaussian(a, 1.5))
+    kernel_query("top_hat", lambda a: k.background(a, "top_hat", 5))
+    kernel_query("distance", lambda a: k.distance(a > 0.5))
+    kernel_query("components", lambda a: k.components(a > 0.5))
+    kernel_query("fill_holes", lambda a: k.fill_holes(a > 0.5))
+    kernel_query("closing", lambda a: k.closing(a > 0.5, k.disc(2)))
+    kernel_query("watershed", lambda a: k.watershed(k.distance(a > 0.5), a > 0.5))
+    kernel_query("spots", lambda a: k.spots(a, least=1))
+
+
+_kernels()
