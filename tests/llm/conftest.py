@@ -1,26 +1,11 @@
 import pytest
-from pyspark.sql import SparkSession
-
-
-@pytest.fixture(scope="session")
-def spark():
-    session = (
-        SparkSession.builder.master("local[4]")
-        .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "4")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "4g")
-        .getOrCreate()
-    )
-    session.sparkContext.setLogLevel("ERROR")
-    yield session
 
 
 @pytest.fixture()
 def documents(spark):
     """Rows -> a table like ``documents`` with a clashing extra column."""
 
-    def make(rows, **types):
+    def make(rows):
         full = [(i, t, "en", "s", len(t) if t is not None else None, "x") for i, t in rows]
         return spark.createDataFrame(full, "doc_id long, text string, lang string, source string, n_chars long, value string").repartition(3)
 
