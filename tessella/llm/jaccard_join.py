@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -201,17 +201,23 @@ def fetch_sets(docs: DataFrame, words: int, wanted: DataFrame) -> DataFrame:
     return materialise(found.select("sid", "n", "items").dropDuplicates(["sid"]), "jaccard-sets")
 
 
-def enough_keys(both: int, a: int, b: int, similarity: tuple[int, int]) -> bool:
-    """Whether sets of ``a`` and ``b`` shingles with ``both`` keys in common can link: of their prefixes they share one more than the pair's overlap exceeds what the larger needs at least."""
+def keys_needed(a: int, b: int, boundary: int, similarity: tuple[int, int]) -> int:
+    """Keys that linked sets of ``a`` and ``b`` shingles have in common at least.
+
+    Their prefixes share one shingle more than the pair's overlap exceeds what
+    the larger set needs at least; of two small sets, the longer prefixes share
+    one more, and every two of those are a key.
+    """
     overlap = -(-similarity[0] * (a + b) // (similarity[0] + similarity[1]))
-    return both > overlap - least_overlap(max(a, b), similarity)
+    shared = overlap - least_overlap(max(a, b), similarity) + 1
+    return math.comb(shared + 1, 2) if max(a, b) <= boundary else shared
 
 
 def similar(both: int, a: int, b: int, similarity: tuple[int, int]) -> bool:
     return similarity[1] * both >= similarity[0] * (a + b - both)
 
 
-def verify(pairs: DataFrame, sets: DataFrame, test, similarity: tuple[int, int]) -> DataFrame:
+def verify(pairs: DataFrame, sets: DataFrame, test: Callable[[int, int, int], bool]) -> DataFrame:
     """The distinct pairs (star, sid) whose ``sets`` (sid, n, items) pass the test on the number of common items.
 
     A star is dealt to as many tasks as its number of members asks for; a task
@@ -229,7 +235,7 @@ def verify(pairs: DataFrame, sets: DataFrame, test, similarity: tuple[int, int])
                     continue
                 if s != star:
                     raise ValueError("a pair came without its star")
-                if test(np.intersect1d(own, mine, assume_unique=True).size, size, n, similarity):
+                if test(np.intersect1d(own, mine, assume_unique=True).size, size, n):
                     found.append((s, sid))
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], ["star", "sid"])
@@ -277,28 +283,47 @@ def jaccard_links(docs: DataFrame, words: int = WORDS, similarity: tuple[int, in
         return (F.col(a) * similarity[1] >= F.col(b) * similarity[0]) & (F.col(b) * similarity[1] >= F.col(a) * similarity[0])
 
     def links_of(pairs: DataFrame) -> DataFrame:
-        """Links among the pairs (star, sid, large): first by their keys, unless both sets are small, then by the full sets."""
-        pairs = materialise(pairs, "jaccard-pairs")
-        some = verify(pairs.where("large").select("star", "sid"), keys, enough_keys, similarity)
-        some = materialise(some.unionByName(pairs.where("not large").select("star", "sid")), "jaccard-candidates")
+        """Links among the pairs (star, sid): first by the keys they share, then by the full sets."""
+        some = verify(materialise(pairs, "jaccard-pairs"), keys, lambda both, x, y: both >= keys_needed(x, y, boundary, similarity))
+        some = materialise(some, "jaccard-candidates")
         nodes = some.select(F.explode(F.array("star", "sid")).alias("sid")).distinct()
         sets = fetch_sets(docs, words, materialise(nodes.join(first, "sid"), "jaccard-wanted"))
-        return materialise(verify(some, sets, similar, similarity).select(F.col("star").alias("a"), F.col("sid").alias("b")), "jaccard-links")
+        found = verify(some, sets, lambda both, x, y: similar(both, x, y, similarity))
+        return materialise(found.select(F.col("star").alias("a"), F.col("sid").alias("b")), "jaccard-links")
+
+    def needed(a: str, b: str):  # keys_needed as a column
+        p, q = similarity
+        shared = F.ceil(F.lit(p) * (F.col(a) + F.col(b)) / F.lit(p + q) - 1e-9) - F.ceil(F.greatest(a, b) * p / q - 1e-9) + 1
+        return F.when(F.greatest(a, b) <= boundary, shared * (shared + 1) / 2).otherwise(shared)
+
+    def reachable(pairs: DataFrame) -> DataFrame:  # both sets have keys enough
+        return pairs.where(F.least("k", "k2") >= needed("n", "n2"))
 
     star = Window.partitionBy("key")
-    # the star of a list is the member whose lists are longest on average: of a family of copies the one nearest to all
-    company = lists.withColumn("m", F.count(F.lit(1)).over(star)).groupBy("sid").agg(F.avg("m").alias("company"))
-    lists = materialise(lists.join(company, "sid").select("key", "n", "sid", F.max(F.struct("company", "sid", "n")).over(star).alias("star")), "jaccard-stars")
-    starred = lists.where("sid <> star.sid").where(likely("n", "star.n"))
-    links = links_of(starred.select(F.col("star.sid").alias("star"), "sid", (F.greatest("n", "star.n") > boundary).alias("large")).distinct())
+    # the star of a list is the member that meets most others for its size: of a family of copies, one with few changes
+    sized = lists.withColumn("m", F.count(F.lit(1)).over(star))
+    company = sized.groupBy("sid", "n").agg((F.sum("m") / F.col("n")).alias("company"), F.count(F.lit(1)).alias("k"))
+    lists = materialise(lists.join(company.drop("n"), "sid").select("key", "n", "sid", "k", F.max(F.struct("company", "sid", "n", "k")).over(star).alias("star")), "jaccard-stars")
+    starred = lists.where("sid <> star.sid").select(F.col("star.sid").alias("star"), "sid", "n", "k", F.col("star.n").alias("n2"), F.col("star.k").alias("k2")).where(likely("n", "n2"))
+    links = links_of(reachable(starred).select("star", "sid").distinct())
     # what hangs together by now has one label; a set without a link stands for itself
     label = materialise(components(links), "jaccard-labels").withColumnRenamed("node", "sid")
     labelled = lists.join(label, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
-    open_lists = labelled.withColumns({"lo": F.min("label").over(star), "hi": F.max("label").over(star), "first": F.col("star.sid")}).where("lo <> hi")
-    open_lists = materialise(open_lists.select("key", "n", "sid", "label", "first"), "jaccard-open")
-    a, b = (open_lists.select("key", "first", *(F.col(c).alias(f"{c}_{x}") for c in ("n", "sid", "label"))) for x in "ab")
-    rest = a.join(b.drop("first"), "key").where("sid_a < sid_b and label_a <> label_b and sid_a <> first and sid_b <> first").where(likely("n_a", "n_b"))
-    rest = rest.select(F.col("sid_a").alias("star"), F.col("sid_b").alias("sid"), (F.greatest("n_a", "n_b") > boundary).alias("large")).distinct()
+    # members that no other size in their list lets link go, then lists that hang together
+    span = labelled.select("key", "n", "sid", "k", "label", F.col("star.sid").alias("first"), F.min("n").over(star).alias("low"), F.max("n").over(star).alias("high"))
+    span = span.withColumns({"low": F.greatest("low", F.ceil(F.col("n") * similarity[0] / similarity[1] - 1e-9)), "high": F.least("high", F.floor(F.col("n") * similarity[1] / similarity[0] + 1e-9))})
+    able = span.where(F.col("k") >= F.least(needed("n", "low"), needed("n", "high")))
+    open_lists = able.withColumns({"lo": F.min("label").over(star), "hi": F.max("label").over(star)}).where("lo <> hi")
+    open_lists = materialise(open_lists.select("key", "n", "sid", "k", "label", "first"), "jaccard-open")
+    # lists of the same members give the same pairs: one of them is enough
+    members = open_lists.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("sid")).alias("x"), F.bit_xor(F.xxhash64("sid", F.lit(1))).alias("y"))
+    distinct_lists = members.groupBy("m", "x", "y").agg(F.min("key").alias("key")).select("key")
+    # a pair that has the same list before this one has been met there
+    before = F.lag("key").over(Window.partitionBy("sid").orderBy("key"))
+    open_lists = materialise(open_lists.join(distinct_lists, "key", "left_semi").withColumn("before", before), "jaccard-open")
+    a, b = (open_lists.select("key", "first", *(F.col(c).alias(f"{c}{x}") for c in ("n", "k", "sid", "label", "before"))) for x in ("", "2"))
+    rest = a.join(b.drop("first"), "key").where("sid < sid2 and label <> label2 and sid <> first and sid2 <> first and (before is null or before2 is null or before <> before2)").where(likely("n", "n2"))
+    rest = reachable(rest).select(F.col("sid").alias("star"), F.col("sid2").alias("sid")).distinct()
     return per_doc, links.unionByName(links_of(rest))
 
 

@@ -88,10 +88,10 @@ def design_summary(regions: DataFrame, keys: Sequence[str] = ("marker", "tissue_
 
 #: Measurement domain, its default metric and what that means (fixed values).
 PRIMARY_METRICS = (
-    ("global", "tissue_positive_area_fraction", "positive tissue area fraction"),
-    ("nucleus", "nuclear_h_score", "nuclear H-score"),
-    ("cytoplasm", "cytoplasm_h_score", "cytoplasmic H-score"),
-    ("extracellular", "extracellular_positive_area_fraction", "positive extracellular area fraction"),
+    ("global", "tissue_positive_area_fraction", "pixel_based_global_tissue_dab_positive_area_fraction"),
+    ("nucleus", "nuclear_h_score", "cell_based_nuclear_h_score_0_to_300"),
+    ("cytoplasm", "cytoplasm_h_score", "cell_based_cytoplasmic_h_score_0_to_300"),
+    ("extracellular", "extracellular_positive_area_fraction", "pixel_based_extracellular_dab_positive_area_fraction"),
 )
 
 

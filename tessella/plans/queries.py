@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessella.functions import file_token, half_even, intensity_class
-from tessella.operators import geometry, measure, pixels as px, scoring, statistics as st, validation as va
+from tessella.operators import geometry, measure, pixels as px, reports, scoring, statistics as st, validation as va
 from tessella.plans.stand_ins import PX, RG, pixels, regions, table
 
 QUERIES: dict[str, Callable] = {}
@@ -602,6 +602,27 @@ def plot_captions(spark, d):
     return st.caption(st.sample_metadata(regions(spark, d), ["compartment"])).select("compartment", "caption")
 
 
+DICTIONARY_SQL = ", ".join("(" + ", ".join(f"'{v}'" for v in row) + ")" for row in reports.METRIC_DICTIONARY)
+
+
+@query(f"SELECT * FROM (VALUES {DICTIONARY_SQL}) t({', '.join(reports.DICTIONARY_COLUMNS)})")
+def metric_dictionary(spark, d):
+    return reports.metric_dictionary(spark)
+
+
+@query("SELECT c_custkey AS image_id, c_mktsegment AS batch_id, 'pending' AS review_status, 'pending' AS final_decision, '' AS reviewer FROM customer")
+def review_template(spark, d):
+    return reports.review_template(table(spark, d, "customer"), {"image_id": "c_custkey", "batch_id": "c_mktsegment"}, ["review_status", "final_decision"], ["reviewer"])
+
+
+@query(f"""WITH {RG}, p AS (SELECT DISTINCT compartment, biological_unit_id, condition FROM rg), u AS (SELECT compartment, biological_unit_id, count(*) AS n FROM p GROUP BY 1, 2), c AS (SELECT compartment, condition, count(*) AS n FROM p GROUP BY 1, 2),
+m AS (SELECT compartment, count(*) AS n_unique_units, count(*) FILTER (n > 1) AS n_repeated_units, sum(n)::BIGINT AS finite_value_count FROM u GROUP BY 1), s AS (SELECT compartment, min(n) AS min_per_condition_n, max(n) AS max_per_condition_n FROM c GROUP BY 1)
+SELECT compartment, k.measurement_domain, k.metric, finite_value_count, 'PLOTTED' AS plot_status, 'fixed' AS axis_mode, 0.0::DOUBLE AS y_axis_min, k.hi::DOUBLE AS y_axis_max, n_unique_units, n_repeated_units, min_per_condition_n, max_per_condition_n, CASE WHEN max_per_condition_n >= 2 THEN 'SHOWN_WHERE_N_GE_2' ELSE 'NOT_SHOWN_N_LT_2' END AS errorbar_status, 'main_' || f || '.png' AS png, 'main_' || f || '.svg' AS svg, 'main_' || f || '.pdf' AS pdf, 'main_' || f || '_source_data.csv' AS source_data
+FROM m JOIN s USING (compartment), (VALUES ('global', 'tissue_positive_area_fraction', 1, '01_global_dab_burden'), ('nucleus', 'nuclear_h_score', 300, '02_nuclear_h_score'), ('cytoplasm', 'cytoplasm_h_score', 300, '03_cytoplasmic_h_score'), ('extracellular', 'extracellular_positive_area_fraction', 1, '04_extracellular_dab_burden')) k(measurement_domain, metric, hi, f)""")
+def figure_manifest(spark, d):
+    return rounded(reports.figure_manifest(st.primary_long(st.unit_summary(full_regions(spark, d))), ["compartment"]))
+
+
 @query("SELECT l_linenumber, round_even(l_quantity / 2, 0) AS half, count(*) AS n FROM lineitem GROUP BY 1, 2")
 def half_even_rounding(spark, d):
     return rounded(table(spark, d, "lineitem").groupBy("l_linenumber", half_even(F.col("l_quantity") / 2).alias("half")).agg(F.count(F.lit(1)).alias("n")))
