@@ -1 +1 @@
-
+"""Streaming: the engine works on finished image sets, so nothing is registered here."""
