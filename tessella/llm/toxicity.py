@@ -8,7 +8,7 @@ votes: each voter has a table of its votes given the class and the vote of the
 one voter it correlates with most (a maximum spanning tree over conditional
 mutual information), fitted by expectation maximisation without labels. A linear
 classifier on the lexical features and patterns is trained on the posterior labels and scores
-every text.
+every text; its slope and bias are set once more on the labels of that fold.
 """
 
 from __future__ import annotations
@@ -180,7 +180,7 @@ class LabelModel:
         post = np.clip((votes == 1).sum(1) / np.maximum(1, (votes > 0).sum(1)), 0.02, 0.98)
         self.parent = np.full(m, -1)
         for step in range(rounds):
-            if step in (5, 12):
+            if step in (0, 8):  # before correlated voters can pass for the class
                 self.parent = self.dependencies(one_hot, post)
             self.estimate(one_hot, post)
             old, post = post, self.posterior(votes)
@@ -246,6 +246,19 @@ def train_linear(row: np.ndarray, col: np.ndarray, target: np.ndarray, features:
     return w[:-1], float(w[-1])
 
 
+def platt(z: np.ndarray, label: np.ndarray, rounds: int = 50) -> tuple[float, float]:
+    """Slope (above 0) and shift that make sigmoid(slope * z + shift) fit the labels of the training rows best (Newton steps)."""
+    x = np.stack([np.clip(z, -30, 30), np.ones(len(z))], axis=1)
+    w = np.array([1.0, 0.0])
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2), x.T @ (p - label) + 1e-3 * (w - [1.0, 0.0]))
+        w = w - np.clip(step, -1, 1)
+        if np.abs(step).max() < 1e-8:
+            break
+    return (float(w[0]), float(w[1])) if w[0] > 0 else (1.0, 0.0)
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[Lexicon, np.ndarray, float]:
     """The lexicon, the weights of its features and patterns, and the bias. Without labels of both classes: nothing is toxic."""
     train = training_rows(docs, labels)
@@ -266,8 +279,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[Lexicon, np.ndarray, float]
     stats = np.array([r.stats for r in rows], dtype=np.int64)
     known.calibrate(stats, np.array([r.toxic for r in rows]))
     votes = known.votes(text, feature, known.patterns(stats))
-    weights, bias = train_linear(*known.design(text, feature, stats), LabelModel().fit(votes).posterior(votes), known.size + 16)
-    return known, weights, bias
+    row, col = known.design(text, feature, stats)
+    weights, bias = train_linear(row, col, LabelModel().fit(votes).posterior(votes), known.size + 16)
+    slope, shift = platt(bias + np.bincount(row, weights[col], minlength=len(rows)), np.array([r.toxic for r in rows]))
+    return known, slope * weights, slope * bias + shift
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
