@@ -35,9 +35,11 @@ from pyspark.sql import functions as F
 from tessella.llm.common import materialise, slices, small_batches, table
 
 WORDS, SIMILARITY = 5, (3, 4)
-#: Cells of the count sketch (32 MB of counts, 4 MB of levels), sent in blocks.
-CELLS, CELL_BLOCKS = 1 << 22, 64
-CELL_SHIFT = np.uint64(64 - 22)
+#: Cells of the count sketch (64 MB of counts, 16 MB of levels), sent in blocks.
+CELLS, CELL_BLOCKS = 1 << 24, 64
+CELL_SHIFT = np.uint64(64 - 24)
+#: Lists with more members have more stars.
+LONG_LIST, STARS = 8, 4
 #: No set over this size is small, whatever the cost says; subsets have two shingles.
 LARGEST_SMALL, SUBSET = 64, 2
 #: Bits of the filter for sets to fetch (4 MB at most).
@@ -95,14 +97,15 @@ def survey(docs: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
     """A row (doc_id, n, sid) for each document, and the count sketch of all shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = np.zeros(CELLS, dtype=np.int64)
+        cells = np.zeros(CELLS, dtype=np.uint32)
         names = ["doc_id", "n", "sid", "block", "counts"]
         for rows in batches_of_sets(batches, words):
-            cells += np.bincount(np.concatenate([s for _, s, _ in rows]) >> CELL_SHIFT, minlength=CELLS)
+            cell, count = np.unique(np.concatenate([s for _, s, _ in rows]) >> CELL_SHIFT, return_counts=True)
+            cells[cell] += count.astype(np.uint32)
             ids, sizes, digests = [r[0] for r in rows], [len(r[1]) for r in rows], [r[2] for r in rows]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(digests, pa.int64()), pa.nulls(len(rows), pa.int32()), pa.nulls(len(rows), pa.binary())], names)
         if cells.any():
-            parts = [zlib.compress(p.astype("<i8").tobytes(), 1) for p in np.split(cells, CELL_BLOCKS)]
+            parts = [zlib.compress(p.astype("<u4").tobytes(), 1) for p in np.split(cells, CELL_BLOCKS)]
             none = pa.nulls(CELL_BLOCKS, pa.int64())
             yield pa.RecordBatch.from_arrays([none, none, none, pa.array(range(CELL_BLOCKS), pa.int32()), pa.array(parts, pa.binary())], names)
 
@@ -110,12 +113,12 @@ def survey(docs: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for block, counts in zip(batch.column("block").to_pylist(), batch.column("counts"), strict=True):
-                total[block] = total.get(block, 0) + np.frombuffer(zlib.decompress(counts.as_py()), dtype="<i8")
+                total[block] = total.get(block, 0) + np.frombuffer(zlib.decompress(counts.as_py()), dtype="<u4").astype("<i8")
         if total:
             yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([zlib.compress(t.tobytes(), 1) for t in total.values()], pa.binary())], ["block", "counts"])
 
     read = materialise(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n long, sid long, block int, counts binary"), "jaccard-survey")
-    cells = np.zeros(CELLS, dtype=np.int64)
+    cells = np.zeros(CELLS, dtype=np.float32)
     for row in read.where("block is not null").select("block", "counts").repartition(CELL_BLOCKS, "block").mapInArrow(add, "block int, counts binary").collect():
         size = CELLS // CELL_BLOCKS
         cells[row.block * size : (row.block + 1) * size] = np.frombuffer(zlib.decompress(row.counts), dtype="<i8")
@@ -124,8 +127,9 @@ def survey(docs: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
 
 def heaviness(cells: np.ndarray) -> np.ndarray:
     """0 for cells that chance explains, else a level for every half power of two over that."""
-    usual = 2 * cells.mean() + 6 * np.sqrt(cells.mean()) + 2
-    return np.clip(np.ceil(2 * np.log2(np.maximum(cells, 1) / usual)), 0, 120).astype(np.uint8)
+    mean = float(cells.mean(dtype=float))
+    usual = np.float32(mean + 5 * np.sqrt(mean) + 2)
+    return np.concatenate([np.clip(np.ceil(2 * np.log2(np.maximum(part, 1) / usual)), 0, 120).astype(np.uint8) for part in np.split(cells, CELL_BLOCKS)])
 
 
 def keys_of(shingles: np.ndarray, level: np.ndarray, boundary: int, similarity: tuple[int, int]) -> np.ndarray:
@@ -272,11 +276,12 @@ def jaccard_links(docs: DataFrame, words: int = WORDS, similarity: tuple[int, in
     """(doc_id, n, sid) of every document, and links (a, b) between different sets that connect all sets which links connect."""
     per_doc, cells = survey(docs, words)
     sizes = {r.n: r["count"] for r in per_doc.where(F.col("n").between(1, LARGEST_SMALL)).groupBy("n").count().collect()}
-    mean = float(cells.mean())
-    meets = max(0.0, float((cells.astype(float) ** 2).sum() / max(1, cells.sum())) - mean) / 2
+    mean = float(cells.mean(dtype=float))
+    meets = max(0.0, float(np.dot(cells, cells)) / max(1.0, mean * CELLS) - mean) / 2
     boundary = choose_boundary(sizes, meets, similarity)
     lists = postings(docs, words, cells, boundary, similarity)
-    keys = materialise(lists.groupBy("sid", "n").agg(F.collect_list("key").alias("items")), "jaccard-keys")
+    # half of each key is enough here: where two halves agree by chance, a pair is only compared once more
+    keys = materialise(lists.groupBy("sid", "n").agg(F.collect_list(F.shiftright("key", 32).cast("int")).alias("items")), "jaccard-keys")
     first = per_doc.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
 
     def likely(a: str, b: str):  # sizes that can link
@@ -300,29 +305,31 @@ def jaccard_links(docs: DataFrame, words: int = WORDS, similarity: tuple[int, in
         return pairs.where(F.least("k", "k2") >= needed("n", "n2"))
 
     star = Window.partitionBy("key")
-    # the star of a list is the member that meets most others for its size: of a family of copies, one with few changes
+    # the stars of a list are the members that meet most others for their size: of a family of copies, those with few changes
     sized = lists.withColumn("m", F.count(F.lit(1)).over(star))
-    company = sized.groupBy("sid", "n").agg((F.sum("m") / F.col("n")).alias("company"), F.count(F.lit(1)).alias("k"))
-    lists = materialise(lists.join(company.drop("n"), "sid").select("key", "n", "sid", "k", F.max(F.struct("company", "sid", "n", "k")).over(star).alias("star")), "jaccard-stars")
-    starred = lists.where("sid <> star.sid").select(F.col("star.sid").alias("star"), "sid", "n", "k", F.col("star.n").alias("n2"), F.col("star.k").alias("k2")).where(likely("n", "n2"))
+    company = sized.groupBy("sid", "n").agg((F.sum("m") / F.col("n")).alias("company"), F.count(F.lit(1)).alias("k")).drop("n")
+    rank = F.row_number().over(star.orderBy(F.desc("company"), "sid"))
+    lists = materialise(sized.join(company, "sid").withColumn("rank", rank).select("key", "n", "sid", "k", "m", "rank"), "jaccard-ranks")
+    stars = lists.where((F.col("rank") == 1) | ((F.col("m") > LONG_LIST) & (F.col("rank") <= STARS))).select("key", F.col("sid").alias("star"), F.col("n").alias("n2"), F.col("k").alias("k2"), F.col("rank").alias("rank2"))
+    starred = lists.join(stars, "key").where((F.col("rank") > F.col("rank2")) & likely("n", "n2"))
     links = links_of(reachable(starred).select("star", "sid").distinct())
     # what hangs together by now has one label; a set without a link stands for itself
     label = materialise(components(links), "jaccard-labels").withColumnRenamed("node", "sid")
     labelled = lists.join(label, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
     # members that no other size in their list lets link go, then lists that hang together
-    span = labelled.select("key", "n", "sid", "k", "label", F.col("star.sid").alias("first"), F.min("n").over(star).alias("low"), F.max("n").over(star).alias("high"))
+    span = labelled.select("key", "n", "sid", "k", "label", ((F.col("rank") == 1) | ((F.col("m") > LONG_LIST) & (F.col("rank") <= STARS))).alias("star"), F.min("n").over(star).alias("low"), F.max("n").over(star).alias("high"))
     span = span.withColumns({"low": F.greatest("low", F.ceil(F.col("n") * similarity[0] / similarity[1] - 1e-9)), "high": F.least("high", F.floor(F.col("n") * similarity[1] / similarity[0] + 1e-9))})
     able = span.where(F.col("k") >= F.least(needed("n", "low"), needed("n", "high")))
     open_lists = able.withColumns({"lo": F.min("label").over(star), "hi": F.max("label").over(star)}).where("lo <> hi")
-    open_lists = materialise(open_lists.select("key", "n", "sid", "k", "label", "first"), "jaccard-open")
+    open_lists = materialise(open_lists.select("key", "n", "sid", "k", "label", "star"), "jaccard-open")
     # lists of the same members give the same pairs: one of them is enough
     members = open_lists.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("sid")).alias("x"), F.bit_xor(F.xxhash64("sid", F.lit(1))).alias("y"))
     distinct_lists = members.groupBy("m", "x", "y").agg(F.min("key").alias("key")).select("key")
     # a pair that has the same list before this one has been met there
     before = F.lag("key").over(Window.partitionBy("sid").orderBy("key"))
     open_lists = materialise(open_lists.join(distinct_lists, "key", "left_semi").withColumn("before", before), "jaccard-open")
-    a, b = (open_lists.select("key", "first", *(F.col(c).alias(f"{c}{x}") for c in ("n", "k", "sid", "label", "before"))) for x in ("", "2"))
-    rest = a.join(b.drop("first"), "key").where("sid < sid2 and label <> label2 and sid <> first and sid2 <> first and (before is null or before2 is null or before <> before2)").where(likely("n", "n2"))
+    a, b = (open_lists.select("key", *(F.col(c).alias(f"{c}{x}") for c in ("n", "k", "sid", "label", "star", "before"))) for x in ("", "2"))
+    rest = a.join(b, "key").where("sid < sid2 and label <> label2 and not star and not star2 and (before is null or before2 is null or before <> before2)").where(likely("n", "n2"))
     rest = reachable(rest).select(F.col("sid").alias("star"), F.col("sid2").alias("sid")).distinct()
     return per_doc, links.unionByName(links_of(rest))
 

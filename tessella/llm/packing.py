@@ -10,6 +10,7 @@ batch stay partly empty.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,8 +23,8 @@ from pyspark.sql import functions as F
 from tessella.llm.common import slices, small_batches, table, text_or_empty
 
 WINDOW, END_ID = 4096, 2
-#: Tokens packed together: 64 MB of ids.
-BATCH_TOKENS = 1 << 24
+#: Tokens packed together: 16 MB of ids.
+BATCH_TOKENS = 1 << 22
 
 
 class RoomTree:
@@ -97,7 +98,7 @@ def pack_documents(docs: DataFrame, vocabulary: str, window: int = WINDOW, batch
         yield from packed(held, used)
 
     def packed(held: list, used: int):
-        held = sorted(held, key=lambda d: (d[0] is None, d[0] or 0, d[1].tobytes()))
+        held = sorted(held, key=lambda d: (d[0] is None, d[0] or 0, len(d[1]), zlib.crc32(d[1])))
         total = np.array([len(ids) for _, ids in held], dtype=np.int64)
         full = total // window
         rest = np.flatnonzero(total % window)

@@ -15,7 +15,7 @@ import pyarrow as pa
 from tessella.llm.words import BLOCK, SALT, polynomial, mix, text_buffers
 
 #: Pieces kept, bytes over which a piece is not kept, and pieces encoded in one call.
-CACHE, LONGEST, TOGETHER = 2_500_000, 64, 500
+CACHE, LONGEST, TOGETHER = 1_000_000, 64, 500
 
 #: First bytes of characters that surely are visible: not of white space outside ASCII (after 0xC2, 0xE1, 0xE2, 0xE3).
 _VISIBLE = np.zeros(256, dtype=bool)

@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are hashed at a time (about 50 bytes of memory each).
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 
 _rng = np.random.default_rng(20250101)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
