@@ -357,11 +357,12 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, similarity: tuple[in
 def one_of_each(docs: DataFrame, words: int = WORDS, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
     """The documents, with all their columns, that have the smallest doc_id of their component.
 
-    Of rows with one doc_id one stays. Documents without an id are all kept, as
+    Of rows with one doc_id, one stays or none. Documents without an id are all kept, as
     nothing names them.
     """
     parts = materialise(jaccard_components(docs, words, similarity).select("doc_id", "component_id"), "jaccard-parts")
-    gone = parts.where("doc_id <> component_id").select("doc_id").distinct()
+    first = F.bool_or(F.col("doc_id") == F.col("component_id"))
+    gone = parts.where("doc_id is not null").groupBy("doc_id").agg(first.alias("first")).where("not first").select("doc_id")
     gone = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
     kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
     again = parts.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
