@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,6 +54,18 @@ def doc_key(column: str = "doc_id") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit("null"))
 
 
+def bounded_sample(df: DataFrame, rows: int, *ties: str) -> DataFrame:
+    """At most ``rows`` rows by hash of ``doc_id`` (no larger than the table).
+
+    A large table is first thinned by another hash to about twice as many rows,
+    so that what its tasks send to be merged doesn't grow with their number.
+    """
+    n = df.count()
+    if n > 3 * rows:
+        df = df.where(F.pmod(F.xxhash64(doc_key(), F.lit(7)), F.lit(1 << 30)) < int((1 << 30) * (2 * rows + 50) / n))
+    return df.orderBy(F.md5(doc_key()), "doc_id", *ties).limit(rows)
+
+
 def slices(batches: Iterator, max_bytes: int = 1 << 21) -> Iterator:
     """Cut Arrow batches so that each holds about ``max_bytes`` or one row."""
     for batch in batches:
@@ -58,8 +73,16 @@ def slices(batches: Iterator, max_bytes: int = 1 << 21) -> Iterator:
         if not rows:
             continue
         step = max(1, min(rows, int(rows * max_bytes / max(batch.nbytes, 1))))
-        start = 0
-        while start < rows:
-            part = batch.slice(start, step)
-            yield part
-            start += step
+        for start in range(0, rows, step):
+            yield batch.slice(start, step)
+    release_memory()
+
+
+def release_memory() -> None:
+    """Give freed memory back to the system: a Python worker lives on after its task."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessella.llm.common import materialise, slices, small_batches, table
+from tessella.llm.common import bounded_sample, materialise, slices, small_batches, table
 
 #: Hash buckets of n-grams, pseudo-counts of a bucket, labelled rows at most (by hash of the key), of which one in CALIBRATE only sets the cut.
 BUCKETS, SMOOTHING, LABELLED_ROWS, CALIBRATE = 1 << 16, 8.0, 20_000, 3
@@ -39,9 +39,8 @@ def hashed_grams(column: pa.Array, buckets: int = BUCKETS) -> tuple[np.ndarray,
 
 def good_ids(labels: DataFrame, rows: int = LABELLED_ROWS) -> dict[int, int]:
     """doc_id -> quality of at most ``rows`` labelled documents; of several labels the largest."""
-    key = F.col("doc_id").cast("string")
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").cast("int").alias("quality"))
-    return {r.doc_id: r.quality for r in known.orderBy(F.md5(key), "doc_id").limit(rows).collect()}
+    return {r.doc_id: r.quality for r in bounded_sample(known, rows).collect()}
 
 
 def calibrates(doc_id: int) -> bool:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessella.llm.common import doc_key, materialise, scratch_path, slices, small_batches, table, text_or_empty
+from tessella.llm.common import bounded_sample, materialise, scratch_path, slices, small_batches, table, text_or_empty
 
 MAGIC, TRAILER, END_ID = b"TESSIDS1", b"TESSIDX1", 2
 INDEX = np.dtype([("null", "u1"), ("doc_id", "<i8"), ("offset", "<u8"), ("size", "<u8"), ("tokens", "<u8")])
@@ -48,7 +48,7 @@ def train_dictionary(docs: DataFrame, vocabulary: str, samples: int = 2000, long
 
     from tessella.llm.tokens import ChunkEncoder
 
-    few = docs.where(F.length("text").between(1, longest)).select("text", F.md5(doc_key()).alias("h")).orderBy("h", "text").limit(samples)
+    few = bounded_sample(docs.where(F.length("text").between(1, longest)).select("doc_id", "text"), samples, "text")
     arrays = [ids.tobytes() for ids in ChunkEncoder(vocabulary).encode([r.text for r in few.collect()])]
     try:
         return zstandard.train_dictionary(min(size, max(256, sum(map(len, arrays)) // 10)), arrays).as_bytes()

@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessella.llm.common import materialise, slices, small_batches, table
+from tessella.llm.common import bounded_sample, materialise, slices, small_batches, table
 
 #: Labelled rows to learn from at most (by hash of the key), lexical features, voters among them, least documents with a feature.
 TRAIN_ROWS, FEATURES, VOTERS, LEAST_DOCS = 8000, 1024, 64, 5
@@ -55,7 +55,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) ->
     key = F.col("doc_id").cast("string")
     known = labels.where("doc_id is not null and toxic is not null").where(F.crc32(key.cast("binary")) % 5 != 0)
     known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    known = known.orderBy(F.md5(key), "doc_id").limit(rows)  # bounds what is broadcast
+    known = bounded_sample(known, rows)  # bounds what is broadcast
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
