@@ -15,6 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from tessella.functions import kernels as k
 
@@ -231,10 +232,11 @@ def plane_pixels(planes: DataFrame, column: str, name: str = "v") -> DataFrame:
 
 def map_planes(planes: DataFrame, column: str, kernel: Callable[[np.ndarray], np.ndarray], name: str) -> DataFrame:
     """Add a plane column with the kernel's result."""
-    schema = planes.schema
+    fields = [f for f in planes.schema.fields if f.name != name]
+    schema = StructType([*fields, StructField(name, BinaryType())])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            yield frame.assign(**{name: [kernel(plane(r, column)).astype("<f4").tobytes() for r in frame.itertuples(index=False)]})
+            yield frame.assign(**{name: [kernel(plane(r, column)).astype("<f4").tobytes() for r in frame.itertuples(index=False)]})[schema.names]
 
-    return planes.mapInPandas(run, schema.add(name, "binary") if name not in schema.names else schema)
+    return planes.mapInPandas(run, schema)
