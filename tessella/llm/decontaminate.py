@@ -1,10 +1,10 @@
-"""Benchmark decontamination by rare n-gram seeds and Smith-Waterman alignment.
+"""Benchmark decontamination by n-gram seeds and Smith-Waterman alignment.
 
-Words are runs of letters, lower-cased. The n-grams of the test items that few
-documents have, and always the rarer half of an item's, are seeds. Where a
-document has a seed, the stretch around it is aligned with the item, word by
-word; the score is the best local alignment's share of a full match. So edited
-and paraphrased copies are found as long as a seed survives.
+Words are runs of letters, lower-cased. All n-grams of the test items are seeds,
+however many documents have them. Where a document has a seed, and the stretch
+around it enough of the item's words, it is aligned with the item, word by word;
+the score is the best local alignment's share of a full match. So edited and
+paraphrased copies are found as long as a seed survives.
 
 Items are a query set that goes against all documents in blocks of bounded size:
 a block is broadcast, more items only mean more passes.
@@ -12,7 +12,7 @@ a block is broadcast, more items only mean more passes.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from tessella.llm.common import doc_key, slices, small_batches, table
 
-#: Words of a seed; share of the documents that may have a rare one; least score; characters of items in a block.
-SEED, RARE, LEAST_SCORE, BLOCK_CHARS = 3, 0.001, 0.5, 20_000_000
+#: Words of a seed; least score; characters of items in a block.
+SEED, LEAST_SCORE, BLOCK_CHARS = 3, 0.5, 20_000_000
 MATCH, MISMATCH, GAP = 2, -1, -1
 FOUND = "doc_id long, item_id long, score double, first_word long, last_word long"
 
@@ -43,20 +43,11 @@ def seeds_in(h: np.ndarray, n: int = SEED) -> np.ndarray:
 class SeedIndex:
     """Seeds of the items of a block: hash -> (item, word)."""
 
-    def __init__(self, words: list[np.ndarray], common: Callable[[np.ndarray], np.ndarray] | None = None):
-        """``common`` gives the number of documents with each of sorted n-grams, as a share of the rare limit."""
+    def __init__(self, words: list[np.ndarray]):
         grams = [seeds_in(w) for w in words]
         item = np.repeat(np.arange(len(words)), [len(g) for g in grams])
         at = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.zeros(0, int)
         key = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
-        if common is not None and len(key):
-            share = common(key)
-            order = np.lexsort((share, item))
-            size = np.bincount(item, minlength=len(words))
-            rank = np.empty(len(key))
-            rank[order] = np.arange(len(key)) - np.repeat(np.cumsum(size) - size, size)
-            keep = (share <= 1) | (rank < (size[item] + 1) // 2)
-            item, at, key = item[keep], at[keep], key[keep]
         order = np.argsort(key, kind="stable")
         self.words, self.key, self.item, self.at = words, key[order], item[order], at[order]
         self.unique = np.unique(self.key)
@@ -149,42 +140,10 @@ def blocks_of(items: DataFrame) -> Iterator[tuple[list, list[np.ndarray]]]:
         yield [r.item_id for r, w in zip(rows, words, strict=True) if len(w)], [w for w in words if len(w)]
 
 
-def seed_frequencies(docs: DataFrame, index: SeedIndex) -> tuple[np.ndarray, int]:
-    """Documents with each n-gram of ``index.unique``, and the number of documents."""
-    shared = docs.sparkSession.sparkContext.broadcast(index)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tessella.llm import words
-
-        index, rows = shared.value, 0
-        count = np.zeros(len(index.unique), dtype=np.int64)
-        for batch in slices(batches):
-            h, bounds = words.letter_words(batch.column("text"))
-            rows += batch.num_rows
-            at, number = index.hits(words.grams(h, SEED))
-            doc = np.searchsorted(bounds, at, side="right") - 1
-            inside = at + SEED <= bounds[doc + 1]
-            count += np.bincount(np.unique(doc[inside] * len(count) + number[inside]) % max(1, len(count)), minlength=len(count))
-        used = np.flatnonzero(count)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(used, -1)), pa.array(np.append(count[used], rows))], ["seed", "n"])
-
-    total = docs.select("text").mapInArrow(run, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n")).collect()  # a row for each seed of the block
-    count, rows = np.zeros(len(index.unique), dtype=np.int64), 0
-    for r in total:
-        if r.seed < 0:
-            rows = r.n
-        else:
-            count[r.seed] = r.n
-    return count, rows
-
-
-def rare_indexes(docs: DataFrame, items: DataFrame, rare: float = RARE) -> Iterator[tuple[list, SeedIndex]]:
+def seed_indexes(items: DataFrame) -> Iterator[tuple[list, SeedIndex]]:
     for ids, words in blocks_of(items):
         if ids:
-            every = SeedIndex(words)
-            count, rows = seed_frequencies(docs, every)
-            limit = max(10.0, rare * rows)
-            yield ids, SeedIndex(words, lambda keys: count[np.searchsorted(every.unique, keys)] / limit)
+            yield ids, SeedIndex(words)
 
 
 def found_in(column: pa.Array, index: SeedIndex, least: float) -> Iterator[tuple[int, tuple[int, float, int, int]]]:
@@ -218,7 +177,7 @@ def contaminations(docs: DataFrame, items: DataFrame, least: float = LEAST_SCORE
     """
     spark = docs.sparkSession
     out = None
-    for ids, index in rare_indexes(docs, items):
+    for ids, index in seed_indexes(items):
         shared = spark.sparkContext.broadcast((ids, index))  # BLOCK_CHARS bound it
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -237,7 +196,7 @@ def contaminations(docs: DataFrame, items: DataFrame, least: float = LEAST_SCORE
 
 def clean_documents(docs: DataFrame, items: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
     """The documents, with all their columns, that hold no test item; no row moves."""
-    for _, index in rare_indexes(docs, items):
+    for _, index in seed_indexes(items):
         shared = docs.sparkSession.sparkContext.broadcast(index)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:

@@ -321,6 +321,17 @@ def test_contaminations(spark, documents):
     assert decontaminate.clean_documents(documents(rows).limit(0), bench).count() == 0
 
 
+def test_large_family_of_an_edited_item(spark, documents):
+    rng = np.random.default_rng(21)
+    item = prose(rng, 40, 10**6)
+    edited = ["new" if i % 5 == 0 else w for i, w in enumerate(item)]
+    rows = [(i, " ".join(prose(rng, 30, 10**6) + edited + prose(rng, 30, 10**6))) for i in range(60)]
+    rows += [(100 + i, " ".join(prose(rng, 60, 10**6))) for i in range(20)]
+    bench = spark.createDataFrame([(0, " ".join(item))], "item_id long, text string")
+    assert sorted(r.doc_id for r in decontaminate.contaminations(documents(rows), bench).collect()) == list(range(60))
+    assert {r.doc_id for r in decontaminate.clean_documents(documents(rows), bench).collect()} == set(range(100, 120))
+
+
 def test_item_blocks(spark, documents, monkeypatch):
     monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 200)
     texts = [" ".join(prose(np.random.default_rng(j), 10, 10**6)) for j in range(20)]
