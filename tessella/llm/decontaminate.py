@@ -50,6 +50,7 @@ class SeedIndex:
         key = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
         order = np.argsort(key, kind="stable")
         self.words, self.key, self.item, self.at = words, key[order], item[order], at[order]
+        self.sizes = sorted({min(SEED, len(w)) for w in words if len(w)})  # items of fewer words than a seed are seeds as a whole
         self.unique = np.unique(self.key)
         self.maybe = np.zeros(1 << 16, dtype=bool)
         self.maybe[self.unique >> np.uint64(48)] = True
@@ -103,13 +104,8 @@ def windows(begins: np.ndarray, size: int, words: int) -> list[tuple[int, int]]:
     return out
 
 
-def matches(text: np.ndarray, index: SeedIndex, least: float) -> list[tuple[int, float, int, int]]:
-    """(item, score, first and last word of the stretch) of each item that a document holds."""
-    grams = seeds_in(text)
-    return matches_at(text, index, *index.hits(grams), least)
-
-
 def matches_at(text: np.ndarray, index: SeedIndex, positions: np.ndarray, numbers: np.ndarray, least: float) -> list[tuple[int, float, int, int]]:
+    """(item, score, first and last word of the stretch) of each item that a document with seeds at ``positions`` holds."""
     if not len(positions):
         return []
     item, begin = index.places(positions, numbers)
@@ -151,14 +147,18 @@ def found_in(column: pa.Array, index: SeedIndex, least: float) -> Iterator[tuple
     from tessella.llm import words
 
     h, bounds = words.letter_words(column)
-    at, number = index.hits(words.grams(h, SEED))
-    doc = np.searchsorted(bounds, at, side="right") - 1
-    inside = at + SEED <= bounds[doc + 1]
-    at, number, doc = at[inside], number[inside], doc[inside]
-    short = np.flatnonzero((np.diff(bounds) > 0) & (np.diff(bounds) < SEED))  # whole texts shorter than a seed
-    for d in short.tolist():
-        for m in matches(h[bounds[d] : bounds[d + 1]], index, least):
-            yield d, m
+    hits = []
+    for n in index.sizes:
+        at, number = index.hits(words.grams(h, n))
+        doc = np.searchsorted(bounds, at, side="right") - 1
+        inside = at + n <= bounds[doc + 1]
+        hits.append((at[inside], number[inside], doc[inside]))
+    if not hits:
+        return
+    at, number, doc = (np.concatenate(c) for c in zip(*hits, strict=True))
+    if len(hits) > 1:
+        order = np.argsort(doc, kind="stable")
+        at, number, doc = at[order], number[order], doc[order]
     cut = np.flatnonzero(np.diff(doc)) + 1
     for some, numbers, docs in zip(np.split(at, cut), np.split(number, cut), np.split(doc, cut), strict=True):
         if len(docs):
@@ -171,7 +171,7 @@ def contaminations(docs: DataFrame, items: DataFrame, least: float = LEAST_SCORE
     """A row (doc_id, item_id, score, first_word, last_word) for each document and test item with a score of ``least`` or more.
 
     Null and empty texts hold nothing; items without words are held by nothing;
-    an item of fewer words than a seed is found where a text is as short. A
+    an item of fewer words than a seed is found where a text has it whole. A
     document's row comes as often as the document. Only doc_id and text, item_id
     and text are read; empty tables give an empty result.
     """

@@ -332,6 +332,14 @@ def test_large_family_of_an_edited_item(spark, documents):
     assert {r.doc_id for r in decontaminate.clean_documents(documents(rows), bench).collect()} == set(range(100, 120))
 
 
+def test_items_shorter_than_a_seed(spark, documents):
+    rows = [(1, "some words before alpha beta and after"), (2, "alpha"), (3, "a long text with Gamma in it"), (4, "beta alpha is another order"), (5, "Alpha, beta!"), (6, "ends with alpha"), (7, "beta begins"), (8, "gamma gamma")]
+    bench = spark.createDataFrame([(0, "alpha beta"), (1, "gamma"), (2, "one item of more words")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id, r.score) for r in decontaminate.contaminations(documents(rows), bench).collect()}
+    assert got == {(1, 0, 1.0), (5, 0, 1.0), (3, 1, 1.0), (8, 1, 1.0)}
+    assert {r.doc_id for r in decontaminate.clean_documents(documents(rows), bench).collect()} == {2, 4, 6, 7}
+
+
 def test_item_blocks(spark, documents, monkeypatch):
     monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 200)
     texts = [" ".join(prose(np.random.default_rng(j), 10, 10**6)) for j in range(20)]
