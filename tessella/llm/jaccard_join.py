@@ -19,6 +19,10 @@ hang together need no more comparisons, and in the others only pairs that are
 not yet known to hang together are compared, so that a group of copies costs
 its size and not its square, while no connection is lost. Every link is checked
 on the full sets. Components come from large-star/small-star rounds.
+
+Both ends of a link lie in one component. So all links, not only those that
+connect, come from comparing the different sets of each component with each
+other, in pairs of blocks of bounded size.
 """
 
 from __future__ import annotations
@@ -32,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessella.llm.common import materialise, slices, small_batches, table
+from tessella.llm.common import materialise, release_memory, slices, small_batches, table
 
 WORDS, SIMILARITY = 5, (3, 4)
 #: Cells of the count sketch (64 MB of counts, 16 MB of levels), sent in blocks.
@@ -46,6 +50,8 @@ LARGEST_SMALL, SUBSET = 64, 2
 FILTER_BITS = 1 << 25
 #: Members that one task compares with a star before the star is dealt again.
 STAR_SHARE = 400
+#: Sets and shingles of a block of a component, of which a task holds two; pairs up to which sets are compared one by one.
+BLOCK_SETS, BLOCK_SHINGLES, FEW_PAIRS = 1000, 1_000_000, 64
 #: Ids (8 bytes each) up to which they are broadcast.
 BROADCAST_IDS = 1_000_000
 
@@ -272,8 +278,93 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())
 
 
-def jaccard_links(docs: DataFrame, words: int = WORDS, similarity: tuple[int, int] = SIMILARITY) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n, sid) of every document, and links (a, b) between different sets that connect all sets which links connect."""
+def common_counts(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Number of common shingles of each set of ``a`` and each of ``b``.
+
+    Shingles that few sets have add to the pairs that have them; the others are
+    columns of two matrices that are multiplied some thousand columns at a time.
+    """
+    if len(a) * len(b) <= FEW_PAIRS:
+        return np.array([[np.intersect1d(x, y, assume_unique=True).size for y in b] for x in a])
+
+    def postings_of(sets):  # shingles, number and first place of each one's sets, the sets by shingle
+        every, of = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        order = np.argsort(every, kind="stable")
+        value, start, count = np.unique(every[order], return_index=True, return_counts=True)
+        return value, start, count, of[order]
+
+    def members(start, count, of):
+        return of[np.repeat(start - np.cumsum(count) + count, count) + np.arange(count.sum())]
+
+    (va, sa, ca, oa), (vb, sb, cb, ob) = postings_of(a), postings_of(b)
+    _, ia, ib = np.intersect1d(va, vb, assume_unique=True, return_indices=True)
+    sa, ca, sb, cb = sa[ia], ca[ia], sb[ib], cb[ib]
+    total = np.zeros(len(a) * len(b), dtype=np.int64)
+    few = np.flatnonzero(ca * cb <= FEW_PAIRS)
+    for part in np.split(few, range(50_000, len(few), 50_000)):
+        left, times = members(sa[part], ca[part], oa), np.repeat(cb[part], ca[part])
+        right = members(np.repeat(sb[part], ca[part]), times, ob)
+        total += np.bincount(np.repeat(left, times) * len(b) + right, minlength=len(total))
+    total = total.reshape(len(a), len(b))
+    many = np.flatnonzero(ca * cb > FEW_PAIRS)
+    for part in np.split(many, range(2000, len(many), 2000)):
+        x, y = np.zeros((len(a), len(part)), np.float32), np.zeros((len(b), len(part)), np.float32)
+        x[members(sa[part], ca[part], oa), np.repeat(np.arange(len(part)), ca[part])] = 1
+        y[members(sb[part], cb[part], ob), np.repeat(np.arange(len(part)), cb[part])] = 1
+        total += np.rint(x @ y.T).astype(np.int64)
+    return total
+
+
+def links_within(labels: DataFrame, sets: DataFrame, similarity: tuple[int, int], counts: bool = False) -> DataFrame:
+    """All links (a, b), a < b, between different sets of each component; with ``counts`` (sid, n_links) in parts to be added up.
+
+    ``labels``: (node, label); ``sets``: (sid, n, items) of all nodes. Every pair of
+    blocks of a component is a group of rows of its own.
+    """
+    names = ["sid", "n_links"] if counts else ["a", "b"]
+
+    def linked(held: dict) -> pa.RecordBatch | None:
+        (ids, x), (ids2, y) = next(iter(held.values())), list(held.values())[-1]
+        n, m = np.array([len(v) for v in x]), np.array([len(v) for v in y])
+        both = common_counts(x, y)
+        good = similarity[1] * both >= similarity[0] * (n[:, None] + m[None, :] - both)
+        ids, ids2 = np.array(ids, dtype=np.int64), np.array(ids2, dtype=np.int64)
+        if len(held) == 1:
+            np.fill_diagonal(good, False)
+        if counts:
+            sid, links = (ids, good.sum(1)) if len(held) == 1 else (np.concatenate([ids, ids2]), np.concatenate([good.sum(1), good.sum(0)]))
+            some = links > 0
+            return pa.RecordBatch.from_arrays([pa.array(sid[some]), pa.array(links[some].astype(np.int64))], names)
+        i, j = np.nonzero(np.triu(good) if len(held) == 1 else good)
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(ids[i], ids2[j])), pa.array(np.maximum(ids[i], ids2[j]))], names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, held = None, {}
+        for batch in batches:
+            keys = zip(*(batch.column(c).to_pylist() for c in ("label", "i", "j", "block", "sid")), strict=True)
+            for (label, i, j, block, sid), items in zip(keys, batch.column("items"), strict=True):
+                if (label, i, j) != group:
+                    # of two blocks one may be empty
+                    if held and (len(held) == 2 or group[1] == group[2]):
+                        yield linked(held)
+                    group, held = (label, i, j), {}
+                ids, own = held.setdefault(block, ([], []))
+                ids.append(sid)
+                own.append(items.values.to_numpy(zero_copy_only=False).copy())
+        if held and (len(held) == 2 or group[1] == group[2]):
+            yield linked(held)
+        release_memory()
+
+    member = labels.select(F.col("node").alias("sid"), "label").join(sets, "sid")
+    size = member.groupBy("label").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_SETS, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    placed = member.join(size, "label").withColumn("block", F.pmod(F.xxhash64("sid"), "blocks").cast("int"))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    placed = placed.select("label", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "sid", "items")
+    return placed.repartition("label", "i", "j").sortWithinPartitions("label", "i", "j").mapInArrow(run, f"{names[0]} long, {names[1]} long")
+
+
+def jaccard_links(docs: DataFrame, words: int = WORDS, similarity: tuple[int, int] = SIMILARITY) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(doc_id, n, sid) of every document, links (a, b) between different sets that connect all sets which links connect, and (sid, n, items) of those sets and others."""
     per_doc, cells = survey(docs, words)
     sizes = {r.n: r["count"] for r in per_doc.where(F.col("n").between(1, LARGEST_SMALL)).groupBy("n").count().collect()}
     mean = float(cells.mean(dtype=float))
@@ -287,14 +378,14 @@ def jaccard_links(docs: DataFrame, words: int = WORDS, similarity: tuple[int, in
     def likely(a: str, b: str):  # sizes that can link
         return (F.col(a) * similarity[1] >= F.col(b) * similarity[0]) & (F.col(b) * similarity[1] >= F.col(a) * similarity[0])
 
-    def links_of(pairs: DataFrame) -> DataFrame:
-        """Links among the pairs (star, sid): first by the keys they share, then by the full sets."""
+    def links_of(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Links among the pairs (star, sid), and the sets compared: first by the keys they share, then by the full sets."""
         some = verify(materialise(pairs, "jaccard-pairs"), keys, lambda both, x, y: both >= keys_needed(x, y, boundary, similarity))
         some = materialise(some, "jaccard-candidates")
         nodes = some.select(F.explode(F.array("star", "sid")).alias("sid")).distinct()
         sets = fetch_sets(docs, words, materialise(nodes.join(first, "sid"), "jaccard-wanted"))
         found = verify(some, sets, lambda both, x, y: similar(both, x, y, similarity))
-        return materialise(found.select(F.col("star").alias("a"), F.col("sid").alias("b")), "jaccard-links")
+        return materialise(found.select(F.col("star").alias("a"), F.col("sid").alias("b")), "jaccard-links"), sets
 
     def needed(a: str, b: str):  # keys_needed as a column
         p, q = similarity
@@ -312,7 +403,7 @@ def jaccard_links(docs: DataFrame, words: int = WORDS, similarity: tuple[int, in
     lists = materialise(sized.join(company, "sid").withColumn("rank", rank).select("key", "n", "sid", "k", "m", "rank"), "jaccard-ranks")
     stars = lists.where((F.col("rank") == 1) | ((F.col("m") > LONG_LIST) & (F.col("rank") <= STARS))).select("key", F.col("sid").alias("star"), F.col("n").alias("n2"), F.col("k").alias("k2"), F.col("rank").alias("rank2"))
     starred = lists.join(stars, "key").where((F.col("rank") > F.col("rank2")) & likely("n", "n2"))
-    links = links_of(reachable(starred).select("star", "sid").distinct())
+    links, sets = links_of(reachable(starred).select("star", "sid").distinct())
     # what hangs together by now has one label; a set without a link stands for itself
     label = materialise(components(links), "jaccard-labels").withColumnRenamed("node", "sid")
     labelled = lists.join(label, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
@@ -331,26 +422,36 @@ def jaccard_links(docs: DataFrame, words: int = WORDS, similarity: tuple[int, in
     a, b = (open_lists.select("key", *(F.col(c).alias(f"{c}{x}") for c in ("n", "k", "sid", "label", "star", "before"))) for x in ("", "2"))
     rest = a.join(b, "key").where("sid < sid2 and label <> label2 and not star and not star2 and (before is null or before2 is null or before <> before2)").where(likely("n", "n2"))
     rest = reachable(rest).select(F.col("sid").alias("star"), F.col("sid2").alias("sid")).distinct()
-    return per_doc, links.unionByName(links_of(rest))
+    more, others = links_of(rest)
+    others = others.join(sets.select("sid"), "sid", "left_anti").select(sets.columns)
+    return per_doc, links.unionByName(more), sets.unionByName(others)
+
+
+def jaccard_pairs(docs: DataFrame, words: int = WORDS, similarity: tuple[int, int] = SIMILARITY) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n, sid) of every document, and all links (a, b), a < b, between different sets."""
+    per_doc, links, sets = jaccard_links(docs, words, similarity)
+    return per_doc, links_within(materialise(components(links), "jaccard-labels"), sets, similarity)
 
 
 def jaccard_components(docs: DataFrame, words: int = WORDS, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
-    """doc_id, n_shingles and component_id (smallest doc_id of the component) of every document.
+    """doc_id, n_shingles, component_id (smallest doc_id of the component) and n_links of every document.
 
-    A null or empty text, or one of white space, has no shingles and links with
+    n_links is the number of different texts (as sets of shingles) that the
+    document links to; its exact copies are in its component and no links. A null or empty text, or one of white space, has no shingles and links with
     nothing. Rows with equal ``doc_id`` are documents of their own; a null
     ``doc_id`` names a component only if no other member has an id. Other columns
     are not read; an empty table gives an empty result.
     """
-    per_doc, links = jaccard_links(docs, words, similarity)
+    per_doc, links, sets = jaccard_links(docs, words, similarity)
     labels = materialise(components(links), "jaccard-labels")
     least = per_doc.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("least"))
     least = least.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
     whole = least.groupBy("label").agg(F.min("least").alias("component_id"))
-    component = least.join(whole, "label").select("sid", "component_id")
+    counts = links_within(labels, sets, similarity, counts=True).groupBy("sid").agg(F.sum("n_links").alias("n_links"))
+    component = least.join(whole, "label").join(counts, "sid", "left").select("sid", "component_id", "n_links")
     return (
         per_doc.join(component.withColumn("n", F.lit(None)).drop("n"), "sid", "left")
-        .select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+        .select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     )
 
 

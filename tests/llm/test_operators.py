@@ -52,6 +52,32 @@ def test_jaccard_boundary_changes_nothing(documents, boundary, monkeypatch):
     assert got == sorted(brute.jaccard_components(rows), key=str)
 
 
+def plain_links(rows):
+    """Links between different sets, as pairs of frozen sets."""
+    sets = list({frozenset(brute.shingles(t)) for _, t in rows} - {frozenset()})
+    return [(a, b) for i, a in enumerate(sets) for b in sets[:i] if a & b and 4 * len(a & b) >= 3 * len(a | b)]
+
+
+@pytest.mark.parametrize("block", [3, 1000])
+def test_jaccard_all_links(documents, block, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK_SETS", block)
+    rows = copies(8)
+    links, want = plain_links(rows), {}
+    for a, b in links:
+        want[a], want[b] = want.get(a, 0) + 1, want.get(b, 0) + 1
+    expected = sorted(((d, want.get(frozenset(brute.shingles(t)), 0)) for d, t in rows), key=str)
+    assert sorted(((r.doc_id, r.n_links) for r in jaccard_join.jaccard_components(documents(rows)).collect()), key=str) == expected
+    pairs = [(r.a, r.b) for r in jaccard_join.jaccard_pairs(documents(rows))[1].collect()]
+    assert len(set(pairs)) == len(pairs) == len(links) > 0 and all(a < b for a, b in pairs)
+
+
+def test_common_counts():
+    rng = np.random.default_rng(13)
+    for n, m, size in ((1, 1, 50), (3, 90, 300), (40, 30, 5000), (60, 60, 70)):
+        a, b = ([np.unique(rng.integers(0, size, rng.integers(1, 60))) for _ in range(k)] for k in (n, m))
+        assert jaccard_join.common_counts(a, b).tolist() == [[len(set(x.tolist()) & set(y.tolist())) for y in b] for x in a]
+
+
 def test_jaccard_empty(documents):
     assert jaccard_join.jaccard_components(documents([(1, "a")]).limit(0)).count() == 0
 
