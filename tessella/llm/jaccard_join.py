@@ -387,9 +387,12 @@ def jaccard_links(docs: DataFrame, words: int = WORDS, similarity: tuple[int, in
         found = verify(some, sets, lambda both, x, y: similar(both, x, y, similarity))
         return materialise(found.select(F.col("star").alias("a"), F.col("sid").alias("b")), "jaccard-links"), sets
 
-    def needed(a: str, b: str):  # keys_needed as a column
+    def shared_keys(a: str, b: str):
         p, q = similarity
-        shared = F.ceil(F.lit(p) * (F.col(a) + F.col(b)) / F.lit(p + q) - 1e-9) - F.ceil(F.greatest(a, b) * p / q - 1e-9) + 1
+        return F.ceil(F.lit(p) * (F.col(a) + F.col(b)) / F.lit(p + q) - 1e-9) - F.ceil(F.greatest(a, b) * p / q - 1e-9) + 1
+
+    def needed(a: str, b: str):  # keys_needed as a column
+        shared = shared_keys(a, b)
         return F.when(F.greatest(a, b) <= boundary, shared * (shared + 1) / 2).otherwise(shared)
 
     def reachable(pairs: DataFrame) -> DataFrame:  # both sets have keys enough
@@ -410,7 +413,9 @@ def jaccard_links(docs: DataFrame, words: int = WORDS, similarity: tuple[int, in
     # members that no other size in their list lets link go, then lists that hang together
     span = labelled.select("key", "n", "sid", "k", "label", ((F.col("rank") == 1) | ((F.col("m") > LONG_LIST) & (F.col("rank") <= STARS))).alias("star"), F.min("n").over(star).alias("low"), F.max("n").over(star).alias("high"))
     span = span.withColumns({"low": F.greatest("low", F.ceil(F.col("n") * similarity[0] / similarity[1] - 1e-9)), "high": F.least("high", F.floor(F.col("n") * similarity[1] / similarity[0] + 1e-9))})
-    able = span.where(F.col("k") >= F.least(needed("n", "low"), needed("n", "high")))
+    # shared_keys() never falls with the other size up to n and falls from n on, but for rounding: inside it may be one less than at the high end
+    least = F.greatest(F.lit(1), F.least(shared_keys("n", "low"), shared_keys("n", "high") - 1))
+    able = span.where(F.col("k") >= F.when(F.greatest("n", "high") <= boundary, least * (least + 1) / 2).otherwise(least))
     open_lists = able.withColumns({"lo": F.min("label").over(star), "hi": F.max("label").over(star)}).where("lo <> hi")
     open_lists = materialise(open_lists.select("key", "n", "sid", "k", "label", "star"), "jaccard-open")
     # lists of the same members give the same pairs: one of them is enough

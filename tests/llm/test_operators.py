@@ -78,6 +78,15 @@ def test_common_counts():
         assert jaccard_join.common_counts(a, b).tolist() == [[len(set(x.tolist()) & set(y.tolist())) for y in b] for x in a]
 
 
+def test_no_member_goes_that_a_middle_size_lets_link(documents, monkeypatch):
+    """The set of 10 has one key with the set of 11; with sets of 10 or 12 it would need two."""
+    monkeypatch.setattr(jaccard_join, "choose_boundary", lambda *a: 0)
+    shared = " ".join(f"s{c}" for c in "abcdefghi")
+    rows = [(1, f"{shared} a"), (2, f"ya yb {shared}"), (3, f"ya yb z {shared}"), (4, "z")]
+    got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_components(documents(rows), words=1).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 4}
+
+
 def test_jaccard_empty(documents):
     assert jaccard_join.jaccard_components(documents([(1, "a")]).limit(0)).count() == 0
 
