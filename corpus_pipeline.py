@@ -29,9 +29,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near duplicates stays."""
+    """One row of each component of near duplicates stays, whatever its doc_id."""
     small_batches(spark)
-    return jaccard_join.one_of_each(docs)
+    return jaccard_join.one_row_of_each(docs)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -35,6 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tessella.llm.common import materialise, release_memory, slices, small_batches, table
 
@@ -478,6 +479,46 @@ def one_of_each(docs: DataFrame, words: int = WORDS, similarity: tuple[int, int]
     return kept.join(again, "doc_id", "left_anti").select(docs.columns).unionByName(kept.join(again, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"]))
 
 
+def one_row_of_each(docs: DataFrame, words: int = WORDS, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
+    """One row, with all its columns, of each component: of the smallest doc_id, then the smallest digest of its set.
+
+    Rows are told apart by doc_id and set, so rows of other components under one
+    doc_id stay; a null doc_id comes last. Of rows equal in both, the first by their
+    columns as JSON stays. A row without shingles links with nothing and stays.
+    """
+    per_doc, links, _ = jaccard_links(docs, words, similarity)
+    labels = materialise(components(links), "jaccard-labels").withColumnRenamed("node", "sid")
+    rows = per_doc.where("n > 0").groupBy("doc_id", "sid").agg(F.count(F.lit(1)).alias("copies"))
+    rows = materialise(rows.join(labels, "sid", "left").withColumn("label", F.coalesce("label", "sid")), "jaccard-parts")
+    leads = rows.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "sid")).alias("lead"))
+    stays = F.col("doc_id").eqNullSafe(F.col("lead.doc_id")) & (F.col("sid") == F.col("lead.sid"))
+    # pairs that go, and pairs of which one row of several stays
+    marked = rows.join(leads, "label").withColumn("stays", stays).where("not stays or copies > 1")
+    marked = materialise(marked.select(F.col("doc_id").alias("marked_id"), F.col("sid").alias("marked_sid"), "stays"), "jaccard-marked")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from tessella.llm.words import shingle_sets
+
+        for batch in slices(batches):
+            sets = shingle_sets(batch.column("text"), words)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([set_digest(s) if len(s) else None for s in sets], pa.int64())], [*batch.schema.names, "own_sid"])
+
+    keyed = docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("own_sid", LongType())]))
+    few = marked.count() <= BROADCAST_IDS
+    met = F.col("doc_id").cast("long").eqNullSafe(F.col("marked_id")) & (F.col("own_sid") == F.col("marked_sid"))
+
+    def bounded(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if few else df
+
+    again = marked.where("stays")
+    if again.isEmpty():
+        return keyed.join(bounded(marked), met, "left_anti").select(docs.columns)
+    several = keyed.join(bounded(again), met, "left_semi")
+    row = F.struct(*docs.columns)
+    first = several.groupBy(F.col("doc_id").alias("key"), "own_sid").agg(F.min_by(row, F.to_json(row)).alias("row")).select("row.*")
+    return keyed.join(bounded(marked), met, "left_anti").select(docs.columns).unionByName(first)
+
+
 def op2_jaccard_join(spark, sf_dir: str) -> DataFrame:
     small_batches(spark)
     return jaccard_components(table(spark, sf_dir, "documents"))

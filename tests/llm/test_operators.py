@@ -99,6 +99,20 @@ def test_one_of_each(documents):
     assert sum(r.doc_id is None for r in kept) == sum(d is None for d, _ in rows)
 
 
+def test_one_row_of_each(spark, documents):
+    import corpus_pipeline
+
+    rng = np.random.default_rng(17)
+    a, b, c, d = (" ".join(prose(rng, 40, 10**6)) for _ in range(4))
+    # an id with texts of its own, ids that lead one component and follow in another, copies without an id, rows without words
+    rows = [(1, a), (1, b), (1, a), (2, b), (2, c), (3, c.upper()), (None, d), (None, d), (None, d + " more"), (None, a), (7, ""), (7, ""), (None, None)]
+    kept = [(r.doc_id, (r.text or "").lower()) for r in corpus_pipeline.near_duplicates(spark, documents(rows), "").collect()]
+    assert sum(k == (None, "") for k in kept) == 1 and kept.count((7, "")) == 2
+    kept = sorted((k for k in kept if k[1]), key=str)
+    assert [k for k in kept if k[0] is not None] == sorted([(1, a), (1, b), (2, c)])
+    assert len(kept) == 4 and kept[-1][0] is None and kept[-1][1] in (d, d + " more")
+
+
 def test_keys_needed_never_exceeds_what_linked_sets_share():
     rng = np.random.default_rng(5)
     level = np.zeros(jaccard_join.CELLS, np.uint8)
