@@ -21,6 +21,17 @@ def test_query_runs(spark, name):
     assert entry.plans.QUERIES[name](spark, SF).count() > 0
 
 
+def test_signflip_takes_every_unit(spark, con):
+    rows = entry.plans.QUERIES["paired_effects_signflip"](spark, SF).collect()
+    assert all((r.exact_signflip_p_mean_difference is not None) == (r.n_paired_units >= 2) for r in rows)
+    got = {}
+    for r in rows:
+        n, higher = got.get((r.compartment, r.metric), (0, 0))
+        got[r.compartment, r.metric] = (n + r.n_paired_units, higher + r.n_higher_in_comparison)
+    whole = con.execute(SQL["paired_effects"]).fetchall()
+    assert whole and all(got[c, m] == (n, higher) for c, m, n, higher, *_ in whole)
+
+
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.count() == 10 and "h_score" not in df.columns and "tissue_area_px" in df.columns
