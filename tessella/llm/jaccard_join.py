@@ -13,12 +13,19 @@ With c = ceil(similarity * n) shingles to share at least,
 The boundary is the size with the least cost: subsets enumerated on one side,
 postings times the expected length of their lists on the other.
 
-Equal sets count once (by a 64-bit digest and the set's size). In every list the
-members are first compared with one of them, the star; lists whose members all
-hang together need no more comparisons, and in the others only pairs that are
-not yet known to hang together are compared, so that a group of copies costs
-its size and not its square, while no connection is lost. Every link is checked
-on the full sets. Components come from large-star/small-star rounds.
+A posting also says how many shingles its set has from that place on (``rest``).
+Two sets of a list can link by its key only if both have as many left as their
+pair must share; so documents that hold one frequent passage, which stands last
+in their order, are no candidates of each other unless it makes them alike.
+
+Equal sets count once (by a 64-bit digest and the set's size). Short lists give
+all their pairs. In a long one the members are first compared with a few, the
+stars, which in a family of copies are those with few changes; then only pairs
+are compared that are not yet known to hang together, within the task that holds
+the list, or two blocks of it. So a family costs its size and not its square,
+while no connection is lost. Every candidate must share enough keys, and every
+link is checked on the full sets. Components come from large-star/small-star
+rounds.
 
 Both ends of a link lie in one component. So all links, not only those that
 connect, come from comparing the different sets of each component with each
@@ -43,10 +50,12 @@ WORDS, SIMILARITY = 5, (3, 4)
 #: Cells of the count sketch (64 MB of counts, 16 MB of levels), sent in blocks.
 CELLS, CELL_BLOCKS = 1 << 24, 64
 CELL_SHIFT = np.uint64(64 - 24)
-#: Lists with more members have more stars.
-LONG_LIST, STARS = 8, 4
-#: No set over this size is small, whatever the cost says; subsets have two shingles.
-LARGEST_SMALL, SUBSET = 64, 2
+#: Lists of more members are long; stars of a long list; members in a block of one; members that a task holds of a list before it passes them on.
+SHORT_LIST, STARS, BLOCK_MEMBERS, HELD = 4, 4, 2000, 200_000
+#: Members of a list up to which each is held against all others there.
+EACH_OTHER = 512
+#: Shingles of a subset.
+SUBSET = 2
 #: Bits of the filter for sets to fetch (4 MB at most).
 FILTER_BITS = 1 << 25
 #: Members that one task compares with a star before the star is dealt again.
@@ -67,23 +76,32 @@ def prefix_length(n: int, shared: int, similarity: tuple[int, int] = SIMILARITY)
     return n - least_overlap(n, similarity) + shared if least_overlap(n, similarity) >= shared else 0
 
 
-def choose_boundary(sizes: dict[int, int], list_length: float, similarity: tuple[int, int] = SIMILARITY) -> int:
-    """Largest small size. ``sizes``: number of sets by size, up to LARGEST_SMALL; ``list_length``: postings that one posting meets."""
+def subsets_of(n: int, similarity: tuple[int, int] = SIMILARITY) -> int:
+    return math.comb(prefix_length(n, SUBSET, similarity), SUBSET)
+
 
-    def subsets(n: int) -> int:
-        return math.comb(prefix_length(n, SUBSET, similarity), SUBSET)
+def largest_small(list_length: float, similarity: tuple[int, int] = SIMILARITY) -> int:
+    """The size from which on subsets cost more than scanning lists, whatever the other sets are."""
+    n = 1
+    while subsets_of(n, similarity) <= prefix_length(n, 1, similarity) * (1 + list_length) or subsets_of(n + 1, similarity) <= prefix_length(n + 1, 1, similarity) * (1 + list_length):
+        n += 1
+    return n
+
+
+def choose_boundary(sizes: dict[int, int], list_length: float, similarity: tuple[int, int] = SIMILARITY) -> int:
+    """Largest small size. ``sizes``: number of sets by size, up to ``largest_small``; ``list_length``: postings that one posting meets."""
 
     def cost(x: int) -> float:
         near = least_overlap(x + 1, similarity)
         total = 0.0
         for n, count in sizes.items():
             if n <= x:
-                total += count * (subsets(n) + (prefix_length(n, 1, similarity) if n >= near else 0))
+                total += count * (subsets_of(n, similarity) + (prefix_length(n, 1, similarity) if n >= near else 0))
             else:
                 total += count * prefix_length(n, 1, similarity) * (1 + list_length)
         return total
 
-    return min(range(LARGEST_SMALL + 1), key=lambda x: (cost(x), x))
+    return min([0, *sizes], key=lambda x: (cost(x), x))
 
 
 def set_digest(shingles: np.ndarray) -> int:
@@ -100,6 +118,21 @@ def batches_of_sets(batches: Iterator[pa.RecordBatch], words: int):
         yield [(d, s, set_digest(s) if len(s) else 0) for d, s in zip(batch.column("doc_id").to_pylist(), shingle_sets(batch.column("text"), words), strict=True)]
 
 
+def packed_counts(counts: np.ndarray) -> bytes:
+    """A bit for each count over 0, then the counts less one: a byte each, 255 for those that follow in full."""
+    some = counts[counts > 0] - 1
+    large = some[some >= 255]
+    return zlib.compress(np.packbits(counts > 0).tobytes() + np.minimum(some, 255).astype(np.uint8).tobytes() + large.astype("<u4").tobytes(), 1)
+
+
+def add_counts(total: np.ndarray, packed: bytes) -> None:
+    raw, bits = zlib.decompress(packed), len(total) // 8
+    at = np.flatnonzero(np.unpackbits(np.frombuffer(raw, np.uint8, bits)))
+    some = np.frombuffer(raw, np.uint8, len(at), bits).astype(np.int64)
+    some[some == 255] = np.frombuffer(raw, "<u4", offset=bits + len(at))
+    total[at] += some + 1
+
+
 def survey(docs: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
     """A row (doc_id, n, sid) for each document, and the count sketch of all shingles."""
 
@@ -112,7 +145,7 @@ def survey(docs: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
             ids, sizes, digests = [r[0] for r in rows], [len(r[1]) for r in rows], [r[2] for r in rows]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(digests, pa.int64()), pa.nulls(len(rows), pa.int32()), pa.nulls(len(rows), pa.binary())], names)
         if cells.any():
-            parts = [zlib.compress(p.astype("<u4").tobytes(), 1) for p in np.split(cells, CELL_BLOCKS)]
+            parts = [packed_counts(p) for p in np.split(cells, CELL_BLOCKS)]
             none = pa.nulls(CELL_BLOCKS, pa.int64())
             yield pa.RecordBatch.from_arrays([none, none, none, pa.array(range(CELL_BLOCKS), pa.int32()), pa.array(parts, pa.binary())], names)
 
@@ -120,7 +153,7 @@ def survey(docs: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for block, counts in zip(batch.column("block").to_pylist(), batch.column("counts"), strict=True):
-                total[block] = total.get(block, 0) + np.frombuffer(zlib.decompress(counts.as_py()), dtype="<u4").astype("<i8")
+                add_counts(total.setdefault(block, np.zeros(CELLS // CELL_BLOCKS, dtype="<i8")), counts.as_py())
         if total:
             yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([zlib.compress(t.tobytes(), 1) for t in total.values()], pa.binary())], ["block", "counts"])
 
@@ -139,24 +172,94 @@ def heaviness(cells: np.ndarray) -> np.ndarray:
     return np.concatenate([np.clip(np.ceil(2 * np.log2(np.maximum(part, 1) / usual)), 0, 120).astype(np.uint8) for part in np.split(cells, CELL_BLOCKS)])
 
 
-def keys_of(shingles: np.ndarray, level: np.ndarray, boundary: int, similarity: tuple[int, int]) -> np.ndarray:
-    """The keys under which a set looks for others."""
+def keys_of(shingles: np.ndarray, level: np.ndarray, boundary: int, similarity: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """The keys under which a set looks for others, and how many shingles it can share at most with a set that it first meets there."""
     from tessella.llm.words import mix
 
     n = len(shingles)
     ordered = shingles[np.lexsort((shingles, level[shingles >> CELL_SHIFT]))]
-    keys = []
+    keys, rest = [], []
     if n > boundary or n >= least_overlap(boundary + 1, similarity):
         keys.append(ordered[: prefix_length(n, 1, similarity)])
+        rest.append(n - np.arange(len(keys[-1])))
     if n <= boundary:
         first = ordered[: prefix_length(n, SUBSET, similarity)]
         i, j = np.triu_indices(len(first), 1)
         keys.append(mix(first[i] * np.uint64(0x9E3779B97F4A7C15) + mix(first[j])))
-    return np.concatenate(keys)
-
-
-def postings(docs: DataFrame, words: int, cells: np.ndarray, boundary: int, similarity: tuple[int, int]) -> DataFrame:
-    """Rows (key, n, sid) of all lists with two different sets at least."""
+        rest.append(n - j + 1)  # the second of the pair stands at j, so one shared shingle more than from there on
+    return np.concatenate(keys), np.concatenate(rest)
+
+
+def overlap_of(a, b, similarity: tuple[int, int] = SIMILARITY):
+    """Shingles that linked sets of ``a`` and ``b`` shingles share at least."""
+    return -(-similarity[0] * (a + b) // (similarity[0] + similarity[1]))
+
+
+def able(n: np.ndarray, rest: np.ndarray, similarity: tuple[int, int]) -> np.ndarray:
+    """Whether each member of a list may link by it to any other; for long lists, to the smallest size that it could link to."""
+    if len(n) <= EACH_OTHER:
+        both = overlap_of(n[:, None], n[None, :], similarity) <= np.minimum(rest[:, None], rest[None, :])
+        np.fill_diagonal(both, False)
+        return both.any(1)
+    return overlap_of(n, np.maximum(n.min(), -(-n * similarity[0] // similarity[1])), similarity) <= rest
+
+
+#: kind 0: a pair (x, y) of a short list, with sizes, and whether they may link by it. Kind 1: a member of a long list: x key, y set, nx its size, ny its rest.
+MET = "kind int, x long, y long, nx int, ny int, able boolean, members int"
+
+
+def met_in_lists(batches: Iterator[pa.RecordBatch], similarity: tuple[int, int]) -> Iterator[pa.RecordBatch]:
+    """Pairs and members (``MET``) of lists that come one after the other, as rows (key, sid, span) without repeated sets."""
+
+    def batch_of(kind: int, x, y, nx, ny, flag, members) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(x), kind, np.int32)), pa.array(x), pa.array(y), pa.array(nx.astype(np.int32)), pa.array(ny.astype(np.int32)), pa.array(flag), pa.array(np.broadcast_to(members, len(x)).astype(np.int32))],
+            ["kind", "x", "y", "nx", "ny", "able", "members"],
+        )
+
+    def emit(key: np.ndarray, sid: np.ndarray, span: np.ndarray, open_key) -> Iterator[pa.RecordBatch]:
+        if not len(key):
+            return
+        n, rest = span >> 32, span & 0xFFFFFFFF
+        start = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1])
+        size = np.diff(start, append=len(key))
+        long = (size > SHORT_LIST) | (key[start] == open_key if open_key is not None else False)
+        for m in range(2, SHORT_LIST + 1):
+            first = start[~long & (size == m)]
+            if not len(first):
+                continue
+            i, j = np.triu_indices(m, 1)
+            i, j = (first[:, None] + i).ravel(), (first[:, None] + j).ravel()
+            yield batch_of(0, sid[i], sid[j], n[i], n[j], overlap_of(n[i], n[j], similarity) <= np.minimum(rest[i], rest[j]), m)
+        some = np.flatnonzero(np.repeat(long, size))
+        if len(some):
+            flag = np.zeros(len(key), dtype=bool)
+            for a, m in zip(start[long].tolist(), size[long].tolist(), strict=True):
+                # what a task can't hold as a whole may meet others
+                flag[a : a + m] = True if key[a] == open_key else able(n[a : a + m], rest[a : a + m], similarity)
+            yield batch_of(1, key[some], sid[some], n[some], rest[some], flag[some], np.repeat(size, size)[some])
+
+    held, open_key = [np.zeros(0, np.int64)] * 3, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held = [np.concatenate([h, batch.column(c).to_numpy()]) for h, c in zip(held, ("key", "sid", "span"), strict=True)]
+        key = held[0]
+        last = int(np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))[-1])
+        if len(key) - last > HELD:  # pass on what there is of a list that has no end
+            yield from emit(*(h[:last] for h in held), open_key)
+            open_key = int(key[-1])
+            yield from emit(*(h[last:] for h in held), open_key)
+            held = [np.zeros(0, np.int64)] * 3
+        elif last:
+            yield from emit(*(h[:last] for h in held), open_key)
+            held = [h[last:] for h in held]
+    yield from emit(*held, open_key)
+    release_memory()
+
+
+def met(docs: DataFrame, words: int, cells: np.ndarray, boundary: int, similarity: tuple[int, int]) -> DataFrame:
+    """What the lists with two different sets at least give (``MET``)."""
     shared = docs.sparkSession.sparkContext.broadcast(heaviness(cells))  # CELLS bytes, whatever the corpus
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,50 +269,52 @@ def postings(docs: DataFrame, words: int, cells: np.ndarray, boundary: int, simi
             for _, s, sid in rows:
                 if len(s) and sid not in seen:
                     seen.add(sid)
-                    new.append((keys_of(s, level, boundary, similarity), len(s), sid))
+                    new.append((*keys_of(s, level, boundary, similarity), len(s), sid))
             if len(seen) > 1_000_000:  # only saves repeated rows
                 seen.clear()
             if new:
-                count = [len(k) for k, _, _ in new]
+                count = [len(k) for k, _, _, _ in new]
+                size = np.repeat(np.array([n for _, _, n, _ in new], dtype=np.int64), count)
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate([k for k, _, _ in new]).view(np.int64)),
-                        pa.array(np.repeat(np.array([n for _, n, _ in new], dtype=np.int32), count)),
-                        pa.array(np.repeat(np.array([d for _, _, d in new], dtype=np.int64), count)),
-                    ],
-                    ["key", "n", "sid"],
+                    [pa.array(np.concatenate([k for k, _, _, _ in new]).view(np.int64)), pa.array(np.repeat(np.array([d for _, _, _, d in new], dtype=np.int64), count)), pa.array(size << 32 | np.concatenate([r for _, r, _, _ in new]))],
+                    ["key", "sid", "span"],
                 )
 
-    rows = docs.select("doc_id", "text").mapInArrow(run, "key long, n int, sid long")
+    rows = docs.select("doc_id", "text").mapInArrow(run, "key long, sid long, span long")
     order = Window.partitionBy("key").orderBy("sid")
     near = rows.withColumns({"least": F.first("sid").over(order), "after": F.lead("sid").over(order)})
     # of equal neighbours the last stays; a list of one set goes
-    return materialise(near.where("after <> sid or after is null and least <> sid").select("key", "n", "sid"), "jaccard-lists")
+    lists = near.where("after <> sid or after is null and least <> sid").select("key", "sid", "span")
+    return materialise(lists.mapInArrow(lambda batches: met_in_lists(batches, similarity), MET), "jaccard-met")
 
 
 def fetch_sets(docs: DataFrame, words: int, wanted: DataFrame) -> DataFrame:
-    """(sid, n, items) of the wanted sets (sid, doc_id), read from the texts of those documents."""
+    """(sid, n, items) of the wanted sets (sid, doc_id) and of some others, read from the texts of those documents. A set may come again."""
     bits = 1 << max(10, min(FILTER_BITS.bit_length() - 1, (16 * max(1, wanted.count())).bit_length()))
-    cell = F.col("sid").bitwiseAND(F.lit(bits - 1))
-    rows = wanted.groupBy(F.shiftright(cell, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(sid & 63 as int))")).alias("bits")).collect()
+    cell = F.col("sid").bitwiseXOR(F.coalesce("doc_id", F.lit(0))).bitwiseAND(F.lit(bits - 1))
+    rows = wanted.select(cell.alias("cell")).groupBy(F.shiftright("cell", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(cell & 63 as int))")).alias("bits")).collect()
     mask = np.zeros(bits // 64, dtype=np.int64)
     for r in rows:  # bits / 64 rows at most
         mask[r.word] = r.bits
     shared = docs.sparkSession.sparkContext.broadcast(mask.view(np.uint64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mask = shared.value
+        mask, seen = shared.value, set()
         for found in batches_of_sets(batches, words):
             sid = np.array([r[2] for r in found], dtype=np.int64)
-            at = (sid & (bits - 1)).astype(np.uint64)
+            at = ((sid ^ np.array([r[0] or 0 for r in found], dtype=np.int64)) & (bits - 1)).astype(np.uint64)
             hit = (mask[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)
-            keep = [r for r, h in zip(found, hit.tolist(), strict=True) if h and len(r[1])]
+            keep = []
+            for r, h in zip(found, hit.tolist(), strict=True):
+                if h and len(r[1]) and r[2] not in seen:
+                    seen.add(r[2])
+                    keep.append(r)
+            if len(seen) > 1_000_000:
+                seen.clear()
             if keep:
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in keep], pa.int64()), pa.array([r[2] for r in keep], pa.int64()), pa.array([len(r[1]) for r in keep], pa.int32()), pa.array([r[1].view(np.int64) for r in keep], pa.list_(pa.int64()))], ["doc_id", "sid", "n", "items"])
+                yield pa.RecordBatch.from_arrays([pa.array([r[2] for r in keep], pa.int64()), pa.array([len(r[1]) for r in keep], pa.int32()), pa.array([r[1].view(np.int64) for r in keep], pa.list_(pa.int64()))], ["sid", "n", "items"])
 
-    rows = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, sid long, n int, items array<long>")
-    found = rows.join(wanted.withColumnRenamed("doc_id", "from"), "sid").where(F.col("doc_id").eqNullSafe(F.col("from")))
-    return materialise(found.select("sid", "n", "items").dropDuplicates(["sid"]), "jaccard-sets")
+    return materialise(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "sid long, n int, items array<long>"), "jaccard-sets")
 
 
 def keys_needed(a: int, b: int, boundary: int, similarity: tuple[int, int]) -> int:
@@ -219,8 +324,7 @@ def keys_needed(a: int, b: int, boundary: int, similarity: tuple[int, int]) -> i
     the larger set needs at least; of two small sets, the longer prefixes share
     one more, and every two of those are a key.
     """
-    overlap = -(-similarity[0] * (a + b) // (similarity[0] + similarity[1]))
-    shared = overlap - least_overlap(max(a, b), similarity) + 1
+    shared = overlap_of(a, b, similarity) - least_overlap(max(a, b), similarity) + 1
     return math.comb(shared + 1, 2) if max(a, b) <= boundary else shared
 
 
@@ -229,32 +333,36 @@ def similar(both: int, a: int, b: int, similarity: tuple[int, int]) -> bool:
 
 
 def verify(pairs: DataFrame, sets: DataFrame, test: Callable[[int, int, int], bool]) -> DataFrame:
-    """The distinct pairs (star, sid) whose ``sets`` (sid, n, items) pass the test on the number of common items.
+    """The pairs (x, y, known) whose ``sets`` (sid, n, items) pass the test on ``known`` and the common items, and on both sizes.
 
-    A star is dealt to as many tasks as its number of members asks for; a task
-    holds one star at a time.
+    A set is dealt to as many tasks as its number of partners asks for; a task
+    holds one at a time. Sets may come repeatedly.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        star = own = size = None
+        star = own = size = last = None
         for batch in batches:
             found = []
-            for s, sid, n, items in zip(batch.column("star").to_pylist(), batch.column("sid").to_pylist(), batch.column("n").to_pylist(), batch.column("items"), strict=True):
-                mine = items.values.to_numpy(zero_copy_only=False)
-                if sid is None:
-                    star, own, size = s, mine.copy(), n
+            for s, known, y, n, items in zip(*(batch.column(c).to_pylist() for c in ("star", "known", "y", "n")), batch.column("items"), strict=True):
+                if (s, y) == last:
                     continue
-                if s != star:
-                    raise ValueError("a pair came without its star")
-                if test(np.intersect1d(own, mine, assume_unique=True).size, size, n):
-                    found.append((s, sid))
+                last, mine = (s, y), items.values.to_numpy(zero_copy_only=False)
+                if y is None:
+                    star, own, size = s, mine.copy(), n
+                elif s != star:
+                    raise ValueError("a pair came without its set")
+                elif test(known + np.intersect1d(own, mine, assume_unique=True).size, size, n):
+                    found.append((s, y))
             if found:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], ["star", "sid"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], ["x", "y"])
 
-    salts = pairs.groupBy("star").agg(F.ceil(F.count(F.lit(1)) / STAR_SHARE).cast("int").alias("salts"))
-    stars = salts.join(sets, salts.star == sets.sid).select("star", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(None).cast("long").alias("sid"), "n", "items")
-    members = pairs.join(salts, "star").select("star", F.pmod("sid", "salts").cast("int").alias("salt"), "sid").join(sets, "sid").select("star", "salt", "sid", "n", "items")
-    return stars.unionByName(members).repartition("star", "salt").sortWithinPartitions("star", "salt", F.asc_nulls_first("sid")).mapInArrow(run, "star long, sid long")
+    # only sets with many partners are dealt to several tasks
+    many = materialise(pairs.groupBy("x").count().where(F.col("count") > STAR_SHARE).select("x", F.ceil(F.col("count") / STAR_SHARE).cast("int").alias("salts")), "jaccard-many")
+    salted = pairs.join(many, "x", "left").select("x", "y", "known", F.pmod("y", F.coalesce("salts", F.lit(1))).cast("int").alias("salt"))
+    stars = salted.groupBy("x", "salt").agg(F.lit(None).cast("long").alias("y"), F.lit(0).alias("known"))
+    both = salted.select(F.col("x").alias("star"), "salt", "y", F.col("known").cast("int"), F.col("y").alias("sid"))
+    both = both.unionByName(stars.select(F.col("x").alias("star"), "salt", "y", "known", F.col("x").alias("sid")))
+    return both.join(sets, "sid").select("star", "salt", "known", "y", "n", "items").repartition("star", "salt").sortWithinPartitions("star", "salt", F.asc_nulls_first("y")).mapInArrow(run, "x long, y long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -350,6 +458,8 @@ def links_within(labels: DataFrame, sets: DataFrame, similarity: tuple[int, int]
                         yield linked(held)
                     group, held = (label, i, j), {}
                 ids, own = held.setdefault(block, ([], []))
+                if ids and ids[-1] == sid:
+                    continue
                 ids.append(sid)
                 own.append(items.values.to_numpy(zero_copy_only=False).copy())
         if held and (len(held) == 2 or group[1] == group[2]):
@@ -357,80 +467,122 @@ def links_within(labels: DataFrame, sets: DataFrame, similarity: tuple[int, int]
         release_memory()
 
     member = labels.select(F.col("node").alias("sid"), "label").join(sets, "sid")
-    size = member.groupBy("label").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_SETS, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    placed = member.join(size, "label").withColumn("block", F.pmod(F.xxhash64("sid"), "blocks").cast("int"))
+    size = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_SETS, F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    several = materialise(member.groupBy("label").agg(size.alias("blocks")).where("blocks > 1"), "jaccard-blocks")
+    placed = member.join(several, "label", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("block", F.pmod(F.xxhash64("sid"), "blocks").cast("int"))
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     placed = placed.select("label", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "sid", "items")
-    return placed.repartition("label", "i", "j").sortWithinPartitions("label", "i", "j").mapInArrow(run, f"{names[0]} long, {names[1]} long")
+    return placed.repartition("label", "i", "j").sortWithinPartitions("label", "i", "j", "block", "sid").mapInArrow(run, f"{names[0]} long, {names[1]} long")
+
+
+def apart_in_lists(batches: Iterator[pa.RecordBatch], similarity: tuple[int, int]) -> Iterator[pa.RecordBatch]:
+    """Pairs (x, y, nx, ny) of two labels that may link by a list; rows come by (key, i, j, block), of which a group holds one block or two."""
+    seen: set = set()
+
+    def pairs(group: list) -> Iterator[pa.RecordBatch]:
+        (sid, n, rest, label), (i, j, block) = (np.concatenate(c) for c in zip(*(g[:4] for g in group), strict=True)), (np.concatenate(c) for c in zip(*(g[4:] for g in group), strict=True))
+        left = block == i[0]
+        right = left if i[0] == j[0] else ~left
+        a, b = np.flatnonzero(left), np.flatnonzero(right)
+        if not len(a) or not len(b):
+            return
+        for some in np.split(a, range(500, len(a), 500)):
+            link = (label[some, None] != label[None, b]) & (overlap_of(n[some, None], n[None, b], similarity) <= np.minimum(rest[some, None], rest[None, b]))
+            p, q = np.nonzero(link)
+            p, q = some[p], b[q]
+            if i[0] == j[0]:
+                once = p < q
+                p, q = p[once], q[once]
+            swap = sid[p] > sid[q]
+            p, q = np.where(swap, q, p), np.where(swap, p, q)
+            new = [k for k, pair in enumerate(zip(sid[p].tolist(), sid[q].tolist(), strict=True)) if pair not in seen and not seen.add(pair)]
+            if new:
+                yield pa.RecordBatch.from_arrays([pa.array(sid[p][new]), pa.array(sid[q][new]), pa.array(n[p][new].astype(np.int32)), pa.array(n[q][new].astype(np.int32))], ["x", "y", "nx", "ny"])
+            if len(seen) > 500_000:  # only saves repeated rows
+                seen.clear()
+
+    group, at = [], None
+    for batch in batches:
+        columns = [batch.column(c).to_numpy().astype(np.int64) for c in ("sid", "n", "rest", "label", "i", "j", "block", "key")]
+        if not len(columns[0]):
+            continue
+        key, i, j = columns[7], columns[4], columns[5]
+        cut = np.flatnonzero((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
+        for lo, hi in zip([0, *cut.tolist()], [*cut.tolist(), len(key)], strict=True):
+            own = (int(key[lo]), int(i[lo]), int(j[lo]))
+            if group and own != at:
+                yield from pairs(group)
+                group = []
+            at = own
+            group.append([c[lo:hi] for c in columns[:7]])
+    if group:
+        yield from pairs(group)
+    release_memory()
 
 
 def jaccard_links(docs: DataFrame, words: int = WORDS, similarity: tuple[int, int] = SIMILARITY) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(doc_id, n, sid) of every document, links (a, b) between different sets that connect all sets which links connect, and (sid, n, items) of those sets and others."""
     per_doc, cells = survey(docs, words)
-    sizes = {r.n: r["count"] for r in per_doc.where(F.col("n").between(1, LARGEST_SMALL)).groupBy("n").count().collect()}
-    mean = float(cells.mean(dtype=float))
-    meets = max(0.0, float(np.dot(cells, cells)) / max(1.0, mean * CELLS) - mean) / 2
+    light = cells[heaviness(cells) == 0].astype(float)  # frequent shingles hardly come into prefixes
+    meets = max(0.0, float(np.dot(light, light)) / max(1.0, float(light.sum())) - float(light.mean()) - 1) if len(light) else 0.0
+    largest = largest_small(meets, similarity)
+    sizes = {r.n: r["count"] for r in per_doc.where(F.col("n").between(1, largest)).groupBy("n").count().collect()}
     boundary = choose_boundary(sizes, meets, similarity)
-    lists = postings(docs, words, cells, boundary, similarity)
-    # half of each key is enough here: where two halves agree by chance, a pair is only compared once more
-    keys = materialise(lists.groupBy("sid", "n").agg(F.collect_list(F.shiftright("key", 32).cast("int")).alias("items")), "jaccard-keys")
+    found = met(docs, words, cells, boundary, similarity)
     first = per_doc.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
+    p, q = similarity
 
-    def likely(a: str, b: str):  # sizes that can link
-        return (F.col(a) * similarity[1] >= F.col(b) * similarity[0]) & (F.col(b) * similarity[1] >= F.col(a) * similarity[0])
-
-    def links_of(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Links among the pairs (star, sid), and the sets compared: first by the keys they share, then by the full sets."""
-        some = verify(materialise(pairs, "jaccard-pairs"), keys, lambda both, x, y: both >= keys_needed(x, y, boundary, similarity))
-        some = materialise(some, "jaccard-candidates")
-        nodes = some.select(F.explode(F.array("star", "sid")).alias("sid")).distinct()
-        sets = fetch_sets(docs, words, materialise(nodes.join(first, "sid"), "jaccard-wanted"))
-        found = verify(some, sets, lambda both, x, y: similar(both, x, y, similarity))
-        return materialise(found.select(F.col("star").alias("a"), F.col("sid").alias("b")), "jaccard-links"), sets
-
-    def shared_keys(a: str, b: str):
-        p, q = similarity
-        return F.ceil(F.lit(p) * (F.col(a) + F.col(b)) / F.lit(p + q) - 1e-9) - F.ceil(F.greatest(a, b) * p / q - 1e-9) + 1
+    def may_link(a: str, b: str, rest_a: str, rest_b: str):  # both have enough shingles left
+        return F.ceil(F.lit(p) * (F.col(a) + F.col(b)) / F.lit(p + q) - 1e-9) <= F.least(rest_a, rest_b)
 
     def needed(a: str, b: str):  # keys_needed as a column
-        shared = shared_keys(a, b)
+        shared = F.ceil(F.lit(p) * (F.col(a) + F.col(b)) / F.lit(p + q) - 1e-9) - F.ceil(F.greatest(a, b) * p / q - 1e-9) + 1
         return F.when(F.greatest(a, b) <= boundary, shared * (shared + 1) / 2).otherwise(shared)
 
-    def reachable(pairs: DataFrame) -> DataFrame:  # both sets have keys enough
-        return pairs.where(F.least("k", "k2") >= needed("n", "n2"))
+    # pairs of short lists, with the number of these that they share
+    short = found.where("kind = 0").groupBy("x", "y", "nx", "ny").agg(F.count(F.lit(1)).alias("c"), F.max("able").alias("able"))
+    short = materialise(short, "jaccard-short")
+    long = found.where("kind = 1").select(F.col("x").alias("key"), F.col("y").alias("sid"), F.col("nx").alias("n"), F.col("ny").alias("rest"), "able", "members")
+    # half of each key is enough here: where two halves agree by chance, a pair is only compared once more
+    keys = long.groupBy("sid", "n").agg(F.count(F.lit(1)).alias("k"), (F.sum("members") / F.col("n")).alias("company"), F.collect_list(F.shiftright("key", 32).cast("int")).alias("items"))
+    keys = materialise(keys, "jaccard-keys")
+
+    def links_of(pairs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """The pairs (x, y, nx, ny, c) that share enough keys, links among them, and the sets compared."""
+        k = [keys.select(F.col("sid").alias(c), F.col("k").alias(f"k{c}")) for c in ("x", "y")]
+        few = pairs.where(F.col("c") < needed("nx", "ny")).join(k[0], "x").join(k[1], "y")
+        few = materialise(few.where(F.col("c") + F.least("kx", "ky") >= needed("nx", "ny")).select("x", "y", F.col("c").alias("known")), "jaccard-few")
+        few = verify(few, keys.select("sid", "n", "items"), lambda both, a, b: both >= keys_needed(a, b, boundary, similarity))
+        some = pairs.where(F.col("c") >= needed("nx", "ny")).select("x", "y").unionByName(few)
+        some = materialise(some.withColumn("known", F.lit(0)), "jaccard-candidates")
+        nodes = some.select(F.explode(F.array("x", "y")).alias("sid")).distinct()
+        sets = fetch_sets(docs, words, materialise(nodes.join(first, "sid"), "jaccard-wanted"))
+        links = verify(some, sets, lambda both, a, b: similar(both, a, b, similarity))
+        return some, materialise(links.select(F.col("x").alias("a"), F.col("y").alias("b")), "jaccard-links"), sets
 
-    star = Window.partitionBy("key")
     # the stars of a list are the members that meet most others for their size: of a family of copies, those with few changes
-    sized = lists.withColumn("m", F.count(F.lit(1)).over(star))
-    company = sized.groupBy("sid", "n").agg((F.sum("m") / F.col("n")).alias("company"), F.count(F.lit(1)).alias("k")).drop("n")
-    rank = F.row_number().over(star.orderBy(F.desc("company"), "sid"))
-    lists = materialise(sized.join(company, "sid").withColumn("rank", rank).select("key", "n", "sid", "k", "m", "rank"), "jaccard-ranks")
-    stars = lists.where((F.col("rank") == 1) | ((F.col("m") > LONG_LIST) & (F.col("rank") <= STARS))).select("key", F.col("sid").alias("star"), F.col("n").alias("n2"), F.col("k").alias("k2"), F.col("rank").alias("rank2"))
-    starred = lists.join(stars, "key").where((F.col("rank") > F.col("rank2")) & likely("n", "n2"))
-    links, sets = links_of(reachable(starred).select("star", "sid").distinct())
+    rows = materialise(long.where("able").join(keys.select("sid", "company"), "sid").select("key", "sid", "n", "rest", "company"), "jaccard-rows")
+    stars = rows.groupBy("key", F.pmod("sid", F.lit(STARS))).agg(F.min(F.struct((-F.col("company")).alias("c"), "sid", "n", "rest")).alias("s"))
+    stars = stars.select("key", F.col("s.sid").alias("star"), F.col("s.n").alias("n2"), F.col("s.rest").alias("rest2"))
+    starred = rows.join(stars, "key").where((F.col("sid") != F.col("star")) & may_link("n", "n2", "rest", "rest2"))
+    ordered = F.col("sid") < F.col("star")
+    starred = starred.select(F.least("sid", "star").alias("x"), F.greatest("sid", "star").alias("y"), F.when(ordered, F.col("n")).otherwise(F.col("n2")).alias("nx"), F.when(ordered, F.col("n2")).otherwise(F.col("n")).alias("ny"))
+    pairs = short.unionByName(starred.select("*", F.lit(0).alias("c"), F.lit(True).alias("able")))
+    pairs = materialise(pairs.groupBy("x", "y", "nx", "ny").agg(F.sum("c").alias("c"), F.max("able").alias("able")).where("able").drop("able"), "jaccard-pairs")
+    _, links, sets = links_of(pairs)
     # what hangs together by now has one label; a set without a link stands for itself
     label = materialise(components(links), "jaccard-labels").withColumnRenamed("node", "sid")
-    labelled = lists.join(label, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
-    # members that no other size in their list lets link go, then lists that hang together
-    span = labelled.select("key", "n", "sid", "k", "label", ((F.col("rank") == 1) | ((F.col("m") > LONG_LIST) & (F.col("rank") <= STARS))).alias("star"), F.min("n").over(star).alias("low"), F.max("n").over(star).alias("high"))
-    span = span.withColumns({"low": F.greatest("low", F.ceil(F.col("n") * similarity[0] / similarity[1] - 1e-9)), "high": F.least("high", F.floor(F.col("n") * similarity[1] / similarity[0] + 1e-9))})
-    # shared_keys() never falls with the other size up to n and falls from n on, but for rounding: inside it may be one less than at the high end
-    least = F.greatest(F.lit(1), F.least(shared_keys("n", "low"), shared_keys("n", "high") - 1))
-    able = span.where(F.col("k") >= F.when(F.greatest("n", "high") <= boundary, least * (least + 1) / 2).otherwise(least))
-    open_lists = able.withColumns({"lo": F.min("label").over(star), "hi": F.max("label").over(star)}).where("lo <> hi")
-    open_lists = materialise(open_lists.select("key", "n", "sid", "k", "label", "star"), "jaccard-open")
-    # lists of the same members give the same pairs: one of them is enough
-    members = open_lists.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("sid")).alias("x"), F.bit_xor(F.xxhash64("sid", F.lit(1))).alias("y"))
-    distinct_lists = members.groupBy("m", "x", "y").agg(F.min("key").alias("key")).select("key")
-    # a pair that has the same list before this one has been met there
-    before = F.lag("key").over(Window.partitionBy("sid").orderBy("key"))
-    open_lists = materialise(open_lists.join(distinct_lists, "key", "left_semi").withColumn("before", before), "jaccard-open")
-    a, b = (open_lists.select("key", *(F.col(c).alias(f"{c}{x}") for c in ("n", "k", "sid", "label", "star", "before"))) for x in ("", "2"))
-    rest = a.join(b, "key").where("sid < sid2 and label <> label2 and not star and not star2 and (before is null or before2 is null or before <> before2)").where(likely("n", "n2"))
-    rest = reachable(rest).select(F.col("sid").alias("star"), F.col("sid2").alias("sid")).distinct()
-    more, others = links_of(rest)
-    others = others.join(sets.select("sid"), "sid", "left_anti").select(sets.columns)
-    return per_doc, links.unionByName(more), sets.unionByName(others)
+    labelled = materialise(rows.join(label, "sid", "left").withColumn("label", F.coalesce("label", "sid")).drop("company"), "jaccard-labelled")
+    lists = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("m")).where("lo <> hi")
+    lists = materialise(lists.select("key", F.ceil(F.col("m") / BLOCK_MEMBERS).cast("int").alias("blocks")), "jaccard-open")
+    placed = labelled.join(lists, "key").withColumn("block", F.pmod(F.xxhash64("sid"), "blocks").cast("int"))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    placed = placed.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "sid", "n", "rest", "label")
+    placed = placed.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "block")
+    rest = placed.mapInArrow(lambda batches: apart_in_lists(batches, similarity), "x long, y long, nx int, ny int").distinct()
+    rest = rest.join(pairs.select("x", "y"), ["x", "y"], "left_anti").join(short.select("x", "y", "c"), ["x", "y"], "left").withColumn("c", F.coalesce("c", F.lit(0)))
+    _, more, others = links_of(materialise(rest, "jaccard-rest"))
+    return per_doc, materialise(links.unionByName(more), "jaccard-links"), sets.unionByName(others)
 
 
 def jaccard_pairs(docs: DataFrame, words: int = WORDS, similarity: tuple[int, int] = SIMILARITY) -> tuple[DataFrame, DataFrame]:
@@ -450,14 +602,16 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, similarity: tuple[in
     """
     per_doc, links, sets = jaccard_links(docs, words, similarity)
     labels = materialise(components(links), "jaccard-labels")
-    least = per_doc.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("least"))
-    least = least.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
-    whole = least.groupBy("label").agg(F.min("least").alias("component_id"))
     counts = links_within(labels, sets, similarity, counts=True).groupBy("sid").agg(F.sum("n_links").alias("n_links"))
-    component = least.join(whole, "label").join(counts, "sid", "left").select("sid", "component_id", "n_links")
-    return (
-        per_doc.join(component.withColumn("n", F.lit(None)).drop("n"), "sid", "left")
-        .select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    least = materialise(per_doc.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("least")), "jaccard-least")
+    # only linked sets have a label; joins on one stand apart from sums over it, so that Spark can split a large component
+    linked = materialise(labels.withColumnRenamed("node", "sid").join(least, "sid"), "jaccard-linked")
+    whole = materialise(linked.groupBy("label").agg(F.min("least").alias("component_id")), "jaccard-whole")
+    linked = linked.join(whole, "label").select("sid", "component_id").join(counts, "sid", "left")
+    component = least.join(linked, "sid", "left").select("sid", F.coalesce("component_id", "least").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    component = materialise(component, "jaccard-components")
+    return per_doc.join(component, "sid", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")
     )
 
 
@@ -490,7 +644,7 @@ def one_row_of_each(docs: DataFrame, words: int = WORDS, similarity: tuple[int,
     labels = materialise(components(links), "jaccard-labels").withColumnRenamed("node", "sid")
     rows = per_doc.where("n > 0").groupBy("doc_id", "sid").agg(F.count(F.lit(1)).alias("copies"))
     rows = materialise(rows.join(labels, "sid", "left").withColumn("label", F.coalesce("label", "sid")), "jaccard-parts")
-    leads = rows.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "sid")).alias("lead"))
+    leads = materialise(rows.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "sid")).alias("lead")), "jaccard-leads")
     stays = F.col("doc_id").eqNullSafe(F.col("lead.doc_id")) & (F.col("sid") == F.col("lead.sid"))
     # pairs that go, and pairs of which one row of several stays
     marked = rows.join(leads, "label").withColumn("stays", stays).where("not stays or copies > 1")
