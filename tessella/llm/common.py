@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,11 +19,14 @@ from pyspark.sql import functions as F
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under ``spark.checkpoint.dir``.
 
-    That setting names the storage which the driver and all executors share.
-    Only where it is unset (single-machine tests) a temp folder takes its place.
+    That setting names the storage which the driver and all executors share. It
+    must be set on a cluster; only where the driver is the one executor (master
+    local, as in tests) a temp folder takes its place.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = f"{tempfile.gettempdir()}/tessella-scratch"
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
@@ -36,8 +42,47 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def total_counts(rows: DataFrame, count: Callable[[Iterator[pa.RecordBatch]], np.ndarray], size: int) -> np.ndarray:
+    """The sum over all tasks of ``count`` of their batches: an array of ``size`` numbers.
+
+    The sums travel in compressed parts of 2**16 numbers and are added up in a tree
+    of two levels, so that no task adds up more than a 64th of the tasks.
+    """
+    part = 1 << 16
+
+    def packed(number: int, counts: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([zlib.compress(counts.astype("<i8").tobytes(), 1)], pa.binary())], ["part", "counts"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = count(batches)
+        for number, at in enumerate(range(0, size, part)):
+            if total[at : at + part].any():
+                yield packed(number, total[at : at + part])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for number, counts in zip(batch.column("part").to_pylist(), batch.column("counts"), strict=True):
+                total[number] = total.get(number, 0) + np.frombuffer(zlib.decompress(counts.as_py()), dtype="<i8")
+        for number, counts in total.items():
+            yield packed(number, counts)
+
+    schema = "part int, counts binary"
+    parts = rows.mapInArrow(run, schema).withColumn("branch", F.spark_partition_id() % 64)
+    parts = parts.repartition("part", "branch").select("part", "counts").mapInArrow(add, schema).repartition("part").mapInArrow(add, schema)
+    total = np.zeros(size, dtype=np.int64)
+    for r in parts.collect():
+        total[r.part * part : (r.part + 1) * part] += np.frombuffer(zlib.decompress(r.counts), dtype="<i8")
+    return total
+
+
 def small_batches(spark: SparkSession, size: str = "8m") -> None:
-    """Arrow batches to Python of at most this size, so that very long texts come one by one."""
+    """Arrow batches to Python of at most this size, so that very long texts come one by one.
+
+    Every query that sends texts to Python begins with this, so that none depends on
+    what ran before it in the session. Spark reads the setting when the returned
+    frame runs, so it stays set.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
 

@@ -2,7 +2,9 @@
 
 Two bag-of-n-grams models over hashed unigrams and bigrams of word and mark
 tokens, one of the target (labelled good documents) and one of the raw corpus,
-give each document the log-ratio of its probabilities as importance weight.
+give each document the log-ratio of its probabilities as importance weight. The
+models take n-grams as independent, which those of one document are not; so its
+likelihoods are tempered by EVIDENCE / (n + EVIDENCE), at every length alike.
 Adding Gumbel noise, fixed by the key, and keeping the k largest draws k
 documents without replacement in proportion to their weights.
 """
@@ -17,12 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessella.llm.common import bounded_sample, materialise, slices, small_batches, table
+from tessella.llm.common import bounded_sample, materialise, slices, small_batches, table, total_counts
 
 #: Hash buckets of n-grams, pseudo-counts of a bucket, labelled rows at most (by hash of the key), of which one in CALIBRATE only sets the cut.
 BUCKETS, SMOOTHING, LABELLED_ROWS, CALIBRATE = 1 << 16, 8.0, 20_000, 3
-#: A longer document weighs as if it had so many n-grams, else its language alone could outweigh all else.
-EVIDENCE = 256
+#: The n-grams of a document depend on each other: n of them weigh as n * EVIDENCE / (n + EVIDENCE) independent ones.
+EVIDENCE = 512
 
 
 def hashed_grams(column: pa.Array, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
@@ -51,32 +53,16 @@ def gram_counts(docs: DataFrame, labelled: dict[int, int], buckets: int = BUCKET
     """Counts by bucket over all documents: row 0 the raw corpus, row 1 the good documents."""
     shared = docs.sparkSession.sparkContext.broadcast(labelled)  # LABELLED_ROWS at most
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
         quality, total = shared.value, np.zeros((2, buckets), dtype=np.int64)
         for batch in slices(batches):
             bucket, doc = hashed_grams(batch.column("text"), buckets)
             total[0] += np.bincount(bucket, minlength=buckets)
             kind = np.array([quality.get(d, -1) for d in batch.column("doc_id").to_pylist()])[doc] if len(doc) else np.zeros(0, int)
             total[1] += np.bincount(bucket[kind == 1], minlength=buckets)
-        if total.any():
-            yield pa.RecordBatch.from_arrays([pa.array(range(2), pa.int32()), pa.array([zlib.compress(x.astype("<i8").tobytes(), 1) for x in total], pa.binary())], ["kind", "counts"])
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for kind, counts in zip(batch.column("kind").to_pylist(), batch.column("counts"), strict=True):
-                total[kind] = total.get(kind, 0) + np.frombuffer(zlib.decompress(counts.as_py()), dtype="<i8")
-        if total:
-            yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([zlib.compress(t.tobytes(), 1) for t in total.values()], pa.binary())], ["kind", "counts"])
-
-    schema = "kind int, counts binary"
-    rows = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(count, schema).withColumn("part", F.spark_partition_id() % 64)
-    # a tree of two levels, so that no task adds up more than a 64th of the parts and then 64 sums
-    rows = rows.repartition(64, "part").select("kind", "counts").mapInArrow(add, schema).repartition(2, "kind").mapInArrow(add, schema)
-    total = np.zeros((2, buckets), dtype=np.int64)
-    for r in rows.collect():
-        total[r.kind] += np.frombuffer(zlib.decompress(r.counts), dtype="<i8")
-    return total
+        return total.ravel()
+
+    return total_counts(docs.select(F.col("doc_id").cast("long"), "text"), count, 2 * buckets).reshape(2, buckets)
 
 
 def log_ratio(counts: np.ndarray, smoothing: float = SMOOTHING) -> np.ndarray:
@@ -99,15 +85,15 @@ def gumbel(doc_id: list, texts: pa.Array, seed: int) -> np.ndarray:
     return -np.log(-np.log(np.clip(u, 1e-16, 1 - 1e-16)))
 
 
-def weigher(docs: DataFrame, labels: DataFrame, seed: int, temperature: float):
-    """A function of an Arrow batch that gives log weights and keys."""
+def weigher(docs: DataFrame, labels: DataFrame, seed: int, temperature: float, evidence: float = EVIDENCE):
+    """A function of an Arrow batch that gives log weights and keys. Infinite ``evidence``: plain likelihoods."""
     counts = gram_counts(docs, {d: q for d, q in good_ids(labels).items() if not calibrates(d)})
     ratio = log_ratio(counts) if counts[1].sum() else np.zeros(BUCKETS)
 
     def weigh(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
         bucket, doc = hashed_grams(batch.column("text"))
         size = np.bincount(doc, minlength=batch.num_rows)
-        weight = np.bincount(doc, ratio[bucket], minlength=batch.num_rows) * np.minimum(1.0, EVIDENCE / np.maximum(size, 1))
+        weight = np.bincount(doc, ratio[bucket], minlength=batch.num_rows) / (1 + size / evidence)
         return weight, weight + temperature * gumbel(batch.column("doc_id").to_pylist(), batch.column("text"), seed)
 
     return weigh
@@ -121,12 +107,14 @@ def score_with(docs: DataFrame, weigh) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(score, "doc_id long, log_weight double, gumbel_key double")
 
 
-def importance(docs: DataFrame, labels: DataFrame, seed: int = 17, temperature: float = 1.0) -> DataFrame:
+def importance(docs: DataFrame, labels: DataFrame, seed: int = 17, temperature: float = 1.0, evidence: float = EVIDENCE) -> DataFrame:
     """doc_id, log_weight and gumbel_key of every document, the key being log_weight + temperature * noise.
 
+    With n n-grams, log_weight is their summed log-ratio times evidence / (n + evidence).
+
     A null or empty text has weight 0 (log). Without good labels all weights are 0.
     """
-    return score_with(docs, weigher(docs, labels, seed, temperature))
+    return score_with(docs, weigher(docs, labels, seed, temperature, evidence))
 
 
 def choose_size(scored: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> int:
