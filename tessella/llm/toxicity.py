@@ -1,14 +1,19 @@
 """Toxicity by weak supervision.
 
-Voters are lexicon entries and patterns. A lexicon entry is a word, or the first
-4 to 8 bytes of a longer word, that goes with toxic labels in the training fold
-when it occurs at all or twice; it votes "toxic" or abstains. Patterns vote on
-how many words of a text are in the lexicon, how dense and how varied they are. A generative label model with a latent class explains all
-votes: each voter has a table of its votes given the class and the vote of the
+A lexicon entry is a word, or the first 4 to 8 bytes of a longer word, that goes
+with one of the labels in the training fold when it occurs at all or twice. The
+entries of toxic texts are dealt to voters, each of which votes "toxic" if one of
+its entries occurs and "clean" if none does; one voter holds the entries of clean
+texts and abstains without them; a text without words gets no vote of theirs.
+Patterns vote on how many words of a text are in the lexicon, how dense and how
+varied they are, cut where the training texts fall into two groups by themselves.
+
+A generative label model with a latent class explains all votes, abstentions
+included: each voter has a table of its votes given the class and the vote of the
 one voter it correlates with most (a maximum spanning tree over conditional
 mutual information), fitted by expectation maximisation without labels. A linear
-classifier on the lexical features and patterns is trained on the posterior labels and scores
-every text; its slope and bias are set once more on the labels of that fold.
+classifier on the lexical features and patterns is trained on the posterior
+labels and scores every text. Given labels only choose the lexicon's entries.
 """
 
 from __future__ import annotations
@@ -23,11 +28,13 @@ from pyspark.sql import functions as F
 
 from tessella.llm.common import bounded_sample, materialise, slices, small_batches, table
 
-#: Labelled rows to learn from at most (by hash of the key), lexical features, voters among them, least documents with a feature.
-TRAIN_ROWS, FEATURES, VOTERS, LEAST_DOCS = 8000, 1024, 64, 5
-#: Half a log-likelihood ratio that a feature needs (about 1e-7 by chance), and the share of toxic documents a voter has at least, surely.
+#: Labelled rows to learn from at most (by hash of the key), lexical features, voters they are dealt to, least documents with a feature.
+TRAIN_ROWS, FEATURES, VOTERS, LEAST_DOCS = 8000, 1024, 16, 5
+#: Half a log-likelihood ratio that a feature needs (about 1e-7 by chance), and the share of toxic documents that an entry of toxic texts has at least, surely.
 LEAST_GAIN, LEAST_SHARE = 14.0, 0.5
 PREFIXES = (4, 5, 6, 7, 8)
+#: Mutual information of two voters over the entropy of one of them, from which on they are almost one.
+ALMOST_ONE = 0.5
 
 
 def feature_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -101,7 +108,10 @@ class Lexicon:
         feature = np.array([f for f, _, _ in chosen], dtype=np.int64).view(np.uint64)
         self.side = np.array([surely(k, d) >= LEAST_SHARE for _, d, k in chosen], dtype=bool)
         self.size = len(chosen)
-        self.voters = np.flatnonzero(self.side)[:voters]
+        # entries dealt to voters in order of strength
+        self.groups = min(voters, int(self.side.sum()))
+        self.group = np.full(self.size, -1)
+        self.group[self.side] = np.arange(self.side.sum()) % max(1, self.groups)
         self.base = np.unique(feature & ~np.uint64(1))
         self.number = np.full((2, len(self.base)), -1)  # of the feature "once" and of "twice"
         at = np.searchsorted(self.base, feature & ~np.uint64(1))
@@ -129,14 +139,18 @@ class Lexicon:
         kinds = np.bincount(text[self.side[feature]] if self.size else text, minlength=n)
         return text, feature, np.stack([words, length, kinds], axis=1)
 
-    def calibrate(self, stats: np.ndarray, toxic: np.ndarray) -> None:
-        """Cut the number, density and variety of lexicon words where they tell the labelled rows apart best."""
+    def calibrate(self, stats: np.ndarray) -> None:
+        """Cut the number, density and variety of lexicon words where the training rows fall into two groups (least variance within them); no label is used."""
         self.cuts = []
         for value in self.measures(stats):
-            steps = np.unique(value[value > 0])
-            steps = steps[np.linspace(0, len(steps) - 1, min(len(steps), 200)).astype(int)] if len(steps) else np.ones(1)
-            right = [(toxic[value >= c]).sum() - (1 - toxic[value >= c]).sum() for c in steps]
-            self.cuts.append(float(steps[int(np.argmax(right))]))
+            steps, count = np.unique(value, return_counts=True)
+            if len(steps) < 2:
+                self.cuts.append(max(1e-6, float(steps[-1]) if len(steps) and steps[-1] > 0 else 1.0))
+                continue
+            x = np.log1p(steps / steps[steps > 0].min())
+            low, mass = np.cumsum(count)[:-1], np.cumsum(count * x)[:-1]
+            between = (mass / low - (mass[-1] + count[-1] * x[-1] - mass) / (count.sum() - low)) ** 2 * low * (count.sum() - low)
+            self.cuts.append(float(steps[int(np.argmax(between)) + 1]))
 
     @staticmethod
     def measures(stats: np.ndarray) -> list[np.ndarray]:
@@ -149,14 +163,15 @@ class Lexicon:
             votes[value >= cut, j], votes[value < 0.8 * cut, j] = 1, 2
         return votes
 
-    def votes(self, text: np.ndarray, feature: np.ndarray, patterns: np.ndarray) -> np.ndarray:
-        """A column for each voter of the lexicon, then the patterns."""
-        column = np.full(self.size, -1)
-        column[self.voters] = np.arange(len(self.voters))
-        votes = np.zeros((len(patterns), len(self.voters) + 3), dtype=np.int8)
+    def votes(self, text: np.ndarray, feature: np.ndarray, patterns: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """A column for each voter of the lexicon, one for the entries of clean texts, then the patterns."""
+        n, groups = len(patterns), self.groups
+        votes = np.zeros((n, groups + 4), dtype=np.int8)
+        votes[words > 0, :groups] = 2  # none of a voter's entries occurs
+        toxic = self.side[feature] if self.size else np.zeros(0, dtype=bool)
+        votes[text[toxic], self.group[feature[toxic]]] = 1
+        votes[text[~toxic], groups] = 2
         votes[:, -3:] = patterns
-        own = column[feature] >= 0
-        votes[text[own], column[feature[own]]] = 1
         return votes
 
     def design(self, text: np.ndarray, feature: np.ndarray, stats: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -174,31 +189,33 @@ class Lexicon:
 class LabelModel:
     """p(class) * prod_j p(vote_j | vote of parent(j), class), the parents forming a tree."""
 
-    def fit(self, votes: np.ndarray, rounds: int = 30) -> LabelModel:
-        n, m = votes.shape
+    def fit(self, votes: np.ndarray, rounds: int = 60) -> LabelModel:
+        """Expectation maximisation without labels: until the classes are settled with the correlations that almost make two voters one, then with all of the tree."""
         one_hot = np.stack([votes == v for v in range(3)], axis=2).astype(float)  # n, m, 3
         post = np.clip((votes == 1).sum(1) / np.maximum(1, (votes > 0).sum(1)), 0.02, 0.98)
-        self.parent = np.full(m, -1)
-        for step in range(rounds):
-            if step in (0, 8):  # before correlated voters can pass for the class
-                self.parent = self.dependencies(one_hot, post)
-            self.estimate(one_hot, post)
-            old, post = post, self.posterior(votes)
-            if step > 14 and np.abs(old - post).max() < 1e-6:
-                break
+        # copies of a voter could pass for the class if taken as independent, and so could weak correlations that are taken in too early
+        for least, steps in ((ALMOST_ONE, rounds), (0.0, rounds // 10)):
+            self.parent = self.dependencies(one_hot, post, least)
+            for _ in range(steps):
+                self.estimate(one_hot, post)
+                old, post = post, self.posterior(votes)
+                if np.abs(old - post).max() < 1e-4:
+                    break
         return self
 
     @staticmethod
-    def dependencies(one_hot: np.ndarray, post: np.ndarray) -> np.ndarray:
-        """Maximum spanning tree over the mutual information of two votes given the class."""
+    def dependencies(one_hot: np.ndarray, post: np.ndarray, least: float = 0.0) -> np.ndarray:
+        """Maximum spanning tree over the mutual information of two votes given the class, of edges with the share ``least`` of what either vote holds."""
         n, m, _ = one_hot.shape
         flat = one_hot.reshape(n, m * 3)
-        info = np.zeros((m, m))
+        info, own = np.zeros((m, m)), np.zeros(m)
         for weight in (post, 1 - post):
             joint = ((flat * weight[:, None]).T @ flat / max(weight.sum(), 1e-9)).reshape(m, 3, m, 3) + 1e-9
             one = joint.sum(3)[:, :, 0]
             share = weight.sum() / n
             info += share * (joint * np.log(joint / (one[:, :, None, None] * one[None, None]))).sum((1, 3))
+            own -= share * (one * np.log(one)).sum(1)
+        info[info < least * np.minimum(own[:, None], own[None, :])] = 0
         parent, best, inside = np.full(m, -1), info[0].copy(), np.zeros(m, dtype=bool)
         source = np.zeros(m, dtype=int)
         inside[0] = True
@@ -222,13 +239,14 @@ class LabelModel:
         logit = np.full(len(votes), np.log(self.prior / (1 - self.prior)))
         for j, p in enumerate(self.parent):
             given = votes[:, p] if p >= 0 else np.zeros(len(votes), dtype=int)
-            # who abstains says nothing
-            logit += np.where(votes[:, j] > 0, np.log(self.tables[j][1, given, votes[:, j]] / self.tables[j][0, given, votes[:, j]]), 0.0)
+            logit += np.log(self.tables[j][1, given, votes[:, j]] / self.tables[j][0, given, votes[:, j]])
         return 1 / (1 + np.exp(-np.clip(logit, -40, 40)))
 
-    def accuracies(self) -> list[float]:
-        """Of each voter without regard to its parent: how often a vote cast is right, weighted by its table."""
-        return [float(t[1].mean(0)[1] / max(t[1].mean(0)[1] + t[0].mean(0)[1], 1e-9)) for t in self.tables]
+    def accuracies(self, votes: np.ndarray) -> list[float]:
+        """Of each voter: the share of its cast votes that are right, as the model sees it."""
+        post = self.posterior(votes)
+        right = np.where(votes == 1, post[:, None], 1 - post[:, None]) * (votes > 0)
+        return (right.sum(0) / np.maximum(1, (votes > 0).sum(0))).tolist()
 
 
 def train_linear(row: np.ndarray, col: np.ndarray, target: np.ndarray, features: int, rounds: int = 400, ridge: float = 3e-4, step: float = 0.5) -> tuple[np.ndarray, float]:
@@ -246,19 +264,6 @@ def train_linear(row: np.ndarray, col: np.ndarray, target: np.ndarray, features:
     return w[:-1], float(w[-1])
 
 
-def platt(z: np.ndarray, label: np.ndarray, rounds: int = 50) -> tuple[float, float]:
-    """Slope (above 0) and shift that make sigmoid(slope * z + shift) fit the labels of the training rows best (Newton steps)."""
-    x = np.stack([np.clip(z, -30, 30), np.ones(len(z))], axis=1)
-    w = np.array([1.0, 0.0])
-    for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2), x.T @ (p - label) + 1e-3 * (w - [1.0, 0.0]))
-        w = w - np.clip(step, -1, 1)
-        if np.abs(step).max() < 1e-8:
-            break
-    return (float(w[0]), float(w[1])) if w[0] > 0 else (1.0, 0.0)
-
-
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[Lexicon, np.ndarray, float]:
     """The lexicon, the weights of its features and patterns, and the bias. Without labels of both classes: nothing is toxic."""
     train = training_rows(docs, labels)
@@ -277,12 +282,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[Lexicon, np.ndarray, float]
     text = np.repeat(np.arange(len(rows)), [len(r.hits) for r in rows])
     feature = np.array([h for r in rows for h in r.hits], dtype=np.int64)
     stats = np.array([r.stats for r in rows], dtype=np.int64)
-    known.calibrate(stats, np.array([r.toxic for r in rows]))
-    votes = known.votes(text, feature, known.patterns(stats))
+    known.calibrate(stats)
+    votes = known.votes(text, feature, known.patterns(stats), stats[:, 1])
     row, col = known.design(text, feature, stats)
     weights, bias = train_linear(row, col, LabelModel().fit(votes).posterior(votes), known.size + 16)
-    slope, shift = platt(bias + np.bincount(row, weights[col], minlength=len(rows)), np.array([r.toxic for r in rows]))
-    return known, slope * weights, slope * bias + shift
+    return known, weights, bias
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:

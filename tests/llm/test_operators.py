@@ -292,7 +292,29 @@ def test_label_model_recovers_accuracies():
     cast = np.where(votes, 1, 2).astype(np.int8)
     model = toxicity.LabelModel().fit(cast)
     assert ((model.posterior(cast) >= 0.5) == y).mean() > 0.94
-    assert 0 in (model.parent[5], -1) or model.parent[0] == 5
+    assert model.parent[5] == 0 or model.parent[0] == 5
+    for got, truth in zip(model.accuracies(cast), [*good, poor, good[0]], strict=True):
+        assert abs(got - truth) < 0.03
+    other = [p for j, p in enumerate(model.parent) if j not in (0, 5)]
+    joint = [abs(model.tables[j][1, 1, 1] - model.tables[j][1, 2, 1]) for j, p in enumerate(model.parent) if p >= 0 and {j, p} != {0, 5}]
+    assert len(other) == 4 and all(x < 0.2 for x in joint)  # independent voters hardly depend on their parents
+
+
+def test_expectation_maximisation_climbs():
+    """The likelihood that the E step takes never falls in a round, abstentions included."""
+    rng = np.random.default_rng(4)
+    y = rng.random(2000) < 0.3
+    votes = np.stack([np.where(rng.random(2000) < 0.4, 0, np.where(rng.random(2000) < a, 1 + ~y, 1 + y)) for a in (0.9, 0.8, 0.85, 0.7)], axis=1).astype(np.int8)
+    one_hot = np.stack([votes == v for v in range(3)], axis=2).astype(float)
+    model, post, last = toxicity.LabelModel(), np.clip((votes == 1).mean(1), 0.1, 0.9), -np.inf
+    model.parent = np.array([-1, 0, 0, 1])
+    for _ in range(20):
+        model.estimate(one_hot, post)
+        log = np.log([[1 - model.prior], [model.prior]]) + sum(np.log(model.tables[j][:, votes[:, p] if p >= 0 else np.zeros(2000, int), votes[:, j]]) for j, p in enumerate(model.parent))
+        now = np.logaddexp(*log).sum()
+        assert now >= last - 1.0  # up to the pseudo-counts
+        last, post = now, model.posterior(votes)
+        assert np.allclose(post, np.exp(log[1] - np.logaddexp(*log)))
 
 
 # importance resampling
@@ -307,6 +329,33 @@ def test_importance_keeps_the_good(spark, documents):
     assert {r.doc_id for r in importance.kept_documents(documents(rows), labels).collect()} == got - {None}
 
 
+def test_weights_like_plain_counts(spark, documents):
+    """log_weight equals what plain counting of hashed unigrams and bigrams gives, at every length."""
+    rng = np.random.default_rng(9)
+    rows = [(i, " ".join(prose(rng, int(n), 60)) + ("!" if n % 2 else " Ok, done.")) for i, n in enumerate([0, 1, 2, 5, 30, 200, 3000] * 6)] + [(None, "x y"), (900, None)]
+    quality = [(i, i % 3 % 2, 0) for i in range(40)]
+    labels = spark.createDataFrame(quality, "doc_id long, quality int, toxic int")
+
+    def grams(text):
+        bucket, doc = importance.hashed_grams(pa.array([text], pa.string()))
+        tokens = re.findall(r"[A-Za-z0-9]+|[^A-Za-z0-9\s]+", text or "")
+        assert len(bucket) == len(tokens) + max(0, len(tokens) - 1)
+        return bucket.tolist()
+
+    raw, good = np.zeros(importance.BUCKETS), np.zeros(importance.BUCKETS)
+    for d, t in rows:
+        for g in grams(t):
+            raw[g] += 1
+            good[g] += d is not None and d < 40 and quality[d][1] == 1 and not importance.calibrates(d)
+    expected = raw * good.sum() / raw.sum()
+    ratio = np.log((good + importance.SMOOTHING) / (expected + importance.SMOOTHING))
+    for evidence in (importance.EVIDENCE, float("inf")):
+        got = {(r.doc_id): (r.log_weight, r.gumbel_key) for r in importance.importance(documents(rows), labels, temperature=0.0, evidence=evidence).collect()}
+        for d, t in rows:
+            own = grams(t)
+            assert abs(got[d][0] - ratio[own].sum() / (1 + len(own) / evidence)) < 1e-6 and got[d][0] == got[d][1]
+
+
 def test_top_k_is_exact(spark):
     rng = np.random.default_rng(6)
     values = np.concatenate([rng.normal(0, 1, 30_000), np.full(500, 0.25)])
