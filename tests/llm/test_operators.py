@@ -430,6 +430,34 @@ def test_large_family_of_an_edited_item(spark, documents):
     assert {r.doc_id for r in decontaminate.clean_documents(documents(rows), bench).collect()} == set(range(100, 120))
 
 
+@pytest.mark.parametrize("vocabulary", [12, 60, 10**6])
+def test_contaminations_like_exhaustive_alignment(spark, documents, vocabulary):
+    """Every document against every item, word by word: what no 3-gram survives in is found too."""
+    rng = np.random.default_rng(vocabulary)
+    items = [prose(rng, int(n), vocabulary) for n in (3, 4, 5, 9, 16, 25, 40)]
+    rows = []
+    for i in range(60):
+        item = items[i % len(items)]
+        kind = i // len(items) % 5
+        if kind == 0:  # every third word changed: half a match
+            own = ["new" if k % 3 == 2 else w for k, w in enumerate(item)]
+        elif kind == 1:  # a word between every two
+            own = [x for w in item for x in (w, "and")][:-1]
+        elif kind == 2:  # words left out
+            own = [w for w in item if rng.random() < 0.7]
+        elif kind == 3:
+            own = [w for w in item if rng.random() < 0.9 for w in ([w, "more"] if rng.random() < 0.2 else [w])]
+        else:
+            own = prose(rng, 30, vocabulary)
+        rows.append((i, " ".join(prose(rng, int(rng.integers(0, 20)), vocabulary) + own + prose(rng, int(rng.integers(0, 20)), vocabulary))))
+    bench = spark.createDataFrame([(j, " ".join(t)) for j, t in enumerate(items)], "item_id long, text string")
+    want = {(d, j) for d, t in rows for j, item in enumerate(items) if plain_smith_waterman(item, t.split()) >= 0.5}
+    got = {(r.doc_id, r.item_id): r.score for r in decontaminate.contaminations(documents(rows), bench).collect()}
+    assert set(got) == want and len(want) > 20
+    for (d, j), score in got.items():
+        assert score == pytest.approx(plain_smith_waterman(items[j], rows[d][1].split()))
+
+
 def test_items_shorter_than_a_seed(spark, documents):
     rows = [(1, "some words before alpha beta and after"), (2, "alpha"), (3, "a long text with Gamma in it"), (4, "beta alpha is another order"), (5, "Alpha, beta!"), (6, "ends with alpha"), (7, "beta begins"), (8, "gamma gamma")]
     bench = spark.createDataFrame([(0, "alpha beta"), (1, "gamma"), (2, "one item of more words")], "item_id long, text string")
