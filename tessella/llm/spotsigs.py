@@ -4,8 +4,8 @@ An anchor is a common word; its signature is the anchor with the next two
 content words at distance one. A text's signatures form its set; a text without
 any takes all its runs of three words (or its words) instead. The fingerprint is
 the sorted set of 32-bit signature hashes in base 64. Two sets are compared by
-Jaccard likeness only if their sizes allow a likeness over a floor, which also
-gives the partitions by set length of ``similar_documents``.
+Jaccard likeness; where a least likeness is asked for, only if their sizes allow
+it, which also gives the partitions by set length of ``similar_documents``.
 """
 
 from __future__ import annotations
@@ -29,7 +29,9 @@ ANCHORS = (
     "le la les un une et est de des du en que qui dans pour par sur pas au avec "
     "el los las una y es del que se por con para su al lo no como"
 ).split()
-CHAIN, FLOOR = 2, 0.02
+CHAIN, FLOOR = 2, 0.0
+#: Rows of a block of neighbouring documents at most, where the shuffle's partitions don't make it smaller.
+BLOCK_ROWS = 1_000_000
 
 
 def signature_sets(column: pa.Array) -> list[np.ndarray]:
@@ -83,16 +85,19 @@ def likeness(a: np.ndarray, b: np.ndarray, floor: float = FLOOR) -> float:
     return both / (small + large - both)
 
 
-def ordered_blocks(docs: DataFrame, rows: int = 4000) -> DataFrame:
+def ordered_blocks(docs: DataFrame, rows: int | None = None) -> DataFrame:
     """doc_id, text, block and own, in blocks of neighbouring doc_id; each block ends with a copy (own false) of the first rows of the next.
 
-    The borders are quantiles of doc_id, a few bytes for ``rows`` documents; the
-    first block follows the last. A null doc_id is the smallest.
+    There are as many blocks as the shuffle has partitions, or more where one would
+    have over BLOCK_ROWS rows (or ``rows``): the driver holds the borders, which are
+    quantiles of doc_id, some 50 bytes for a million documents. A task reads its block
+    as a stream, in the order that Spark sorts it to disk. The first block follows the
+    last. A null doc_id is the smallest.
     """
     spark = docs.sparkSession
     n = docs.count()
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    parts = max(1, math.ceil(n / rows))
+    parts = max(1, math.ceil(n / rows)) if rows else max(min(n // 100 + 1, int(spark.conf.get("spark.sql.shuffle.partitions"))), math.ceil(n / BLOCK_ROWS))
     borders = sorted(set(keyed.stat.approxQuantile("doc_id", [i / parts for i in range(1, parts)], 0.2 / parts))) if parts > 1 else []
     borders = np.array([int(b) for b in borders], dtype=np.int64)
 
@@ -107,12 +112,12 @@ def ordered_blocks(docs: DataFrame, rows: int = 4000) -> DataFrame:
     if not chain:
         return blocks.withColumn("own", F.lit(True))
     before = spark.createDataFrame(chain, "block int, previous int, first long")
-    marked = blocks.join(F.broadcast(before), "block")
+    marked = blocks.join(F.broadcast(before), "block")  # a row for a block, see above
     copies = F.when(F.col("doc_id").eqNullSafe(F.col("first")), F.array(F.struct("block", F.lit(True).alias("own")), F.struct(F.col("previous").alias("block"), F.lit(False).alias("own")))).otherwise(F.array(F.struct("block", F.lit(True).alias("own"))))
     return marked.withColumn("to", F.explode(copies)).select("doc_id", "text", "to.block", "to.own")
 
 
-def with_neighbours(docs: DataFrame, rows: int = 4000) -> DataFrame:
+def with_neighbours(docs: DataFrame, rows: int | None = None) -> DataFrame:
     """doc_id, text and next_text (of the next document by doc_id, then text; after the last the first), block after block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -76,6 +76,15 @@ def test_packing(documents, batch_tokens):
             assert [r.start for r in pieces] == [128 * k for k in range(len(pieces))]
 
 
+def test_padding_does_not_grow_with_partitions(documents):
+    rows = [(i, "w " * (i * 37 % 90)) for i in range(300)]
+    docs = documents(rows).repartition(30)
+    got = packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), window=512).collect()
+    total, used = sum(r.length for r in got), len({r.sequence_id for r in got})
+    assert total == sum(len(plain("word_bpe_49k.json", t)) for _, t in rows)
+    assert used <= -(-total // 512) + 1
+
+
 def test_best_fit_is_tightest():
     rng = np.random.default_rng(3)
     for _ in range(50):
