@@ -43,8 +43,8 @@ def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The rest in windows of 4096 tokens."""
     small_batches(spark)
-    pieces = packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
-    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+    pieces = packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), ids=F.crc32("ids"))
+    return pieces.select("doc_id", "start", "length", F.col("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
 STAGES = [
