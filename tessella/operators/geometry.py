@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -18,24 +18,37 @@ def polygon_edges(vertices: DataFrame) -> DataFrame:
     )
 
 
-def pixels_in_polygons(vertices: DataFrame, width: int, height: int) -> DataFrame:
+#: Added to the height of an edge before it divides (fixed value).
+EDGE_EPSILON = 2.0**-52
+
+
+def pixels_in_polygons(vertices: DataFrame, width: int | str, height: int | str) -> DataFrame:
     """(image_id, roi_id, x, y) of the pixels inside each ROI, by even-odd crossings.
 
+    Vertices count pixels from 1, as annotations do, and the pixels returned from 0,
+    as planes do. A pixel is inside from the entering crossing on, up to but not at
+    the leaving one; a row meets an edge from its lower end on, up to but not at the
+    upper one. ``width`` and ``height`` are numbers or names of columns of ``vertices``.
+
     An edge meets the rows of its own span only: one row for each edge and pixel
     row gives the crossing's x, and the crossings left of a pixel are counted
     within its row. No pixel is compared with an edge of another row.
     """
-    edges = polygon_edges(vertices).where("y1 <> y2")
+    if isinstance(width, str):
+        size = vertices.groupBy("image_id").agg(F.max(width).alias("width"), F.max(height).alias("height"))
+        edges = polygon_edges(vertices).where("y1 <> y2").join(size, "image_id")
+    else:
+        edges = polygon_edges(vertices).where("y1 <> y2").withColumns({"width": F.lit(width), "height": F.lit(height)})
     low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
-    # rows with low <= y < high (half-open, so that a vertex counts once)
-    first, last = F.greatest(F.lit(0), F.ceil(low).cast("int")), F.least(F.lit(height - 1), (F.ceil(high) - 1).cast("int"))
+    first, last = F.greatest(F.lit(1), F.ceil(low).cast("int")), F.least(F.col("height"), (F.ceil(high) - 1).cast("int"))
     rows = edges.select("*", first.alias("a"), last.alias("b")).where("a <= b").select("*", F.explode(F.sequence("a", "b")).alias("y"))
-    crossing = rows.select("image_id", "roi_id", "y", (F.col("x1") + (F.col("y") - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))).alias("cx"))
+    cx = (F.col("x1") - F.col("x2")) * (F.col("y") - F.col("y2")) / (F.col("y1") - F.col("y2") + F.lit(EDGE_EPSILON)) + F.col("x2")
+    crossing = rows.select("image_id", "roi_id", "width", "y", cx.alias("cx"))
     order = Window.partitionBy("image_id", "roi_id", "y").orderBy("cx")
     spans = crossing.withColumns({"n": F.row_number().over(order), "to": F.lead("cx").over(order)}).where("n % 2 = 1 and to is not null")
-    # pixels strictly right of the entering crossing, up to the leaving one
-    a, b = F.greatest(F.lit(0), (F.floor("cx") + 1).cast("int")), F.least(F.lit(width - 1), F.floor("to").cast("int"))
-    return spans.select("image_id", "roi_id", "y", a.alias("a"), b.alias("b")).where("a <= b").select("image_id", "roi_id", F.explode(F.sequence("a", "b")).alias("x"), "y")
+    a, b = F.greatest(F.lit(1), F.ceil("cx").cast("int")), F.least(F.col("width"), (F.ceil("to") - 1).cast("int"))
+    spans = spans.select("image_id", "roi_id", (F.col("y") - 1).alias("y"), a.alias("a"), b.alias("b")).where("a <= b")
+    return spans.select("image_id", "roi_id", F.explode(F.sequence(F.col("a") - 1, F.col("b") - 1)).alias("x"), "y")
 
 
 def analysis_mask(pixels: DataFrame, inside: DataFrame, actions: DataFrame) -> DataFrame:
@@ -64,10 +77,19 @@ def roi_overlaps(inside: DataFrame) -> DataFrame:
     return both.select("image_id", "roi_id_1", "roi_id_2", "overlap_area_px", *((F.col("overlap_area_px") / F.col(f"area_{i}")).alias(f"overlap_fraction_roi_{i}") for i in (1, 2)))
 
 
-def cell_membership(cells: DataFrame, inside: DataFrame, width: int, height: int) -> DataFrame:
-    """(image_id, roi_id, cell_id): cells whose centre, rounded half to even and clamped to the image, lies in the ROI."""
-    place = [F.least(F.greatest(F.bround(c, 0), F.lit(0.0)), F.lit(n - 1.0)).cast("int").alias(a) for c, n, a in (("cx", width, "x"), ("cy", height, "y"))]
-    return cells.select("image_id", "cell_id", *place).join(inside, ["image_id", "x", "y"]).select("image_id", "roi_id", "cell_id")
+def centre_pixel(centre: str, size: int | Column) -> Column:
+    """The pixel (from 0) of a centre: rounded half to even as counted from 1, clamped to the image."""
+    size = F.lit(size) if isinstance(size, int) else size
+    return (F.least(F.greatest(F.bround(F.col(centre) + 1, 0), F.lit(1.0)), size.cast("double")) - 1).cast("int")
+
+
+def cell_membership(cells: DataFrame, inside: DataFrame, width: int | str, height: int | str, tissue: DataFrame | None = None) -> DataFrame:
+    """(image_id, roi_id, cell_id): cells whose centre's pixel lies in the ROI, and in ``tissue`` (image_id, x, y) if given."""
+    place = [centre_pixel(c, F.col(n) if isinstance(n, str) else n).alias(a) for c, n, a in (("cx", width, "x"), ("cy", height, "y"))]
+    at = cells.select("image_id", "cell_id", *place)
+    if tissue is not None:
+        at = at.join(tissue.select("image_id", "x", "y"), ["image_id", "x", "y"], "left_semi")
+    return at.join(inside, ["image_id", "x", "y"]).select("image_id", "roi_id", "cell_id")
 
 
 def nearest_gap(nuclei: DataFrame, bucket: float) -> DataFrame:

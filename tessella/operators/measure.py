@@ -66,8 +66,10 @@ def field_background(pixels: DataFrame, keys: Sequence[str], value: str, tissue:
     return pixels.groupBy(*keys).agg(F.coalesce(median(F.when(F.col(tissue) & (F.col(cell) == 0), finite(value))), F.lit(0.0)).alias("field_background"))
 
 
-def annulus_background(cells: DataFrame, pixels: DataFrame, field: DataFrame, value: str, inner: float, outer: float, least: int) -> DataFrame:
-    """Median of the pixels around each cell centre (cx, cy) at a distance from ``inner`` to ``outer``, of no cell.
+def annulus_background(cells: DataFrame, pixels: DataFrame, field: DataFrame, value: str, inner: float, outer: float, least: int, tissue: str = "tissue") -> DataFrame:
+    """Median of the tissue pixels around each cell centre (cx, cy) at a distance from ``inner`` to ``outer``, of no cell.
+
+    Pixels out of analysis are no tissue. A centre is rounded half to even, counted from 1.
 
     Offsets of the ring are enumerated, so that the distance condition becomes an
     equi-join on pixel coordinates. A ring of fewer than ``least`` pixels takes
@@ -76,8 +78,8 @@ def annulus_background(cells: DataFrame, pixels: DataFrame, field: DataFrame, va
     r = int(outer)
     ring = [(dx, dy) for dx in range(-r, r + 1) for dy in range(-r, r + 1) if inner * inner <= dx * dx + dy * dy <= outer * outer]
     offset = F.explode(F.array(*(F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in ring)))
-    around = cells.select("image_id", "cell_id", "cx", "cy", offset.alias("o")).select("image_id", "cell_id", (F.col("cx") + F.col("o.dx")).alias("x"), (F.col("cy") + F.col("o.dy")).alias("y"))
-    free = pixels.where("cell_label = 0").select("image_id", "x", "y", finite(value).alias("v"))
+    around = cells.select("image_id", "cell_id", *((F.bround(F.col(c).cast("double") + 1, 0) - 1).cast("int").alias(c) for c in ("cx", "cy")), offset.alias("o")).select("image_id", "cell_id", (F.col("cx") + F.col("o.dx")).alias("x"), (F.col("cy") + F.col("o.dy")).alias("y"))
+    free = pixels.where((F.col("cell_label") == 0) & F.col(tissue)).select("image_id", "x", "y", finite(value).alias("v"))
     ringed = around.join(free, ["image_id", "x", "y"]).groupBy("image_id", "cell_id").agg(F.count("v").alias("n_ring"), median("v").alias("ring"))
     return (
         cells.select("image_id", "cell_id")

@@ -70,10 +70,10 @@ def stain_nuclei(haematoxylin: np.ndarray, tissue: np.ndarray, o: StainOptions)
     return k.renumber(labels, np.flatnonzero(keep) + 1)
 
 
-def stain_cells(haematoxylin: np.ndarray, nuclei: np.ndarray, tissue: np.ndarray, o: StainOptions) -> np.ndarray:
-    """Cells: nuclei grown over the tissue within reach."""
+def stain_cells(total: np.ndarray, nuclei: np.ndarray, tissue: np.ndarray, analysis: np.ndarray, o: StainOptions) -> np.ndarray:
+    """Cells: nuclei grown over the total optical density, scaled by its analysed pixels, in the tissue within reach."""
     near = k.dilate(nuclei > 0, k.disc(o.reach)) & tissue
-    return k.propagate(k.scale01(haematoxylin), nuclei, near)
+    return k.propagate(k.scale01(total, within=analysis), nuclei, near)
 
 
 def guarded_radius(nuclei: np.ndarray, o: FluorescenceOptions) -> int:
@@ -164,14 +164,20 @@ def each_image(planes: DataFrame, segment: Callable) -> DataFrame:
 
 
 def segment_stained(planes: DataFrame, options: StainOptions | None = None) -> DataFrame:
-    """Labels of brightfield images from planes ``haematoxylin`` and ``od_sum`` (sum of optical densities)."""
+    """Labels of brightfield images from planes ``haematoxylin`` and ``od_sum`` (sum of optical densities).
+
+    Where there is a plane ``analysis`` (bytes, 1: analysed), excluded pixels are no
+    tissue from the start, and again after the closing.
+    """
     o = options or StainOptions()
 
     def segment(row):
         h, total = plane(row, "haematoxylin"), plane(row, "od_sum")
-        tissue = k.closing(total > o.tissue_od, k.disc(o.tissue_closing))
+        given = getattr(row, "analysis", None)
+        analysis = np.frombuffer(given, dtype=np.uint8).reshape(h.shape) > 0 if given else np.ones(h.shape, dtype=bool)
+        tissue = k.closing((total > o.tissue_od) & analysis, k.disc(o.tissue_closing)) & analysis
         nuclei = stain_nuclei(h, tissue, o)
-        return nuclei, stain_cells(h, nuclei, tissue, o), tissue
+        return nuclei, stain_cells(total, nuclei, tissue, analysis, o), tissue
 
     return each_image(planes, segment)
 

@@ -10,26 +10,48 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessella.functions import finite, intensity_class
+from tessella.functions import finite, intensity_class, kernels
 from tessella.operators import geometry, measure, pixels as px, segment, statistics as st, validation as va
 from tessella.sources.manifest import Options
 
 
+def with_exclusions(images: DataFrame, vertices: DataFrame | None) -> DataFrame:
+    """Images with ``exclusions``: the polygons (arrays of x and y) that take pixels out of analysis. An image has few of them."""
+    if vertices is None:
+        return images.withColumn("exclusions", F.lit(None).cast("array<struct<x:array<double>,y:array<double>>>"))
+    outline = vertices.where("action = 'exclude'").groupBy("image_id", "roi_id").agg(F.array_sort(F.collect_list(F.struct("vertex_order", "x", "y"))).alias("v"))
+    polygons = outline.groupBy("image_id").agg(F.collect_list(F.struct(F.col("v.x").cast("array<double>").alias("x"), F.col("v.y").cast("array<double>").alias("y"))).alias("exclusions"))
+    return images.join(polygons, "image_id", "left")
+
+
 def stain_planes(images: DataFrame) -> DataFrame:
-    """Planes haematoxylin, dab and od_sum of RGB planes (image_id, h, w, r, g, b)."""
+    """Planes haematoxylin, dab, od_sum and analysis of RGB planes (image_id, h, w, r, g, b, exclusions).
+
+    Excluded pixels have no part in the white reference. An image of which nothing
+    is left gives no row.
+    """
     inverse = np.linalg.inv(px.stain_matrix())
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
+            rows = []
             for r in frame.itertuples(index=False):
                 rgb = np.stack([segment.plane(r, c) for c in "rgb"], axis=-1)
+                analysis = np.ones(rgb.shape[:2], dtype=bool)
+                for polygon in r.exclusions if r.exclusions is not None else []:
+                    analysis &= ~kernels.polygon_mask(r.w, r.h, np.asarray(polygon["x"], float), np.asarray(polygon["y"], float))
+                if not analysis.any():
+                    continue
                 bright = rgb.mean(-1)
-                white = np.median(rgb[bright >= np.quantile(bright, 0.98)], axis=0)
+                white = np.median(rgb[analysis & (bright >= np.quantile(bright[analysis], 0.98))], axis=0)
                 od = -np.log(np.maximum(np.clip(rgb / np.where(white >= 0.5, white, 1.0), 0, 1), 1 / 255))
                 c = np.maximum(np.nan_to_num(od @ inverse, posinf=0, neginf=0), 0)
-                yield pd.DataFrame([{"image_id": r.image_id, "h": r.h, "w": r.w, **{n: np.ascontiguousarray(p).astype("<f4").tobytes() for n, p in (("haematoxylin", c[..., 0]), ("dab", c[..., 1]), ("od_sum", od.sum(-1)))}}])
+                planes = (("haematoxylin", c[..., 0]), ("dab", c[..., 1]), ("od_sum", od.sum(-1)))
+                rows.append({"image_id": r.image_id, "h": r.h, "w": r.w, **{n: np.ascontiguousarray(p).astype("<f4").tobytes() for n, p in planes}, "analysis": analysis.astype("u1").tobytes()})
+            if rows:
+                yield pd.DataFrame(rows)
 
-    return images.select("image_id", "h", "w", "r", "g", "b").mapInPandas(run, "image_id long, h int, w int, haematoxylin binary, dab binary, od_sum binary")
+    return images.select("image_id", "h", "w", "r", "g", "b", "exclusions").mapInPandas(run, "image_id long, h int, w int, haematoxylin binary, dab binary, od_sum binary, analysis binary")
 
 
 @dataclass
@@ -43,22 +65,22 @@ class Brightfield:
     quality: DataFrame
 
 
-def brightfield(images: DataFrame, manifest: DataFrame, vertices: DataFrame | None = None, options: Options | None = None, stain: segment.StainOptions | None = None, size: tuple[int, int] = (0, 0)) -> Brightfield:
+def brightfield(images: DataFrame, manifest: DataFrame, vertices: DataFrame | None = None, options: Options | None = None, stain: segment.StainOptions | None = None) -> Brightfield:
     """Segment, measure cells and summarise the whole image (GLOBAL) and every include ROI.
 
-    ``vertices`` (image_id, roi_id, action, compartment, vertex_order, x, y) need
-    the ``size`` (width, height) of the images. Regions use raw optical
-    densities, cells the ones less the field's background.
+    ``vertices`` (image_id, roi_id, action, compartment, vertex_order, x, y) count
+    pixels from 1. What they exclude is taken out before anything else, from the
+    white reference on. Images may differ in size. Regions use raw optical
+    densities; cells the ones less their local background, where the option asks
+    for it, else less the field's.
     """
     o = options or Options()
-    planes = stain_planes(images)
+    planes = stain_planes(with_exclusions(images, vertices))
     labels = segment.segment_stained(planes, stain)
     p = segment.label_pixels(labels).join(segment.plane_pixels(planes, "dab"), ["image_id", "x", "y"])
     inside = None
     if vertices is not None:
-        inside = geometry.pixels_in_polygons(vertices, *size)
-        p = geometry.analysis_mask(p, inside, vertices.select("image_id", "roi_id", "action").distinct())
-        p = p.withColumn("tissue", F.col("tissue") & F.col("analysis"))
+        inside = geometry.pixels_in_polygons(vertices.join(images.select("image_id", "w", "h"), "image_id"), "w", "h")
     field = measure.field_background(p, ["image_id"], "v")
     nuclear = p.where("cell_label > 0").join(field, "image_id")
     cells = measure.domain_stats(nuclear.where("nuc_label > 0"), ["image_id", "cell_label"], "v", "field_background", o.positive_threshold)
@@ -69,7 +91,7 @@ def brightfield(images: DataFrame, manifest: DataFrame, vertices: DataFrame | No
     if inside is not None:
         chosen = inside.join(vertices.where("action = 'include'").select("image_id", "roi_id").distinct(), ["image_id", "roi_id"])
         in_roi = in_roi.unionByName(p.join(chosen, ["image_id", "x", "y"]).select(in_roi.columns))
-        member = member.unionByName(geometry.cell_membership(cells, chosen, *size))
+        member = member.unionByName(geometry.cell_membership(cells.join(images.select("image_id", "w", "h"), "image_id"), chosen, "w", "h", p.where("tissue")))
     area = measure.four_domains(in_roi, ["image_id", "roi_id"], "v", o.positive_threshold)
     scores = measure.cell_scores(member.join(cells, ["image_id", "cell_id"]), ["image_id", "roi_id"], "mean_od", o.dab_thresholds)
     regions = area.join(scores, ["image_id", "roi_id"], "left").fillna(0, ["n_cells"]).join(manifest, "image_id")

@@ -195,7 +195,7 @@ def field_background(spark, d):
 
 @query(f"""WITH {PX}, c AS (SELECT DISTINCT image_id, cell_label AS cell_id, CASE cell_label WHEN 1 THEN 2 ELSE 6 END AS cx, CASE cell_label WHEN 1 THEN 2 ELSE 5 END AS cy FROM px WHERE cell_label > 0),
 f AS (SELECT image_id, coalesce(quantile_cont(v, 0.5) FILTER (tissue AND cell_label = 0), 0) AS fb FROM px GROUP BY 1),
-r AS (SELECT c.image_id, cell_id, count(v) AS n, quantile_cont(v, 0.5) AS m FROM c JOIN px ON c.image_id = px.image_id AND cell_label = 0 AND (x - cx) * (x - cx) + (y - cy) * (y - cy) BETWEEN 4 AND 9 GROUP BY 1, 2)
+r AS (SELECT c.image_id, cell_id, count(v) AS n, quantile_cont(v, 0.5) AS m FROM c JOIN px ON c.image_id = px.image_id AND cell_label = 0 AND tissue AND (x - cx) * (x - cx) + (y - cy) * (y - cy) BETWEEN 4 AND 9 GROUP BY 1, 2)
 SELECT c.image_id, c.cell_id, coalesce(n, 0) AS n_ring, round(CASE WHEN n >= 9 THEN m ELSE fb END, 6) AS local_background FROM c LEFT JOIN r USING (image_id, cell_id) LEFT JOIN f USING (image_id)""")
 def annulus_background(spark, d):
     p = pixels(spark, d)
@@ -359,7 +359,7 @@ ROI_ROWS = "(1, 'a', 1, 0.5, 0.5), (1, 'a', 2, 6.5, 0.5), (1, 'a', 3, 6.5, 5.5),
 ROI_SQL = f"""vx AS (SELECT * FROM (VALUES {ROI_ROWS}) t(image_id, roi_id, vertex_order, x, y)), vy AS (SELECT image_id, roi_id, vertex_order, x::DOUBLE AS x, y::DOUBLE AS y FROM vx),
 ed AS (SELECT image_id, roi_id, x AS x1, y AS y1, coalesce(lead(x) OVER w, first_value(x) OVER w) AS x2, coalesce(lead(y) OVER w, first_value(y) OVER w) AS y2 FROM vy WINDOW w AS (PARTITION BY image_id, roi_id ORDER BY vertex_order)),
 gr AS (SELECT i % 8 AS x, i // 8 AS y FROM range(64) t(i)),
-ins AS (SELECT image_id, roi_id, gr.x, gr.y FROM ed, gr WHERE (y1 > gr.y) <> (y2 > gr.y) AND gr.x > x1 + (gr.y - y1) * (x2 - x1) / (y2 - y1) GROUP BY 1, 2, 3, 4 HAVING count(*) % 2 = 1)"""
+ins AS (SELECT image_id, roi_id, gr.x, gr.y FROM ed, gr WHERE (y1 > gr.y + 1) <> (y2 > gr.y + 1) AND gr.x + 1 < (x1 - x2) * (gr.y + 1 - y2) / (y1 - y2 + 2.220446049250313e-16::DOUBLE) + x2 GROUP BY 1, 2, 3, 4 HAVING count(*) % 2 = 1)"""
 
 
 def rois(spark):
@@ -393,7 +393,7 @@ def analysis_mask(spark, d):
     return p.groupBy("image_id").agg(F.count(F.when(F.col("analysis"), 1)).alias("n_analysed"), F.count(F.lit(1)).alias("n"))
 
 
-@query(f"WITH {ROI_SQL}, c AS (SELECT l_orderkey AS cell_key, l_linenumber, l_orderkey % 2 + 1 AS image_id, l_quantity / 6 AS cx, l_discount * 75 AS cy FROM lineitem), r AS (SELECT *, least(greatest(round_even(cx, 0), 0), 7) AS x, least(greatest(round_even(cy, 0), 0), 7) AS y FROM c) SELECT ins.image_id, roi_id, count(*) AS n_cells FROM r JOIN ins ON r.image_id = ins.image_id AND r.x = ins.x AND r.y = ins.y GROUP BY 1, 2")
+@query(f"WITH {ROI_SQL}, c AS (SELECT l_orderkey AS cell_key, l_linenumber, l_orderkey % 2 + 1 AS image_id, l_quantity / 6 AS cx, l_discount * 75 AS cy FROM lineitem), r AS (SELECT *, least(greatest(round_even(cx + 1, 0), 1), 8) - 1 AS x, least(greatest(round_even(cy + 1, 0), 1), 8) - 1 AS y FROM c) SELECT ins.image_id, roi_id, count(*) AS n_cells FROM r JOIN ins ON r.image_id = ins.image_id AND r.x = ins.x AND r.y = ins.y GROUP BY 1, 2")
 def centroid_membership(spark, d):
     c = table(spark, d, "lineitem").select((F.col("l_orderkey") % 2 + 1).cast("int").alias("image_id"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("cell_id"), (F.col("l_quantity") / 6).alias("cx"), (F.col("l_discount") * 75).alias("cy"))
     return rounded(geometry.cell_membership(c, inside(spark), 8, 8).groupBy("image_id", "roi_id").agg(F.count(F.lit(1)).alias("n_cells")))

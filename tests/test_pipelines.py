@@ -9,11 +9,11 @@ def test_brightfield_run(spark):
     for i in (1, 2):
         image, truth = scenes.stained_scene(positive=6 * (i - 1), seed=7)
         rows.append((i, 128, 128, *(np.ascontiguousarray(image[..., c]).astype("<f4").tobytes() for c in range(3))))
-        polygons += [(i, "left", "include", "custom", j, x, y) for j, (x, y) in enumerate([(0.0, 0.0), (63.5, 0.0), (63.5, 127.0), (0.0, 127.0)])]
+        polygons += [(i, "left", "include", "custom", j, x, y) for j, (x, y) in enumerate([(1.0, 1.0), (64.5, 1.0), (64.5, 128.0), (1.0, 128.0)])]
     images = spark.createDataFrame(rows, "image_id long, h int, w int, r binary, g binary, b binary")
     manifest = spark.createDataFrame([(1, "u1", "control", 0.5), (2, "u1", "treated", None)], "image_id long, biological_unit_id string, condition string, pixel_size_um double")
     vertices = spark.createDataFrame(polygons, "image_id long, roi_id string, action string, compartment string, vertex_order int, x double, y double")
-    run = pipelines.brightfield(images, manifest, vertices, size=(128, 128))
+    run = pipelines.brightfield(images, manifest, vertices)
     regions = {(r.image_id, r.roi_id): r for r in run.regions.collect()}
     assert set(regions) == {(i, r) for i in (1, 2) for r in ("GLOBAL", "left")}
     n = int(scenes.stained_scene()[1].max())
@@ -25,6 +25,25 @@ def test_brightfield_run(spark):
     assert "MISSING_PIXEL_SIZE_CALIBRATION" in flags[2] and "MISSING" not in flags[1]
 
 
+def test_exclusions_come_first_and_sizes_may_differ(spark):
+    rows = []
+    for i, size in ((1, 128), (2, 96)):
+        image = scenes.stained_scene(positive=6, seed=7)[0][:size]
+        rows.append((i, size, 128, *(np.ascontiguousarray(image[..., c]).astype("<f4").tobytes() for c in range(3))))
+    images = spark.createDataFrame(rows, "image_id long, h int, w int, r binary, g binary, b binary")
+    manifest = spark.createDataFrame([(1, "u1", "control", 0.5), (2, "u1", "treated", 0.5)], "image_id long, biological_unit_id string, condition string, pixel_size_um double")
+    corners = [(1.0, 1.0), (65.0, 1.0), (65.0, 129.0), (1.0, 129.0)]
+    polygons = [(1, "out", "exclude", "custom", j, x, min(y, 128.0)) for j, (x, y) in enumerate(corners)] + [(2, "in", "include", "custom", j, x, min(y, 96.0)) for j, (x, y) in enumerate(corners)]
+    vertices = spark.createDataFrame(polygons, "image_id long, roi_id string, action string, compartment string, vertex_order int, x double, y double")
+    run = pipelines.brightfield(images, manifest, vertices)
+    masks = {r.image_id: np.frombuffer(r.tissue, dtype=np.uint8).reshape(r.h, r.w) for r in run.labels.collect()}
+    cells = {r.image_id: np.frombuffer(r.cell, dtype="<i4").reshape(r.h, r.w) for r in run.labels.collect()}
+    # columns 1 to 64 of rows 1 to 127 are out, as counted from 1
+    assert not masks[1][:127, :64].any() and not cells[1][:127, :64].any() and masks[1][:, 64:].any()
+    assert masks[2].shape == (96, 128) and masks[2][:, :64].any()
+    assert {(r.image_id, r.roi_id) for r in run.regions.collect()} == {(1, "GLOBAL"), (2, "GLOBAL"), (2, "in")}
+
+
 def test_fluorescence_run(spark):
     rows = []
     for i, (nuclear, cytoplasm) in enumerate([(0.15, 0.85), (0.85, 0.2)]):
