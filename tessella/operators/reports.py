@@ -49,9 +49,15 @@ def figure_manifest(long: DataFrame, groups: Sequence[str], axis: str = "fixed",
     )
 
 
+#: Bars of a figure; more are an error, as none is left out.
+MOST_BARS = 500
+
+
 def bar_svg(bars: DataFrame, title: str, high: float, condition: str = "condition", width: int = 480, height: int = 320) -> str:
-    """An SVG bar chart with error bars of an aggregated table (a few rows)."""
-    rows = bars.orderBy(condition).limit(50).collect()
+    """An SVG bar chart with error bars of an aggregated table of MOST_BARS rows at most."""
+    rows = bars.orderBy(condition).limit(MOST_BARS + 1).collect()
+    if len(rows) > MOST_BARS:
+        raise ValueError(f"a figure of over {MOST_BARS} bars")
     step, base = (width - 80) / max(len(rows), 1), height - 50
 
     def y(v: float) -> float:

@@ -19,6 +19,8 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 
 from tessella.functions import kernels as k
 
+#: Bytes of label planes that a task passes on together.
+FRAME_BYTES = 32 << 20
 LABELS = "image_id long, h int, w int, nuc binary, cell binary, tissue binary, n_cells int, status string, error string"
 
 
@@ -151,6 +153,7 @@ def each_image(planes: DataFrame, segment: Callable) -> DataFrame:
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
+            rows, size = [], 0
             for row in frame.itertuples(index=False):
                 out = {"image_id": row.image_id, "h": row.h, "w": row.w, "nuc": None, "cell": None, "tissue": None, "n_cells": 0, "status": "OK", "error": None}
                 try:
@@ -158,7 +161,13 @@ def each_image(planes: DataFrame, segment: Callable) -> DataFrame:
                     out |= {"nuc": nuclei.astype("<i4").tobytes(), "cell": cells.astype("<i4").tobytes(), "tissue": tissue.astype("u1").tobytes(), "n_cells": int(nuclei.max(initial=0))}
                 except Exception as e:  # one bad image must not end the run
                     out |= {"status": "ERROR", "error": f"{type(e).__name__}: {e}"}
-                yield pd.DataFrame([out])
+                rows.append(out)
+                size += 9 * row.h * row.w
+                if size > FRAME_BYTES:
+                    yield pd.DataFrame(rows)
+                    rows, size = [], 0
+            if rows:
+                yield pd.DataFrame(rows)
 
     return planes.mapInPandas(run, LABELS)
 

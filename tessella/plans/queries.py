@@ -442,7 +442,17 @@ def dice_iou(spark, d):
     return rounded(scoring.pixel_overlap(labelled(spark, d), ["image_id"], "p", "t"))
 
 
-SCORE_SQL = """cn AS (SELECT image_id, count(DISTINCT nullif(p, 0)) AS n_predicted, count(DISTINCT nullif(t, 0)) AS n_truth FROM lb GROUP BY 1), tp AS (SELECT image_id, count(*) AS tp FROM io WHERE iou > 0.55 GROUP BY 1),
+
+
+def greedy_sql(threshold: float) -> str:
+    """Pairs of ``io`` by falling IoU, one after the other; ``gm`` says which are kept."""
+    return f"""rk AS (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY iou DESC, p, t) AS rn FROM io WHERE iou >= {threshold}),
+gm AS (SELECT DISTINCT image_id, 0::BIGINT AS rn, []::BIGINT[] AS ps, []::BIGINT[] AS ts, false AS kept, NULL::BIGINT AS p, NULL::BIGINT AS t, NULL::BIGINT AS intersection, NULL::BIGINT AS size_a, NULL::BIGINT AS size_b, NULL::DOUBLE AS iou FROM io
+UNION ALL SELECT rk.image_id, rk.rn, list_append(ps, CASE WHEN NOT list_contains(ps, rk.p) AND NOT list_contains(ts, rk.t) THEN rk.p END), list_append(ts, CASE WHEN NOT list_contains(ps, rk.p) AND NOT list_contains(ts, rk.t) THEN rk.t END),
+NOT list_contains(ps, rk.p) AND NOT list_contains(ts, rk.t), rk.p, rk.t, rk.intersection, rk.size_a, rk.size_b, rk.iou FROM gm JOIN rk ON rk.image_id = gm.image_id AND rk.rn = gm.rn + 1)"""
+
+
+SCORE_SQL = greedy_sql(0.5) + """, cn AS (SELECT image_id, count(DISTINCT nullif(p, 0)) AS n_predicted, count(DISTINCT nullif(t, 0)) AS n_truth FROM lb GROUP BY 1), tp AS (SELECT image_id, count(*) AS tp FROM gm WHERE kept GROUP BY 1),
 sc AS (SELECT image_id, n_predicted, n_truth, coalesce(tp, 0) AS tp FROM cn LEFT JOIN tp USING (image_id)), pr AS (SELECT *, n_predicted - tp AS fp, n_truth - tp AS fn, tp / nullif(n_predicted, 0) AS pr, tp / nullif(n_truth, 0) AS rc, abs(n_predicted - n_truth) / nullif(n_truth, 0) AS ce FROM sc),
 ff AS (SELECT image_id, n_predicted, n_truth, tp, fp, fn, pr AS precision, rc AS recall, CASE WHEN pr + rc > 0 THEN 2 * pr * rc / (pr + rc) END AS f1, ce AS count_error FROM pr)"""
 
@@ -450,23 +460,23 @@ ff AS (SELECT image_id, n_predicted, n_truth, tp, fp, fn, pr AS precision, rc AS
 def scored(spark, d):
     lab = labelled(spark, d)
     n = lab.groupBy("image_id").agg(F.count_distinct(F.when(F.col("p") > 0, F.col("p"))).alias("n_predicted"), F.count_distinct(F.when(F.col("t") > 0, F.col("t"))).alias("n_truth"))
-    tp = scoring.greedy_matches(geometry.label_overlaps(lab, ["image_id"], "p", "t"), ["image_id"], "p", "t", 0.55000001).groupBy("image_id").agg(F.count(F.lit(1)).alias("tp"))
+    tp = scoring.greedy_matches(geometry.label_overlaps(lab, ["image_id"], "p", "t"), ["image_id"], "p", "t", 0.5).groupBy("image_id").agg(F.count(F.lit(1)).alias("tp"))
     return scoring.object_scores(n.join(tp, "image_id", "left").fillna(0, ["tp"]))
 
 
-@query(f"WITH {PX}, {LAB_SQL}, {IOU_SQL}, {SCORE_SQL} SELECT image_id, n_predicted, n_truth, tp, fp, fn, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, round(count_error, 6) AS count_error FROM ff")
+@query(f"WITH RECURSIVE {PX}, {LAB_SQL}, {IOU_SQL}, {SCORE_SQL} SELECT image_id, n_predicted, n_truth, tp, fp, fn, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, round(count_error, 6) AS count_error FROM ff")
 def precision_recall_f1(spark, d):
     return rounded(scored(spark, d))
 
 
-@query(f"WITH {PX}, {LAB_SQL}, {IOU_SQL}, {SCORE_SQL} SELECT count(*) AS n_images, round(avg(precision), 6) AS mean_precision, round(avg(recall), 6) AS mean_recall, round(avg(f1), 6) AS mean_f1, round(avg(count_error), 6) AS mean_count_error FROM ff")
+@query(f"WITH RECURSIVE {PX}, {LAB_SQL}, {IOU_SQL}, {SCORE_SQL} SELECT count(*) AS n_images, round(avg(precision), 6) AS mean_precision, round(avg(recall), 6) AS mean_recall, round(avg(f1), 6) AS mean_f1, round(avg(count_error), 6) AS mean_count_error FROM ff")
 def benchmark_means(spark, d):
     return rounded(scoring.benchmark_means(scored(spark, d), ["precision", "recall"], ["f1", "count_error"]))
 
 
-@query(None)
+@query(f"WITH RECURSIVE {PX}, {LAB_SQL}, {IOU_SQL}, {greedy_sql(0.3)} SELECT image_id, p, t, intersection, size_a, size_b, round(iou, 6) AS iou FROM gm WHERE kept")
 def greedy_matching(spark, d):
-    return scoring.greedy_matches(geometry.label_overlaps(labelled(spark, d), ["image_id"], "p", "t"), ["image_id"], "p", "t", 0.3)
+    return rounded(scoring.greedy_matches(geometry.label_overlaps(labelled(spark, d), ["image_id"], "p", "t"), ["image_id"], "p", "t", 0.3))
 
 
 # colocalisation and puncta

@@ -157,7 +157,8 @@ def read_pages(spark: SparkSession, paths: list[str] | str, most_pixels: int = 8
             for path, content in zip(frame["path"], frame["content"], strict=True):
                 try:
                     if content[:4] == b"\x89PNG":
-                        pages = [({}, lambda c=content: png_image(c))]
+                        size = struct.unpack(">II", content[16:24])
+                        pages = [({"width": [size[0]], "height": [size[1]]}, lambda c=content: png_image(c))]
                     else:
                         pages = [(d, lambda c=content, d=d: tiff_page(c, d)) for d in tiff_directories(content)]
                     for i, (d, read) in enumerate(pages):
@@ -184,12 +185,19 @@ def split_samples(pages: DataFrame) -> DataFrame:
 
 
 def stack_planes(pages: DataFrame, channels: DataFrame) -> DataFrame:
-    """(path, channel_index, z, h, w, data) of stacks; ``channels``: path, n_channels of the manifest."""
+    """(path, channel_index, z, h, w, data, error) of stacks; ``channels``: path, n_channels of the manifest.
+
+    A stack whose pages don't divide by its channels gives one row with an error
+    and without data, and so does a file with pages that couldn't be read.
+    """
     from tessella.operators.pixels import page_to_plane
 
-    counted = pages.where("error is null").groupBy("path").agg(F.max("page").alias("n_pages"))
-    whole = counted.join(channels, "path").where("n_pages % n_channels = 0")
-    return pages.join(whole, "path").select("path", *page_to_plane("page", "n_channels"), "h", "w", "data")
+    counted = pages.groupBy("path").agg(F.count(F.when(F.col("error").isNull(), 1)).alias("n_pages"), F.max("error").alias("failed")).join(channels, "path")
+    apart = F.concat(F.col("n_pages").cast("string"), F.lit(" pages don't divide by "), F.coalesce(F.col("n_channels").cast("string"), F.lit("no")), F.lit(" channels"))
+    counted = counted.withColumn("stack_error", F.coalesce("failed", F.when(F.coalesce(F.col("n_pages") % F.nullif("n_channels", F.lit(0)) != 0, F.lit(True)), apart)))
+    whole = pages.join(counted.where("stack_error is null"), "path").select("path", *page_to_plane("page", "n_channels"), "h", "w", "data", F.lit(None).cast("string").alias("error"))
+    broken = counted.where("stack_error is not null").select("path", F.col("stack_error").alias("error"))
+    return whole.unionByName(broken, allowMissingColumns=True)
 
 
 def write_tiff(planes: list[np.ndarray], bits: int = 16, description: str = "", deflate: bool = False) -> bytes:

@@ -144,3 +144,12 @@ def test_threshold_methods(spark):
         assert got[2] is None and 0.1 <= got[1] <= 0.95
     with pytest.raises(ValueError):
         px.positivity_threshold(df, ["image_id"], "v", "other")
+
+
+def test_stack_that_does_not_divide_gives_an_error_row(spark):
+    rows = [("a", p, 1, 1, 8, 1, None, bytes(4), None) for p in (1, 2, 3, 4)] + [("b", p, 1, 1, 8, 1, None, bytes(4), None) for p in (1, 2, 3)] + [("c", 0, 0, 0, 0, 0, None, None, "ValueError: no image")]
+    pages = spark.createDataFrame(rows, images.PAGES)
+    channels = spark.createDataFrame([("a", 2), ("b", 2), ("c", 2)], "path string, n_channels int")
+    got = sorted((r.path, r.error, r.data is None) for r in images.stack_planes(pages, channels).collect())
+    assert [g[0] for g in got] == ["a"] * 4 + ["b", "c"] and all(g[1] is None and not g[2] for g in got[:4])
+    assert "3 pages" in got[4][1] and got[4][2] and got[5][1:] == ("ValueError: no image", True)
