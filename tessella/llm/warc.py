@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm.common import materialise, scratch_path, slices, table
+from tessella.llm.common import materialise, scratch_path, slices, small_batches, table
 
 CHUNK = 1 << 16
 #: An archive holds at most so many records of at most a chunk each: 128 MiB.
@@ -217,6 +217,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 
 
 def op9_warc(spark, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     path = scratch_path(spark, "warc")
     write_archives(table(spark, sf_dir, "pages"), path)
     return read_archives(spark, path)
