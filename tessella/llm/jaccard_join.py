@@ -167,7 +167,7 @@ def survey(docs: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
 
 def heaviness(cells: np.ndarray) -> np.ndarray:
     """0 for cells that chance explains, else a level for every half power of two over that."""
-    mean = float(cells.mean(dtype=float))
+    mean = sum(float(part.sum(dtype=float)) for part in np.split(cells, CELL_BLOCKS)) / len(cells)
     usual = np.float32(mean + 5 * np.sqrt(mean) + 2)
     return np.concatenate([np.clip(np.ceil(2 * np.log2(np.maximum(part, 1) / usual)), 0, 120).astype(np.uint8) for part in np.split(cells, CELL_BLOCKS)])
 
@@ -258,9 +258,18 @@ def met_in_lists(batches: Iterator[pa.RecordBatch], similarity: tuple[int, int])
     release_memory()
 
 
-def met(docs: DataFrame, words: int, cells: np.ndarray, boundary: int, similarity: tuple[int, int]) -> DataFrame:
+def postings_met(cells: np.ndarray, level: np.ndarray) -> float:
+    """Postings that one posting of a cell without a level meets on average; frequent shingles hardly come into prefixes."""
+    n, total, squares = 0, 0.0, 0.0
+    for part, heavy in zip(np.split(cells, CELL_BLOCKS), np.split(level, CELL_BLOCKS), strict=True):
+        light = part[heavy == 0].astype(float)
+        n, total, squares = n + len(light), total + float(light.sum()), squares + float(np.dot(light, light))
+    return max(0.0, squares / max(1.0, total) - total / n - 1) if n else 0.0
+
+
+def met(docs: DataFrame, words: int, level: np.ndarray, boundary: int, similarity: tuple[int, int]) -> DataFrame:
     """What the lists with two different sets at least give (``MET``)."""
-    shared = docs.sparkSession.sparkContext.broadcast(heaviness(cells))  # CELLS bytes, whatever the corpus
+    shared = docs.sparkSession.sparkContext.broadcast(level)  # CELLS bytes, whatever the corpus
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level, seen = shared.value, set()
@@ -292,10 +301,9 @@ def fetch_sets(docs: DataFrame, words: int, wanted: DataFrame) -> DataFrame:
     """(sid, n, items) of the wanted sets (sid, doc_id) and of some others, read from the texts of those documents. A set may come again."""
     bits = 1 << max(10, min(FILTER_BITS.bit_length() - 1, (16 * max(1, wanted.count())).bit_length()))
     cell = F.col("sid").bitwiseXOR(F.coalesce("doc_id", F.lit(0))).bitwiseAND(F.lit(bits - 1))
-    rows = wanted.select(cell.alias("cell")).groupBy(F.shiftright("cell", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(cell & 63 as int))")).alias("bits")).collect()
+    words_of = wanted.select(cell.alias("cell")).groupBy(F.shiftright("cell", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(cell & 63 as int))")).alias("bits")).toArrow()
     mask = np.zeros(bits // 64, dtype=np.int64)
-    for r in rows:  # bits / 64 rows at most
-        mask[r.word] = r.bits
+    mask[words_of["word"].to_numpy()] = words_of["bits"].to_numpy()  # bits / 64 rows at most
     shared = docs.sparkSession.sparkContext.broadcast(mask.view(np.uint64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -523,12 +531,16 @@ def apart_in_lists(batches: Iterator[pa.RecordBatch], similarity: tuple[int, int
 def jaccard_links(docs: DataFrame, words: int = WORDS, similarity: tuple[int, int] = SIMILARITY) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(doc_id, n, sid) of every document, links (a, b) between different sets that connect all sets which links connect, and (sid, n, items) of those sets and others."""
     per_doc, cells = survey(docs, words)
-    light = cells[heaviness(cells) == 0].astype(float)  # frequent shingles hardly come into prefixes
-    meets = max(0.0, float(np.dot(light, light)) / max(1.0, float(light.sum())) - float(light.mean()) - 1) if len(light) else 0.0
+    level = heaviness(cells)
+    meets = postings_met(cells, level)
+    del cells  # the driver keeps no more of the sketch than its levels
+    release_memory()
     largest = largest_small(meets, similarity)
     sizes = {r.n: r["count"] for r in per_doc.where(F.col("n").between(1, largest)).groupBy("n").count().collect()}
     boundary = choose_boundary(sizes, meets, similarity)
-    found = met(docs, words, cells, boundary, similarity)
+    found = met(docs, words, level, boundary, similarity)
+    del level
+    release_memory()
     first = per_doc.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
     p, q = similarity
 
