@@ -688,3 +688,19 @@ def one_row_of_each(docs: DataFrame, words: int = WORDS, similarity: tuple[int,
 def op2_jaccard_join(spark, sf_dir: str) -> DataFrame:
     small_batches(spark)
     return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+#: Every two sets that share a shingle are compared; for thousands of documents, not for millions.
+OP2_SQL = r"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' ')) END) AS s FROM w),
+st AS (SELECT doc_id, count(*) AS n, md5(string_agg(s, chr(10) ORDER BY s)) AS digest FROM sh GROUP BY 1),
+md AS (SELECT doc_id, n, min(doc_id) OVER (PARTITION BY digest, n) AS sid FROM st),
+sd AS (SELECT sid, s FROM md JOIN sh ON md.doc_id = sh.doc_id AND md.doc_id = sid),
+sz AS (SELECT DISTINCT sid, n FROM md),
+pr AS (SELECT a.sid AS a, b.sid AS b, count(*) AS c FROM sd a JOIN sd b ON a.s = b.s AND a.sid < b.sid GROUP BY 1, 2),
+ln AS (SELECT a, b FROM pr JOIN sz x ON x.sid = a JOIN sz y ON y.sid = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+ed AS (SELECT a, b FROM ln UNION ALL SELECT b, a FROM ln),
+rc AS (SELECT sid AS node, sid AS root FROM sz UNION SELECT ed.b, rc.root FROM rc JOIN ed ON ed.a = rc.node),
+cp AS (SELECT node, min(root) AS component_id FROM rc GROUP BY 1), dg AS (SELECT a, count(*) AS n_links FROM ed GROUP BY 1)
+SELECT d.doc_id, coalesce(md.n, 0) AS n_shingles, coalesce(component_id, d.doc_id) AS component_id, coalesce(n_links, 0) AS n_links
+FROM documents d LEFT JOIN md USING (doc_id) LEFT JOIN cp ON cp.node = md.sid LEFT JOIN dg ON dg.a = md.sid"""

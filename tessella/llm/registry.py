@@ -5,9 +5,9 @@ from __future__ import annotations
 from tessella.llm.chat import OP3_SQL, op3_chat
 from tessella.llm.decontaminate import op8_decontaminate
 from tessella.llm.importance import op1_importance
-from tessella.llm.jaccard_join import op2_jaccard_join
+from tessella.llm.jaccard_join import OP2_SQL, op2_jaccard_join
 from tessella.llm.packing import op7_packing
-from tessella.llm.sharding import op6_rendezvous
+from tessella.llm.sharding import OP6_SQL, op6_rendezvous
 from tessella.llm.spotsigs import op10_spotsigs
 from tessella.llm.token_files import op5_token_files
 from tessella.llm.toxicity import op4_toxicity
@@ -30,4 +30,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat": OP3_SQL, "op9_warc": OP9_SQL}
+    return {"op2_jaccard_join": OP2_SQL, "op3_chat": OP3_SQL, "op6_rendezvous": OP6_SQL, "op9_warc": OP9_SQL}

@@ -92,3 +92,13 @@ def shard_documents(docs: DataFrame, weights: Sequence[float] = (1.0,) * 16, row
 
 def op6_rendezvous(spark, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
+
+
+#: The CRC table is made by its rule, as DuckDB has no such function; doc_id is unique here.
+OP6_SQL = """WITH cr AS (SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) r(i))),
+d AS (SELECT doc_id, coalesce(CAST(doc_id AS VARCHAR), 'null') AS k, coalesce(text, '') AS text FROM documents),
+h AS (SELECT doc_id, s, CAST('0x' || substr(md5(k || ':' || s), 1, 13) AS BIGINT) AS u FROM d, range(17) r(s)),
+b AS (SELECT doc_id, max(struct_pack(u := u, s := s)) FILTER (s < 16) AS best, max(struct_pack(u := u, s := s)) AS grown FROM h GROUP BY 1),
+m AS (SELECT doc_id, octet_length(encode(text)) + 1 AS size, xor(list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda x: CAST('0x' || x AS BIGINT))), lambda c, x: xor(c >> 8, t[xor(c & 255, x) + 1])), 4294967295) AS text_crc32, best.s AS shard, grown.s AS grown_shard,
+CAST('0x' || substr(md5(k || ':bucket'), 1, 13) AS BIGINT) % greatest(1, CAST(ceil((SELECT count(*) FROM documents) / (16 * ROWS)) AS BIGINT)) AS bucket FROM d JOIN b USING (doc_id), cr)
+SELECT doc_id, size, text_crc32, 'key' AS law, CAST(shard AS INTEGER) AS shard, row_number() OVER (PARTITION BY shard ORDER BY bucket, doc_id, text_crc32, size) - 1 AS slot, CAST(grown_shard AS INTEGER) AS grown_shard FROM m""".replace("ROWS", str(ROWS_PER_BUCKET))
