@@ -10,6 +10,7 @@ bytes are compared, so that two pieces with one hash never share their ids.
 
 from __future__ import annotations
 
+import os
 from itertools import chain
 
 import numpy as np
@@ -60,6 +61,8 @@ class ChunkEncoder:
     def __init__(self, path: str, special_as_text: bool = False):
         from tokenizers import Tokenizer
 
+        # a task has one core: threads of the library would only wait for each other
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = special_as_text
         if any(" " in t.content or t.lstrip or t.rstrip for t in self.tokenizer.get_added_tokens_decoder().values()):
