@@ -11,7 +11,9 @@ from tessella.llm.sharding import OP6_SQL, op6_rendezvous
 from tessella.llm.spotsigs import op10_spotsigs
 from tessella.llm.token_files import op5_token_files
 from tessella.llm.toxicity import op4_toxicity
+from tessella.llm.url_filter import OP11_SQL, op11_url_filter
 from tessella.llm.warc import OP9_SQL, op9_warc
+from tessella.llm.whitening import op12_whitening
 
 
 def queries() -> dict:
@@ -26,8 +28,10 @@ def queries() -> dict:
         "op8_decontaminate": op8_decontaminate,
         "op9_warc": op9_warc,
         "op10_spotsigs": op10_spotsigs,
+        "op11_url_filter": op11_url_filter,
+        "op12_whitening": op12_whitening,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_jaccard_join": OP2_SQL, "op3_chat": OP3_SQL, "op6_rendezvous": OP6_SQL, "op9_warc": OP9_SQL}
+    return {"op2_jaccard_join": OP2_SQL, "op3_chat": OP3_SQL, "op6_rendezvous": OP6_SQL, "op9_warc": OP9_SQL, "op11_url_filter": OP11_SQL}
