@@ -133,6 +133,14 @@ def release_memory() -> None:
         pass
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many lines below as keep it from clashing with a column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 #: A key is hot if it has this share of all rows and at least so many rows; so there are 1000 hot keys at most.
 HOT_SHARE, HOT_ROWS = 0.001, 1000
 

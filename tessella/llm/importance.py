@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessella.llm.common import bounded_sample, materialise, slices, small_batches, table, total_counts
@@ -129,7 +129,8 @@ def choose_size(scored: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS)
     if not known:
         return scored.count()
     bounded = spark.createDataFrame(list(known.items()), "doc_id long, quality int")
-    pairs = scored.join(F.broadcast(bounded), "doc_id").select("gumbel_key", "quality").collect()
+    # an id with several rows counts once, with its least key
+    pairs = scored.join(F.broadcast(bounded), "doc_id").groupBy("doc_id", "quality").agg(F.min("gumbel_key")).select("min(gumbel_key)", "quality").collect()
     key, good = np.array([r[0] for r in pairs]), np.array([r[1] for r in pairs])
     if not len(key) or good.min() == good.max():
         return scored.count()
@@ -169,8 +170,12 @@ def top_k(scored: DataFrame, k: int, by: str = "gumbel_key") -> DataFrame:
         if rows <= 10_000 or low == high:
             break
     sure = scored.where(F.col(by) > high)
-    last = scored.where((F.col(by) >= low) & (F.col(by) <= high)).orderBy(F.desc(by), "doc_id").limit(k - above)
-    return sure.unionByName(last)
+    # rows alike in every column are counted, not moved; the ones that stay are made again from their number
+    alike = scored.where((F.col(by) >= low) & (F.col(by) <= high)).groupBy(*scored.columns).agg(F.count(F.lit(1)).alias("rows_alike"))
+    before = Window.orderBy(F.desc(by), "doc_id", *scored.columns).rowsBetween(Window.unboundedPreceding, -1)
+    stay = F.least(F.col("rows_alike"), F.lit(k - above) - F.coalesce(F.sum("rows_alike").over(before), F.lit(0)))
+    last = alike.withColumn("stay", stay).where("stay > 0").withColumn("one", F.explode(F.sequence(F.lit(1), F.col("stay").cast("int"))))
+    return sure.unionByName(last.select(scored.columns))
 
 
 def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, seed: int = 17) -> DataFrame:
@@ -204,5 +209,6 @@ def kept_documents(docs: DataFrame, labels: DataFrame, seed: int = 17) -> DataFr
 
 
 def op1_importance(spark, sf_dir: str) -> DataFrame:
+    """``resample`` of all ``documents``."""
     small_batches(spark)
     return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

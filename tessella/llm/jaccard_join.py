@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tessella.llm.common import materialise, release_memory, slices, small_batches, table
+from tessella.llm.common import free_name, materialise, release_memory, slices, small_batches, table
 
 WORDS, SIMILARITY = 5, (3, 4)
 #: Cells of the count sketch (64 MB of counts, 16 MB of levels), sent in blocks.
@@ -660,28 +660,29 @@ def one_row_of_each(docs: DataFrame, words: int = WORDS, similarity: tuple[int,
     stays = F.col("doc_id").eqNullSafe(F.col("lead.doc_id")) & (F.col("sid") == F.col("lead.sid"))
     # pairs that go, and pairs of which one row of several stays
     marked = rows.join(leads, "label").withColumn("stays", stays).where("not stays or copies > 1")
-    marked = materialise(marked.select(F.col("doc_id").alias("marked_id"), F.col("sid").alias("marked_sid"), "stays"), "jaccard-marked")
+    own_sid, marked_id, marked_sid, stays = (free_name(docs, c) for c in ("own_sid", "marked_id", "marked_sid", "stays"))
+    marked = materialise(marked.select(F.col("doc_id").alias(marked_id), F.col("sid").alias(marked_sid), F.col("stays").alias(stays)), "jaccard-marked")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from tessella.llm.words import shingle_sets
 
         for batch in slices(batches):
             sets = shingle_sets(batch.column("text"), words)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([set_digest(s) if len(s) else None for s in sets], pa.int64())], [*batch.schema.names, "own_sid"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([set_digest(s) if len(s) else None for s in sets], pa.int64())], [*batch.schema.names, own_sid])
 
-    keyed = docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("own_sid", LongType())]))
+    keyed = docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(own_sid, LongType())]))
     few = marked.count() <= BROADCAST_IDS
-    met = F.col("doc_id").cast("long").eqNullSafe(F.col("marked_id")) & (F.col("own_sid") == F.col("marked_sid"))
+    met = F.col("doc_id").cast("long").eqNullSafe(F.col(marked_id)) & (F.col(own_sid) == F.col(marked_sid))
 
     def bounded(df: DataFrame) -> DataFrame:
         return F.broadcast(df) if few else df
 
-    again = marked.where("stays")
+    again = marked.where(F.col(stays))
     if again.isEmpty():
         return keyed.join(bounded(marked), met, "left_anti").select(docs.columns)
     several = keyed.join(bounded(again), met, "left_semi")
     row = F.struct(*docs.columns)
-    first = several.groupBy(F.col("doc_id").alias("key"), "own_sid").agg(F.min_by(row, F.to_json(row)).alias("row")).select("row.*")
+    first = several.groupBy(F.col("doc_id").alias("key"), own_sid).agg(F.min_by(row, F.to_json(row)).alias("row")).select("row.*")
     return keyed.join(bounded(marked), met, "left_anti").select(docs.columns).unionByName(first)
 
 

@@ -62,35 +62,34 @@ def shard_documents(docs: DataFrame, weights: Sequence[float] = (1.0,) * 16, row
     buckets = max(1, math.ceil(rows / (len(weights) * rows_per_bucket)))
     key = doc_key()
     even = min(weights) == max(weights)
-    keyed = (
-        docs.select("doc_id", "text", best_shard(key, weights, even).alias("best"))
-        .withColumn("shard", F.col("best.shard"))
-        .withColumn("bucket", (unit_hash(key, "bucket") % F.lit(buckets)).cast("int"))
-    )
-    first = (
-        keyed.groupBy("shard", "bucket")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("first", F.sum("n").over(Window.partitionBy("shard").orderBy("bucket")) - F.col("n"))
-        .select("shard", "bucket", "first")
-    )
-    measured = keyed.select(
+    crc = F.crc32(text_or_empty().cast("binary")).cast("long")
+    measured = docs.select(
         "doc_id",
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
-        F.crc32(text_or_empty().cast("binary")).cast("long").alias("text_crc32"),
-        F.lit("key").alias("law"),
-        "shard",
-        "bucket",
-        F.greatest("best", scored(key, len(weights), sum(weights) / len(weights), even))["shard"].alias("grown_shard"),
+        crc.alias("text_crc32"),
+        best_shard(key, weights, even).alias("best"),
+        # a key with many texts fills many buckets
+        (unit_hash(F.concat(key, F.lit(":"), crc), "bucket") % F.lit(buckets)).cast("int").alias("bucket"),
+    ).select("doc_id", "size", "text_crc32", F.col("best.shard").alias("shard"), "bucket", F.greatest("best", scored(key, len(weights), sum(weights) / len(weights), even))["shard"].alias("grown_shard"))
+    # rows alike are counted where they are, and get a run of slots
+    alike = measured.groupBy(*measured.columns).agg(F.count(F.lit(1)).alias("n"))
+    first = (
+        measured.groupBy("shard", "bucket")
+        .agg(F.count(F.lit(1)).alias("n_rows"))
+        .withColumn("first", F.sum("n_rows").over(Window.partitionBy("shard").orderBy("bucket")) - F.col("n_rows"))
+        .select("shard", "bucket", "first")
     )
-    order = Window.partitionBy("shard", "bucket").orderBy("doc_id", "text_crc32", "size")
+    order = Window.partitionBy("shard", "bucket").orderBy("doc_id", "text_crc32", "size").rowsBetween(Window.unboundedPreceding, -1)
     return (
-        measured.withColumn("in_bucket", F.row_number().over(order) - 1)
+        alike.withColumn("before", F.coalesce(F.sum("n").over(order), F.lit(0)))
         .join(first, ["shard", "bucket"])
-        .select("doc_id", "size", "text_crc32", "law", "shard", (F.col("first") + F.col("in_bucket")).cast("long").alias("slot"), "grown_shard")
+        .select("*", F.explode(F.sequence(F.col("first") + F.col("before"), F.col("first") + F.col("before") + F.col("n") - 1)).alias("slot"))
+        .select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", F.col("slot").cast("long").alias("slot"), "grown_shard")
     )
 
 
 def op6_rendezvous(spark, sf_dir: str) -> DataFrame:
+    """``shard_documents`` of all ``documents`` over 16 even shards."""
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
@@ -99,6 +98,6 @@ OP6_SQL = """WITH cr AS (SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_red
 d AS (SELECT doc_id, coalesce(CAST(doc_id AS VARCHAR), 'null') AS k, coalesce(text, '') AS text FROM documents),
 h AS (SELECT doc_id, s, CAST('0x' || substr(md5(k || ':' || s), 1, 13) AS BIGINT) AS u FROM d, range(17) r(s)),
 b AS (SELECT doc_id, max(struct_pack(u := u, s := s)) FILTER (s < 16) AS best, max(struct_pack(u := u, s := s)) AS grown FROM h GROUP BY 1),
-m AS (SELECT doc_id, octet_length(encode(text)) + 1 AS size, xor(list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda x: CAST('0x' || x AS BIGINT))), lambda c, x: xor(c >> 8, t[xor(c & 255, x) + 1])), 4294967295) AS text_crc32, best.s AS shard, grown.s AS grown_shard,
-CAST('0x' || substr(md5(k || ':bucket'), 1, 13) AS BIGINT) % greatest(1, CAST(ceil((SELECT count(*) FROM documents) / (16 * ROWS)) AS BIGINT)) AS bucket FROM d JOIN b USING (doc_id), cr)
-SELECT doc_id, size, text_crc32, 'key' AS law, CAST(shard AS INTEGER) AS shard, row_number() OVER (PARTITION BY shard ORDER BY bucket, doc_id, text_crc32, size) - 1 AS slot, CAST(grown_shard AS INTEGER) AS grown_shard FROM m""".replace("ROWS", str(ROWS_PER_BUCKET))
+m AS (SELECT doc_id, octet_length(encode(text)) + 1 AS size, xor(list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda x: CAST('0x' || x AS BIGINT))), lambda c, x: xor(c >> 8, t[xor(c & 255, x) + 1])), 4294967295) AS text_crc32, best.s AS shard, grown.s AS grown_shard, k FROM d JOIN b USING (doc_id), cr),
+n AS (SELECT *, CAST('0x' || substr(md5(k || ':' || text_crc32 || ':bucket'), 1, 13) AS BIGINT) % greatest(1, CAST(ceil((SELECT count(*) FROM documents) / (16 * ROWS)) AS BIGINT)) AS bucket FROM m)
+SELECT doc_id, size, text_crc32, 'key' AS law, CAST(shard AS INTEGER) AS shard, row_number() OVER (PARTITION BY shard ORDER BY bucket, doc_id, text_crc32, size) - 1 AS slot, CAST(grown_shard AS INTEGER) AS grown_shard FROM n""".replace("ROWS", str(ROWS_PER_BUCKET))

@@ -1,24 +1,26 @@
 """Toxicity by weak supervision.
 
 A lexicon entry is a word, or the first 4 to 8 bytes of a longer word, that goes
-with one of the labels in the training fold when it occurs at all or twice. The
-entries of toxic texts are dealt to voters, each of which votes "toxic" if one of
-its entries occurs and "clean" if none does; one voter holds the entries of clean
-texts and abstains without them; a text without words gets no vote of theirs.
-Patterns vote on how many words of a text are in the lexicon, how dense and how
-varied they are, cut where the training texts fall into two groups by themselves.
+with one of the labels in the training fold when it occurs at all or twice. Entries
+that one word can have at once (a word, its beginnings, each once and twice) are
+one root and belong to one voter. A voter votes "toxic" if one of its entries
+occurs, else it abstains; one voter holds the entries of clean texts and votes
+"clean". Patterns vote on how many words of a text are in the lexicon, how dense and
+how varied they are, cut where the labelled training texts come apart best.
 
 A generative label model with a latent class explains all votes, abstentions
 included: each voter has a table of its votes given the class and the vote of the
 one voter it correlates with most (a maximum spanning tree over conditional
-mutual information), fitted by expectation maximisation without labels. A linear
-classifier on the lexical features and patterns is trained on the posterior
-labels and scores every text. Given labels only choose the lexicon's entries.
+mutual information), fitted by expectation maximisation without labels, from the
+votes of the patterns on. A linear classifier on the lexical features and patterns is
+trained on the posterior labels and scores every text. Given labels choose the
+lexicon's entries and the cuts of the patterns, and two numbers, a slope and a
+shift, that put the classifier's scores on the scale of probabilities.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +31,9 @@ from pyspark.sql import functions as F
 from tessella.llm.common import bounded_sample, materialise, slices, small_batches, table
 
 #: Labelled rows to learn from at most (by hash of the key), lexical features, voters they are dealt to, least documents with a feature.
-TRAIN_ROWS, FEATURES, VOTERS, LEAST_DOCS = 8000, 1024, 16, 5
-#: Half a log-likelihood ratio that a feature needs (about 1e-7 by chance), and the share of toxic documents that an entry of toxic texts has at least, surely.
-LEAST_GAIN, LEAST_SHARE = 14.0, 0.5
+TRAIN_ROWS, FEATURES, VOTERS, LEAST_DOCS = 8000, 1024, 12, 5
+#: Half a log-likelihood ratio that a feature needs (about 1e-5 by chance), and the share of toxic documents that an entry of toxic texts has at least, surely.
+LEAST_GAIN, LEAST_SHARE = 9.0, 0.5
 PREFIXES = (4, 5, 6, 7, 8)
 #: Mutual information of two voters over the entropy of one of them, from which on they are almost one.
 ALMOST_ONE = 0.5
@@ -58,7 +60,10 @@ def feature_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
-    """doc_id, toxic, text and features (odd: the even one below it occurs twice) of at most ``rows`` labelled documents outside the held-out fold."""
+    """doc_id, toxic, text and features (odd: the even one below it occurs twice) of at most ``rows`` labelled documents outside the held-out fold.
+
+    An id with several texts is learnt from by the least of them, so that rows are bounded as ids are.
+    """
     key = F.col("doc_id").cast("string")
     known = labels.where("doc_id is not null and toxic is not null").where(F.crc32(key.cast("binary")) % 5 != 0)
     known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
@@ -77,6 +82,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) ->
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array(sets, pa.list_(pa.int64())), batch.column("text")], ["doc_id", "toxic", "features", "text"])
 
     few = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(known), "doc_id")
+    few = few.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
     return materialise(few.select("doc_id", "text", "toxic").mapInArrow(run, "doc_id long, toxic int, features array<long>, text string"), "toxicity-train")
 
 
@@ -93,7 +99,9 @@ def lexicon(train: DataFrame, features: int = FEATURES) -> list[tuple[int, int,
 
     d, k = F.col("d").cast("double"), F.col("k").cast("double")
     g = part(k, d * t / n) + part(d - k, d * (n - t) / n) + part(F.lit(t) - k, (F.lit(n) - d) * t / n + 1e-9) + part(F.lit(n - t) - (d - k), (F.lit(n) - d) * (n - t) / n + 1e-9)
-    return [(r.f, r.d, r.k) for r in counts.withColumn("g", g).where(F.col("g") >= LEAST_GAIN).orderBy(F.desc("g"), "f").limit(features).collect()]
+    chosen = [(r.f, r.d, r.k) for r in counts.withColumn("g", g).where(F.col("g") >= LEAST_GAIN).orderBy(F.desc("g"), "f").limit(features).collect()]
+    # one that goes with toxic texts, but not surely enough for a vote, belongs to neither side
+    return [(f, d, k) for f, d, k in chosen if surely(k, d) >= LEAST_SHARE or k * n < d * t]
 
 
 def surely(k: int, d: int, z: float = 1.64) -> float:
@@ -108,10 +116,6 @@ class Lexicon:
         feature = np.array([f for f, _, _ in chosen], dtype=np.int64).view(np.uint64)
         self.side = np.array([surely(k, d) >= LEAST_SHARE for _, d, k in chosen], dtype=bool)
         self.size = len(chosen)
-        # entries dealt to voters in order of strength
-        self.groups = min(voters, int(self.side.sum()))
-        self.group = np.full(self.size, -1)
-        self.group[self.side] = np.arange(self.side.sum()) % max(1, self.groups)
         self.base = np.unique(feature & ~np.uint64(1))
         self.number = np.full((2, len(self.base)), -1)  # of the feature "once" and of "twice"
         at = np.searchsorted(self.base, feature & ~np.uint64(1))
@@ -119,6 +123,42 @@ class Lexicon:
         self.toxic_base = ((self.number >= 0) & self.side[self.number]).any(0) if self.size else np.zeros(0, bool)
         self.maybe = np.zeros(1 << 16, dtype=bool)
         self.maybe[self.base >> np.uint64(48)] = True
+        self.voters = voters
+        self.deal([])
+
+    def deal(self, links: Iterable[tuple[int, int]]) -> None:
+        """Give the roots to voters in order of strength; ``links`` are pairs of bases that a word has at once."""
+        root = list(range(len(self.base)))
+
+        def top(i: int) -> int:
+            while root[i] != i:
+                root[i] = root[root[i]]
+                i = root[i]
+            return i
+
+        for a, b in links:
+            x, y = sorted((top(a), top(b)))
+            root[y] = x
+        of_feature = np.zeros(self.size, dtype=int)
+        for kind in (0, 1):
+            at = np.flatnonzero(self.number[kind] >= 0)
+            of_feature[self.number[kind, at]] = at
+        voter: dict[int, int] = {}
+        self.group = np.full(self.size, -1)
+        for i in np.flatnonzero(self.side).tolist():
+            self.group[i] = voter.setdefault(top(int(of_feature[i])), len(voter)) % self.voters
+        self.groups = min(self.voters, len(voter))
+
+    def links(self, column: pa.Array) -> np.ndarray:
+        """Pairs of bases of toxic texts that a word of these texts has at once, as rows of two."""
+        h, word, _ = feature_hashes(column)
+        at = np.minimum(np.searchsorted(self.base, h), max(0, len(self.base) - 1))
+        hit = (self.base[at] == h) & self.toxic_base[at] if self.size else np.zeros(len(h), dtype=bool)
+        at, word = at[hit], word[hit]
+        order = np.argsort(word, kind="stable")
+        at, word = at[order], word[order]
+        same = word[1:] == word[:-1]
+        return np.unique(np.stack([at[:-1][same], at[1:][same]], axis=1), axis=0)
 
     def read(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text, feature) pairs as two arrays, and for each text how many of its words are in the toxic part, its words, and the features there."""
@@ -139,18 +179,21 @@ class Lexicon:
         kinds = np.bincount(text[self.side[feature]] if self.size else text, minlength=n)
         return text, feature, np.stack([words, length, kinds], axis=1)
 
-    def calibrate(self, stats: np.ndarray) -> None:
-        """Cut the number, density and variety of lexicon words where the training rows fall into two groups (least variance within them); no label is used."""
+    def calibrate(self, stats: np.ndarray, toxic: np.ndarray) -> None:
+        """Cut the number, density and variety of lexicon words where the fewest training rows are on the wrong side, amid the widest such gap."""
         self.cuts = []
         for value in self.measures(stats):
-            steps, count = np.unique(value, return_counts=True)
-            if len(steps) < 2:
+            steps, at = np.unique(value, return_inverse=True)
+            lost, false = np.bincount(at, toxic, minlength=len(steps)), np.bincount(at, 1 - toxic, minlength=len(steps))
+            # errors with the cut at each step but the first, which no text without a hit may reach
+            wrong = np.cumsum(lost)[:-1] + (false.sum() - np.cumsum(false)[:-1])
+            if not len(wrong):
                 self.cuts.append(max(1e-6, float(steps[-1]) if len(steps) and steps[-1] > 0 else 1.0))
                 continue
-            x = np.log1p(steps / steps[steps > 0].min())
-            low, mass = np.cumsum(count)[:-1], np.cumsum(count * x)[:-1]
-            between = (mass / low - (mass[-1] + count[-1] * x[-1] - mass) / (count.sum() - low)) ** 2 * low * (count.sum() - low)
-            self.cuts.append(float(steps[int(np.argmax(between)) + 1]))
+            low, high = np.maximum(steps[:-1], 0.5 * steps[steps > 0].min()), steps[1:]
+            best = np.flatnonzero(wrong == wrong.min())
+            i = int(best[np.argmax(high[best] / low[best])])
+            self.cuts.append(float(np.sqrt(low[i] * high[i])))
 
     @staticmethod
     def measures(stats: np.ndarray) -> list[np.ndarray]:
@@ -163,11 +206,10 @@ class Lexicon:
             votes[value >= cut, j], votes[value < 0.8 * cut, j] = 1, 2
         return votes
 
-    def votes(self, text: np.ndarray, feature: np.ndarray, patterns: np.ndarray, words: np.ndarray) -> np.ndarray:
+    def votes(self, text: np.ndarray, feature: np.ndarray, patterns: np.ndarray) -> np.ndarray:
         """A column for each voter of the lexicon, one for the entries of clean texts, then the patterns."""
         n, groups = len(patterns), self.groups
         votes = np.zeros((n, groups + 4), dtype=np.int8)
-        votes[words > 0, :groups] = 2  # none of a voter's entries occurs
         toxic = self.side[feature] if self.size else np.zeros(0, dtype=bool)
         votes[text[toxic], self.group[feature[toxic]]] = 1
         votes[text[~toxic], groups] = 2
@@ -189,10 +231,11 @@ class Lexicon:
 class LabelModel:
     """p(class) * prod_j p(vote_j | vote of parent(j), class), the parents forming a tree."""
 
-    def fit(self, votes: np.ndarray, rounds: int = 60) -> LabelModel:
-        """Expectation maximisation without labels: until the classes are settled with the correlations that almost make two voters one, then with all of the tree."""
+    def fit(self, votes: np.ndarray, rounds: int = 60, first: int = 0) -> LabelModel:
+        """Expectation maximisation without labels, from the share of "toxic" among the votes of the last ``first`` voters (0: all) on: until the classes are settled with the correlations that almost make two voters one, then with all of the tree."""
         one_hot = np.stack([votes == v for v in range(3)], axis=2).astype(float)  # n, m, 3
-        post = np.clip((votes == 1).sum(1) / np.maximum(1, (votes > 0).sum(1)), 0.02, 0.98)
+        start = votes[:, -first:] if first else votes
+        post = np.clip((start == 1).sum(1) / np.maximum(1, (start > 0).sum(1)), 0.02, 0.98)
         # copies of a voter could pass for the class if taken as independent, and so could weak correlations that are taken in too early
         for least, steps in ((ALMOST_ONE, rounds), (0.0, rounds // 10)):
             self.parent = self.dependencies(one_hot, post, least)
@@ -264,6 +307,21 @@ def train_linear(row: np.ndarray, col: np.ndarray, target: np.ndarray, features:
     return w[:-1], float(w[-1])
 
 
+def scaled(z: np.ndarray, toxic: np.ndarray, ridge: float = 1e-3, rounds: int = 50) -> tuple[float, float]:
+    """Slope and shift that make the logits ``z`` fit the labels (Newton's method on two numbers, held near 1 and 0 by ``ridge``)."""
+    x = np.stack([z, np.ones(len(z))], axis=1)
+    v, start = np.array([1.0, 0.0]), np.array([1.0, 0.0])
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(x @ v, -40, 40)))
+        slope = x.T @ (p - toxic) / len(z) + ridge * (v - start)
+        bend = (x * (p * (1 - p))[:, None]).T @ x / len(z) + ridge * np.eye(2)
+        step = np.linalg.solve(bend, slope)
+        v = v - step * min(1.0, 2.0 / max(np.abs(step).max(), 1e-12))
+        if np.abs(step).max() < 1e-9:
+            break
+    return max(float(v[0]), 0.01), float(v[1])
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[Lexicon, np.ndarray, float]:
     """The lexicon, the weights of its features and patterns, and the bias. Without labels of both classes: nothing is toxic."""
     train = training_rows(docs, labels)
@@ -276,17 +334,21 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[Lexicon, np.ndarray, float]
         for batch in slices(batches):
             text, feature, stats = known.read(batch.column("text"))
             hits = [feature[text == i] for i in range(batch.num_rows)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array(hits, pa.list_(pa.int64())), pa.array(stats.tolist(), pa.list_(pa.int64()))], ["doc_id", "toxic", "hits", "stats"])
+            links = [[]] * (batch.num_rows - 1) + [known.links(batch.column("text")).ravel()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array(hits, pa.list_(pa.int64())), pa.array(stats.tolist(), pa.list_(pa.int64())), pa.array(links, pa.list_(pa.int64()))], ["doc_id", "toxic", "hits", "stats", "links"])
 
-    rows = train.select("doc_id", "toxic", "text").mapInArrow(run, "doc_id long, toxic int, hits array<long>, stats array<long>").orderBy("doc_id", "hits", "stats").collect()  # about TRAIN_ROWS
+    rows = train.select("doc_id", "toxic", "text").mapInArrow(run, "doc_id long, toxic int, hits array<long>, stats array<long>, links array<long>").orderBy("doc_id").collect()  # TRAIN_ROWS at most
+    known.deal(sorted({pair for r in rows for pair in zip(r.links[::2], r.links[1::2], strict=True)}))
     text = np.repeat(np.arange(len(rows)), [len(r.hits) for r in rows])
     feature = np.array([h for r in rows for h in r.hits], dtype=np.int64)
     stats = np.array([r.stats for r in rows], dtype=np.int64)
-    known.calibrate(stats)
-    votes = known.votes(text, feature, known.patterns(stats), stats[:, 1])
+    toxic = np.array([r.toxic for r in rows])
+    known.calibrate(stats, toxic)
+    votes = known.votes(text, feature, known.patterns(stats))
     row, col = known.design(text, feature, stats)
-    weights, bias = train_linear(row, col, LabelModel().fit(votes).posterior(votes), known.size + 16)
-    return known, weights, bias
+    weights, bias = train_linear(row, col, LabelModel().fit(votes, first=3).posterior(votes), known.size + 16)
+    slope, shift = scaled(bias + np.bincount(row, weights[col], minlength=len(rows)), toxic)
+    return known, slope * weights, slope * bias + shift
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -310,7 +372,11 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def clean_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents, with all their columns, whose score is under 0.5; no row moves."""
+    """The documents, with all their columns, whose score is under 0.5; no row moves.
+
+    Equal texts stay or go together, whatever their doc_id. A null or empty text scores as one without
+    features. Without labels of both kinds every document stays; an empty table stays empty.
+    """
     known, weights, bias = fit(docs, labels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -321,5 +387,6 @@ def clean_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def op4_toxicity(spark, sf_dir: str) -> DataFrame:
+    """``score_toxicity`` over all ``documents``."""
     small_batches(spark)
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -123,3 +123,12 @@ def test_weights(spark):
     docs = spark.range(20000).selectExpr("id doc_id", "'x' text")
     count = {r.shard: r["count"] for r in sharding.shard_documents(docs, (1.0, 3.0)).groupBy("shard").count().collect()}
     assert 0.72 < count[1] / 20000 < 0.78
+
+
+def test_shards_with_a_hot_key(spark, documents):
+    rows = [(5, "copy")] * 400 + [(5, f"text {i}") for i in range(400)] + [(i, "x") for i in range(800)]
+    got = sharding.shard_documents(documents(rows), weights=(1.0,) * 4, rows_per_bucket=20)
+    slots = {}
+    for r in got.collect():
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert sum(map(len, slots.values())) == 1600 and all(sorted(s) == list(range(len(s))) for s in slots.values())

@@ -503,3 +503,34 @@ def test_llm_queries_against_sql(spark):
     con = oracle.connect("/root/testdata/sf0.001")
     for name, sql in registry.oracle_sql().items():
         assert oracle.differences(spark, con, registry.queries()[name], sql, "/root/testdata/sf0.001") == "", name
+
+
+# one key on a third of all rows
+
+
+def test_labelled_rows_are_bounded_whatever_an_id_repeats(spark, documents, monkeypatch):
+    rows, labels = toxic_rows(300, 5)
+    hot = next(d for d, t in labels if t and __import__("zlib").crc32(str(d).encode()) % 5)
+    df = spark.createDataFrame(labels, "doc_id long, toxic int")
+    many = documents(rows + [(hot, f"{rows[hot][1]} {i}") for i in range(150)])
+    train = toxicity.training_rows(many, df)
+    assert train.count() == train.select("doc_id").distinct().count() <= 300
+    got = {r.doc_id: r.predicted for r in toxicity.score_toxicity(many, df).collect()}
+    assert sum(got[d] != t for d, t in labels) <= 3
+
+
+def test_tied_rows_of_one_key_are_counted(spark, documents):
+    df = spark.createDataFrame([(7, 0.5, 1.0)] * 60 + [(100 + i, 0.5, 2.0) for i in range(20)] + [(8, 0.5, 1.0)] * 5 + [(9, 0.5, 0.0)], "doc_id long, log_weight double, gumbel_key double")
+    got = [r.doc_id for r in importance.top_k(df, 63).collect()]
+    assert len(got) == 63 and got.count(7) == 43 and got.count(8) == 0
+    assert importance.top_k(df, 84).count() == 84
+
+
+def test_near_duplicates_with_clashing_columns(spark):
+    import corpus_pipeline
+
+    names = ["own_sid", "marked_id", "MARKED_SID", "stays", "key", "row", "lead"]
+    text = " ".join(prose(np.random.default_rng(1), 40, 10**6))
+    docs = spark.createDataFrame([(i, text, *names) for i in (3, 1, 1)] + [(5, "other", *names)], f"doc_id long, text string, {', '.join(f'{n} string' for n in names)}")
+    kept = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 5]
