@@ -22,10 +22,10 @@ def polygon_edges(vertices: DataFrame) -> DataFrame:
 EDGE_EPSILON = 2.0**-52
 
 
-def pixels_in_polygons(vertices: DataFrame, width: int | str, height: int | str) -> DataFrame:
-    """(image_id, roi_id, x, y) of the pixels inside each ROI, by even-odd crossings.
+def polygon_runs(vertices: DataFrame, width: int | str, height: int | str) -> DataFrame:
+    """(image_id, roi_id, y, x_from, x_to) of the runs of pixels inside each ROI, by even-odd crossings.
 
-    Vertices count pixels from 1, as annotations do, and the pixels returned from 0,
+    Vertices count pixels from 1, as annotations do, and the runs returned from 0,
     as planes do. A pixel is inside from the entering crossing on, up to but not at
     the leaving one; a row meets an edge from its lower end on, up to but not at the
     upper one. ``width`` and ``height`` are numbers or names of columns of ``vertices``.
@@ -48,7 +48,13 @@ def pixels_in_polygons(vertices: DataFrame, width: int | str, height: int | str)
     spans = crossing.withColumns({"n": F.row_number().over(order), "to": F.lead("cx").over(order)}).where("n % 2 = 1 and to is not null")
     a, b = F.greatest(F.lit(1), F.ceil("cx").cast("int")), F.least(F.col("width"), (F.ceil("to") - 1).cast("int"))
     spans = spans.select("image_id", "roi_id", (F.col("y") - 1).alias("y"), a.alias("a"), b.alias("b")).where("a <= b")
-    return spans.select("image_id", "roi_id", F.explode(F.sequence(F.col("a") - 1, F.col("b") - 1)).alias("x"), "y")
+    return spans.select("image_id", "roi_id", "y", (F.col("a") - 1).alias("x_from"), (F.col("b") - 1).alias("x_to"))
+
+
+def pixels_in_polygons(vertices: DataFrame, width: int | str, height: int | str) -> DataFrame:
+    """(image_id, roi_id, x, y) of the pixels inside each ROI: those of ``polygon_runs``, a row each."""
+    runs = polygon_runs(vertices, width, height)
+    return runs.select("image_id", "roi_id", F.explode(F.sequence("x_from", "x_to")).alias("x"), "y")
 
 
 def analysis_mask(pixels: DataFrame, inside: DataFrame, actions: DataFrame) -> DataFrame:

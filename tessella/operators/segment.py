@@ -18,10 +18,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
 from tessella.functions import kernels as k
+from tessella.operators import pixels as px
 
 #: Bytes of label planes that a task passes on together.
 FRAME_BYTES = 32 << 20
-LABELS = "image_id long, h int, w int, nuc binary, cell binary, tissue binary, n_cells int, status string, error string"
+LABELS = "h int, w int, nuc binary, cell binary, tissue binary, n_cells int, status string, error string"
 
 
 @dataclass
@@ -59,10 +60,31 @@ class FluorescenceOptions:
     tissue_share: float = 0.02
 
 
+def unmixed(rgb: np.ndarray, analysis: np.ndarray, white_quantile: float = 0.98) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Haematoxylin, DAB and the sum of optical densities of an RGB image, after white balance on its analysed pixels."""
+    if not analysis.any():
+        raise ValueError("no pixel is left to analyse")
+    bright = rgb.mean(-1)
+    white = np.median(rgb[analysis & (bright >= np.quantile(bright[analysis], white_quantile))], axis=0)
+    od = -np.log(np.maximum(np.clip(rgb / np.where(white >= 0.5, white, 1.0), 0, 1), 1 / 255))
+    c = np.maximum(np.nan_to_num(od @ np.linalg.inv(px.stain_matrix()), posinf=0, neginf=0), 0)
+    return c[..., 0], c[..., 1], od.sum(-1)
+
+
+def stain_tissue(total: np.ndarray, analysis: np.ndarray, o: StainOptions) -> np.ndarray:
+    """Analysed pixels over the least density, closed; excluded ones stay out."""
+    return k.closing((total > o.tissue_od) & analysis, k.disc(o.tissue_closing)) & analysis
+
+
+def stain_threshold(haematoxylin: np.ndarray, tissue: np.ndarray, o: StainOptions) -> float:
+    smooth = k.gaussian(k.scale01(haematoxylin), o.blur)
+    return float(max(k.otsu(smooth[tissue]) if tissue.any() else 1.0, o.least_threshold))
+
+
 def stain_nuclei(haematoxylin: np.ndarray, tissue: np.ndarray, o: StainOptions) -> np.ndarray:
     """Blur, threshold, open, close, fill, watershed and gates on size, shape, stain and border."""
     smooth = k.gaussian(k.scale01(haematoxylin), o.blur)
-    mask = (smooth > max(k.otsu(smooth[tissue]) if tissue.any() else 1.0, o.least_threshold)) & tissue
+    mask = (smooth > stain_threshold(haematoxylin, tissue, o)) & tissue
     mask = k.fill_holes(k.closing(k.opening(mask, k.disc(1)), k.disc(1)))
     labels = k.watershed(k.distance(mask), mask, o.tolerance)
     f = k.features(labels, haematoxylin)
@@ -148,6 +170,11 @@ def plane(row, column: str) -> np.ndarray | None:
     return None if data is None else np.frombuffer(data, dtype="<f4").reshape(row.h, row.w).astype(float)
 
 
+def id_type(planes: DataFrame) -> str:
+    """The type of ``image_id``, which results keep: manifests have texts, other tables numbers."""
+    return planes.schema["image_id"].dataType.simpleString()
+
+
 def each_image(planes: DataFrame, segment: Callable) -> DataFrame:
     """Apply ``segment`` (row -> nuclei, cells, tissue) to every plane row; errors become rows."""
 
@@ -169,7 +196,7 @@ def each_image(planes: DataFrame, segment: Callable) -> DataFrame:
             if rows:
                 yield pd.DataFrame(rows)
 
-    return planes.mapInPandas(run, LABELS)
+    return planes.mapInPandas(run, f"image_id {id_type(planes)}, {LABELS}")
 
 
 def segment_stained(planes: DataFrame, options: StainOptions | None = None) -> DataFrame:
@@ -184,7 +211,7 @@ def segment_stained(planes: DataFrame, options: StainOptions | None = None) -> D
         h, total = plane(row, "haematoxylin"), plane(row, "od_sum")
         given = getattr(row, "analysis", None)
         analysis = np.frombuffer(given, dtype=np.uint8).reshape(h.shape) > 0 if given else np.ones(h.shape, dtype=bool)
-        tissue = k.closing((total > o.tissue_od) & analysis, k.disc(o.tissue_closing)) & analysis
+        tissue = stain_tissue(total, analysis, o)
         nuclei = stain_nuclei(h, tissue, o)
         return nuclei, stain_cells(total, nuclei, tissue, analysis, o), tissue
 
@@ -230,7 +257,7 @@ def label_pixels(labels: DataFrame) -> DataFrame:
                 y, x = np.divmod(np.arange(r.h * r.w), r.w)
                 yield pd.DataFrame({"image_id": r.image_id, "x": x.astype("i4"), "y": y.astype("i4"), "nuc_label": np.frombuffer(r.nuc, "<i4"), "cell_label": np.frombuffer(r.cell, "<i4"), "tissue": np.frombuffer(r.tissue, "u1") > 0})
 
-    return labels.where("status = 'OK'").mapInPandas(run, "image_id long, x int, y int, nuc_label int, cell_label int, tissue boolean")
+    return labels.where("status = 'OK'").mapInPandas(run, f"image_id {id_type(labels)}, x int, y int, nuc_label int, cell_label int, tissue boolean")
 
 
 def plane_pixels(planes: DataFrame, column: str, name: str = "v") -> DataFrame:
@@ -242,7 +269,7 @@ def plane_pixels(planes: DataFrame, column: str, name: str = "v") -> DataFrame:
                 y, x = np.divmod(np.arange(r.h * r.w), r.w)
                 yield pd.DataFrame({"image_id": r.image_id, "x": x.astype("i4"), "y": y.astype("i4"), name: np.frombuffer(r.data, "<f4").astype(float)})
 
-    return planes.select("image_id", "h", "w", F.col(column).alias("data")).mapInPandas(run, f"image_id long, x int, y int, {name} double")
+    return planes.select("image_id", "h", "w", F.col(column).alias("data")).mapInPandas(run, f"image_id {id_type(planes)}, x int, y int, {name} double")
 
 
 def map_planes(planes: DataFrame, column: str, kernel: Callable[[np.ndarray], np.ndarray], name: str) -> DataFrame:

@@ -69,6 +69,11 @@ def role_presence(channels: DataFrame, key: str = "image_id", role: str = "chann
     return has.where("not (has_nucleus and has_target)")
 
 
+def first_of_role(channels: DataFrame, channel: str, key: str = "image_id", role: str = "channel_role", index: str = "channel_index") -> DataFrame:
+    """The channel with the least index (of equal ones: the least channel) of each role of an image, and how many the role has."""
+    return channels.groupBy(key, role).agg(F.min_by(channel, F.struct(index, channel)).alias(channel), F.count(F.lit(1)).alias("n_channels"))
+
+
 def orphans(rows: DataFrame, manifest: DataFrame, key: str) -> DataFrame:
     """Distinct keys that the manifest does not have."""
     return rows.select(key).distinct().join(manifest.select(key), key, "left_anti")

@@ -30,8 +30,6 @@ def stain_planes(images: DataFrame) -> DataFrame:
     Excluded pixels have no part in the white reference. An image of which nothing
     is left gives no row.
     """
-    inverse = np.linalg.inv(px.stain_matrix())
-
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows = []
@@ -42,16 +40,13 @@ def stain_planes(images: DataFrame) -> DataFrame:
                     analysis &= ~kernels.polygon_mask(r.w, r.h, np.asarray(polygon["x"], float), np.asarray(polygon["y"], float))
                 if not analysis.any():
                     continue
-                bright = rgb.mean(-1)
-                white = np.median(rgb[analysis & (bright >= np.quantile(bright[analysis], 0.98))], axis=0)
-                od = -np.log(np.maximum(np.clip(rgb / np.where(white >= 0.5, white, 1.0), 0, 1), 1 / 255))
-                c = np.maximum(np.nan_to_num(od @ inverse, posinf=0, neginf=0), 0)
-                planes = (("haematoxylin", c[..., 0]), ("dab", c[..., 1]), ("od_sum", od.sum(-1)))
+                haematoxylin, dab, total = segment.unmixed(rgb, analysis)
+                planes = (("haematoxylin", haematoxylin), ("dab", dab), ("od_sum", total))
                 rows.append({"image_id": r.image_id, "h": r.h, "w": r.w, **{n: np.ascontiguousarray(p).astype("<f4").tobytes() for n, p in planes}, "analysis": analysis.astype("u1").tobytes()})
             if rows:
                 yield pd.DataFrame(rows)
 
-    return images.select("image_id", "h", "w", "r", "g", "b", "exclusions").mapInPandas(run, "image_id long, h int, w int, haematoxylin binary, dab binary, od_sum binary, analysis binary")
+    return images.select("image_id", "h", "w", "r", "g", "b", "exclusions").mapInPandas(run, f"image_id {segment.id_type(images)}, h int, w int, haematoxylin binary, dab binary, od_sum binary, analysis binary")
 
 
 @dataclass
@@ -71,8 +66,8 @@ def brightfield(images: DataFrame, manifest: DataFrame, vertices: DataFrame | No
     ``vertices`` (image_id, roi_id, action, compartment, vertex_order, x, y) count
     pixels from 1. What they exclude is taken out before anything else, from the
     white reference on. Images may differ in size. Regions use raw optical
-    densities; cells the ones less their local background, where the option asks
-    for it, else less the field's.
+    densities; cells the ones less the field's background. These tables come from
+    pixel rows; ``runs.stain_run`` makes the tables of a manifest in one pass.
     """
     o = options or Options()
     planes = stain_planes(with_exclusions(images, vertices))
@@ -96,7 +91,7 @@ def brightfield(images: DataFrame, manifest: DataFrame, vertices: DataFrame | No
     scores = measure.cell_scores(member.join(cells, ["image_id", "cell_id"]), ["image_id", "roi_id"], "mean_od", o.dab_thresholds)
     regions = area.join(scores, ["image_id", "roi_id"], "left").fillna(0, ["n_cells"]).join(manifest, "image_id")
     tissue = p.groupBy("image_id").agg(F.avg(F.col("tissue").cast("int")).alias("tissue_fraction"))
-    overlaps = geometry.roi_overlaps(inside).groupBy("image_id").agg(F.count(F.lit(1)).alias("n_overlaps")) if inside is not None else field.select("image_id", F.lit(0).alias("n_overlaps"))
+    overlaps = geometry.roi_overlaps(chosen).groupBy("image_id").agg(F.count(F.lit(1)).alias("n_overlaps")) if inside is not None else field.select("image_id", F.lit(0).alias("n_overlaps"))
     counted = cells.groupBy("image_id").agg(F.count(F.lit(1)).alias("n_cells"))
     q = tissue.join(field.withColumnRenamed("field_background", "background_od"), "image_id").join(counted, "image_id", "left").join(overlaps, "image_id", "left").fillna(0, ["n_cells", "n_overlaps"]).join(manifest.select("image_id", "pixel_size_um"), "image_id")
     q = q.withColumn("scale_mode", F.when(finite("pixel_size_um") > 0, "physical_um").otherwise("pixel_fallback"))

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessella.functions import file_token, half_even, intensity_class
-from tessella.operators import geometry, measure, pixels as px, reports, scoring, statistics as st, validation as va
+from tessella.operators import geometry, measure, pixels as px, quantify, reports, run_masks, scoring, statistics as st, validation as va
 from tessella.plans.stand_ins import PX, RG, pixels, regions, table
 
 QUERIES: dict[str, Callable] = {}
@@ -370,19 +370,73 @@ def inside(spark):
     return geometry.pixels_in_polygons(rois(spark), 8, 8)
 
 
-@query(f"WITH {ROI_SQL} SELECT image_id, roi_id, x, y FROM ins")
+#: Outlines of line items: eight orders are an image of 32 x 32 pixels, a return flag an ROI, a line a vertex.
+OUTLINE_SQL = """vr AS (SELECT l_orderkey // 8 AS image_id, l_returnflag AS roi_id, row_number() OVER (PARTITION BY l_orderkey // 8, l_returnflag ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS vertex_order, 1 + (l_partkey % 310) / 10.0::DOUBLE AS x, 1 + (l_suppkey * 7 % 31)::DOUBLE AS y, count(*) OVER (PARTITION BY l_orderkey // 8, l_returnflag) AS n FROM lineitem),
+vy AS (SELECT image_id, roi_id, CASE WHEN roi_id = 'R' THEN 'exclude' ELSE 'include' END AS action, vertex_order, x, y FROM vr WHERE n >= 3),
+ed AS (SELECT image_id, roi_id, x AS x1, y AS y1, coalesce(lead(x) OVER w, first_value(x) OVER w) AS x2, coalesce(lead(y) OVER w, first_value(y) OVER w) AS y2 FROM vy WINDOW w AS (PARTITION BY image_id, roi_id ORDER BY vertex_order)),
+cr AS (SELECT image_id, roi_id, CAST(g.y AS INTEGER) AS y, (x1 - x2) * (g.y - y2) / (y1 - y2 + 2.220446049250313e-16::DOUBLE) + x2 AS cx FROM ed, range(1, 33) g(y) WHERE (y1 > g.y) <> (y2 > g.y)),
+ins AS (SELECT image_id, roi_id, CAST(x - 1 AS INTEGER) AS x, y - 1 AS y FROM cr, range(1, 33) h(x) WHERE h.x < cx GROUP BY 1, 2, 3, 4 HAVING count(*) % 2 = 1)"""
+
+
+def outlines(spark, d):
+    image = F.floor(F.col("l_orderkey") / 8)
+    roi = Window.partitionBy(image, "l_returnflag")
+    order = roi.orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
+    v = table(spark, d, "lineitem").select(image.alias("image_id"), F.col("l_returnflag").alias("roi_id"), F.row_number().over(order).alias("vertex_order"), (1 + (F.col("l_partkey") % 310) / F.lit(10.0)).alias("x"), (1 + F.col("l_suppkey") * 7 % 31).cast("double").alias("y"), F.count(F.lit(1)).over(roi).alias("n"))
+    return v.where("n >= 3").select("image_id", "roi_id", F.when(F.col("roi_id") == "R", "exclude").otherwise("include").alias("action"), "vertex_order", "x", "y")
+
+
+def inside(spark):
+    return geometry.pixels_in_polygons(rois(spark), 8, 8)
+
+
+def outlined(spark, d):
+    return geometry.pixels_in_polygons(outlines(spark, d), 32, 32)
+
+
+@query(f"WITH {OUTLINE_SQL} SELECT image_id, roi_id, count(*) AS n_pixels, sum(x) AS sum_x, sum(y) AS sum_y, sum(x * 31 + y * y) AS check_sum FROM ins GROUP BY 1, 2")
 def point_in_polygon(spark, d):
-    return rounded(inside(spark))
+    x, y = F.col("x").cast("long"), F.col("y").cast("long")
+    return rounded(outlined(spark, d).groupBy("image_id", "roi_id").agg(F.count(F.lit(1)).alias("n_pixels"), F.sum(x).alias("sum_x"), F.sum(y).alias("sum_y"), F.sum(x * 31 + y * y).alias("check_sum")))
 
 
-@query(f"WITH {ROI_SQL}, ar AS (SELECT image_id, roi_id, count(*) AS a FROM ins GROUP BY 1, 2) SELECT p.image_id, p.roi_id AS roi_id_1, q.roi_id AS roi_id_2, count(*) AS overlap_area_px, round(count(*) / first(a1.a), 6) AS overlap_fraction_roi_1, round(count(*) / first(a2.a), 6) AS overlap_fraction_roi_2 FROM ins p JOIN ins q ON p.image_id = q.image_id AND p.x = q.x AND p.y = q.y AND p.roi_id < q.roi_id JOIN ar a1 ON a1.image_id = p.image_id AND a1.roi_id = p.roi_id JOIN ar a2 ON a2.image_id = q.image_id AND a2.roi_id = q.roi_id GROUP BY 1, 2, 3")
+@query(f"WITH {OUTLINE_SQL}, ar AS (SELECT image_id, roi_id, count(*) AS a FROM ins GROUP BY 1, 2) SELECT p.image_id, p.roi_id AS roi_id_1, q.roi_id AS roi_id_2, count(*) AS overlap_area_px, round(count(*) / first(a1.a), 6) AS overlap_fraction_roi_1, round(count(*) / first(a2.a), 6) AS overlap_fraction_roi_2 FROM ins p JOIN ins q ON p.image_id = q.image_id AND p.x = q.x AND p.y = q.y AND p.roi_id < q.roi_id JOIN ar a1 ON a1.image_id = p.image_id AND a1.roi_id = p.roi_id JOIN ar a2 ON a2.image_id = q.image_id AND a2.roi_id = q.roi_id GROUP BY 1, 2, 3")
 def roi_overlap_pairs(spark, d):
-    return rounded(geometry.roi_overlaps(inside(spark)))
+    return rounded(geometry.roi_overlaps(outlined(spark, d)))
 
 
-@query(f"WITH {ROI_SQL}, ar AS (SELECT image_id, roi_id, count(*) AS a FROM ins GROUP BY 1, 2) SELECT image_id, roi_id, count(*) AS n_vertices, min(x) AS x_min, max(x) AS x_max, min(y) AS y_min, max(y) AS y_max, coalesce(first(a), 0) AS selected_area_px FROM vy LEFT JOIN ar USING (image_id, roi_id) GROUP BY 1, 2")
+@query(f"WITH {OUTLINE_SQL}, ar AS (SELECT image_id, roi_id, count(*) AS a FROM ins GROUP BY 1, 2) SELECT image_id, roi_id, count(*) AS n_vertices, round(min(x), 6) AS x_min, round(max(x), 6) AS x_max, min(y) AS y_min, max(y) AS y_max, coalesce(first(a), 0) AS selected_area_px FROM vy LEFT JOIN ar USING (image_id, roi_id) GROUP BY 1, 2")
 def roi_registry(spark, d):
-    return rounded(geometry.roi_registry(rois(spark), inside(spark)))
+    return rounded(geometry.roi_registry(outlines(spark, d), outlined(spark, d)))
+
+
+def outline_sizes(spark, d):
+    return table(spark, d, "lineitem").select(F.floor(F.col("l_orderkey") / 8).alias("image_id")).distinct().withColumns({"width": F.lit(32), "height": F.lit(32)})
+
+
+KEPT_SQL = f"""{OUTLINE_SQL}, im AS (SELECT DISTINCT l_orderkey // 8 AS image_id FROM lineitem), us AS (SELECT DISTINCT image_id, roi_id, action FROM vy),
+mk AS (SELECT image_id, x, y, bool_or(action = 'include') AS i, bool_or(action = 'exclude') AS e FROM ins JOIN us USING (image_id, roi_id) GROUP BY 1, 2, 3),
+li AS (SELECT DISTINCT image_id FROM mk WHERE i),
+px AS (SELECT im.image_id, CAST(gx.x AS INTEGER) AS x, CAST(gy.y AS INTEGER) AS y FROM im, range(32) gx(x), range(32) gy(y)),
+ke AS (SELECT px.image_id, px.x, px.y FROM px LEFT JOIN mk ON px.image_id = mk.image_id AND px.x = mk.x AND px.y = mk.y WHERE (coalesce(i, false) OR px.image_id NOT IN (SELECT image_id FROM li)) AND NOT coalesce(e, false))"""
+
+
+@query("SELECT l_orderkey AS image_id, l_returnflag AS channel_role, arg_min(l_partkey, struct_pack(i := l_linenumber, p := l_partkey)) AS channel, count(*) AS n_channels FROM lineitem GROUP BY 1, 2")
+def first_of_role(spark, d):
+    rows = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("image_id"), F.col("l_returnflag").alias("channel_role"), F.col("l_linenumber").alias("channel_index"), F.col("l_partkey").alias("channel"))
+    return va.first_of_role(rows, "channel")
+
+
+@query(f"WITH {KEPT_SQL}, s AS (SELECT *, x - row_number() OVER (PARTITION BY image_id, y ORDER BY x) AS island FROM ke) SELECT image_id, y, min(x) AS x_from, max(x) AS x_to FROM s GROUP BY image_id, y, island")
+def analysis_runs(spark, d):
+    return rounded(run_masks.analysis_runs(outlines(spark, d), outline_sizes(spark, d)))
+
+
+@query(f"""WITH {KEPT_SQL}, k AS (SELECT image_id, count(*) AS n FROM ke GROUP BY 1), x AS (SELECT image_id, count(*) FILTER (e) AS n FROM mk GROUP BY 1), r AS (SELECT image_id, string_agg(roi_id, ';' ORDER BY roi_id) FILTER (action = 'include') AS inc, string_agg(roi_id, ';' ORDER BY roi_id) FILTER (action = 'exclude') AS exc FROM us GROUP BY 1)
+SELECT im.image_id, coalesce(inc, 'NONE') AS included_roi_ids, coalesce(exc, 'NONE') AS excluded_roi_ids, CASE WHEN r.image_id IS NULL THEN 'NO_REVIEWED_ROI' ELSE 'REVIEWED_ROI_APPLIED' END AS roi_mask_status, coalesce(k.n, 0) AS included_pixel_count, coalesce(x.n, 0) AS excluded_pixel_count, round(coalesce(k.n, 0) / 1024, 6) AS included_fraction
+FROM im LEFT JOIN k USING (image_id) LEFT JOIN x USING (image_id) LEFT JOIN r USING (image_id)""")
+def roi_audit(spark, d):
+    return rounded(run_masks.roi_audit(outlines(spark, d), outline_sizes(spark, d)))
 
 
 @query(f"""WITH {PX}, {ROI_SQL}, m AS (SELECT image_id, x, y, bool_or(roi_id <> 'b') AS i, bool_or(roi_id = 'b') AS e FROM ins GROUP BY 1, 2, 3)
@@ -616,9 +670,10 @@ def plot_captions(spark, d):
 DICTIONARY_SQL = ", ".join("(" + ", ".join(f"'{v}'" for v in row) + ")" for row in reports.METRIC_DICTIONARY)
 
 
-@query(f"SELECT * FROM (VALUES {DICTIONARY_SQL}) t({', '.join(reports.DICTIONARY_COLUMNS)})")
+@query(f"""WITH {RG}, n AS (SELECT count(*) AS n_values FROM (SELECT DISTINCT biological_unit_id, condition, compartment FROM rg)) SELECT t.*, n_values FROM (VALUES {DICTIONARY_SQL}) t({', '.join(reports.DICTIONARY_COLUMNS)}), n""")
 def metric_dictionary(spark, d):
-    return reports.metric_dictionary(spark)
+    used = st.primary_long(st.unit_summary(full_regions(spark, d))).groupBy("measurement_domain", F.col("metric").alias("default_metric")).agg(F.count("value").alias("n_values"))
+    return reports.metric_dictionary(spark).join(used, ["measurement_domain", "default_metric"])
 
 
 @query("SELECT c_custkey AS image_id, c_mktsegment AS batch_id, 'pending' AS review_status, 'pending' AS final_decision, '' AS reviewer FROM customer")
@@ -646,6 +701,55 @@ def flagship(spark, d):
     return measure.four_domains(pixels(spark, d), ["condition"], "v", 0.1).join(scores, "condition")
 
 
+# one pass over each image
+
+
+def labelled_planes(spark, d):
+    """Each embedding as a plane of 8 x 8 with the labels and tissue of the pixel frame."""
+    import numpy as np
+    import pandas as pd
+
+    def run(frames):
+        y, x = np.mgrid[:8, :8]
+        inner = (x >= 1) & (x <= 6) & (y >= 1) & (y <= 6)
+        nuc = np.where((x >= 2) & (x <= 3) & (y >= 2) & (y <= 3), 1, np.where((x == 5) & (y >= 4) & (y <= 5), 2, 0))
+        cell = np.where((x >= 1) & (x <= 4) & (y >= 1) & (y <= 4), 1, np.where((x >= 5) & (x <= 6) & (y >= 3) & (y <= 6), 2, 0))
+        for frame in frames:
+            values = [np.asarray(e, dtype="<f4").tobytes() for e in frame["embedding"]]
+            yield pd.DataFrame({"image_id": frame["vec_id"], "h": 8, "w": 8, "value": values, "nuc": nuc.astype("<i4").tobytes(), "cell": cell.astype("<i4").tobytes(), "tissue": inner.astype("u1").tobytes()})
+
+    return table(spark, d, "embeddings").select("vec_id", "embedding").mapInPandas(run, "image_id long, h int, w int, value binary, nuc binary, cell binary, tissue binary")
+
+
+ONE_PASS = quantify.CellOptions(threshold=0.05, inner=2, outer=3, least_pixels=4)
+
+
+def _areas(name: str, mask: str) -> str:
+    v, n = f"v) FILTER ({mask}", f"count(*) FILTER ({mask})"
+    hit = f"({mask}) AND v >= 0.05"
+    return f"{n}::DOUBLE AS {name}_area_px, (count(*) FILTER ({hit}))::DOUBLE AS {name}_positive_area_px, round(count(*) FILTER ({hit}) / nullif({n}, 0), 6) AS {name}_positive_area_fraction, round(avg({v}), 6) AS {name}_mean_dab_od, round(coalesce(avg(v) FILTER ({hit}), 0), 6) AS {name}_positive_mean_dab_od, round(sum({v}), 6) AS {name}_integrated_dab_od"
+
+
+@query(f"WITH {PX} SELECT CAST(image_id AS VARCHAR) AS image_id, {_areas('tissue', 'tissue')}, {_areas('nuclear', 'tissue AND nuc_label > 0')}, {_areas('cytoplasm', 'tissue AND cell_label > 0 AND nuc_label = 0')}, {_areas('extracellular', 'tissue AND cell_label = 0')} FROM px GROUP BY 1")
+def one_pass_regions(spark, d):
+    return rounded(quantify.rows_of(quantify.measure_labels(labelled_planes(spark, d), ONE_PASS), "region").drop("roi_id", "compartment", "selection_source", "selection_method"))
+
+
+def _domain(name: str, mask: str) -> str:
+    u = "greatest(v - b, 0)"
+    return f"(count(*) FILTER ({mask}))::DOUBLE AS {name}_area_px, round(avg({u}) FILTER ({mask}), 6) AS {name}_dab_mean_od, round(quantile_cont({u}, 0.5) FILTER ({mask}), 6) AS {name}_dab_median_od, round(quantile_cont({u}, 0.9) FILTER ({mask}), 6) AS {name}_dab_q90_od, round(count(*) FILTER ({mask} AND {u} >= 0.05) / nullif(count(*) FILTER ({mask}), 0), 6) AS {name}_dab_positive_area_fraction, round(coalesce(avg({u}) FILTER ({mask} AND {u} >= 0.05), 0), 6) AS {name}_dab_positive_mean_od, round(avg(v) FILTER ({mask}), 6) AS {name}_dab_raw_mean_od"
+
+
+@query(f"""WITH {PX}, f AS (SELECT image_id, coalesce(quantile_cont(v, 0.5), 0) AS field FROM px WHERE tissue AND cell_label = 0 GROUP BY 1), c AS (SELECT * FROM (VALUES (1, 3, 3), (2, 5, 5)) t(cell_id, cx, cy)),
+r AS (SELECT image_id, cell_id, count(*) AS n, quantile_cont(v, 0.5) AS ring FROM px, c WHERE tissue AND cell_label = 0 AND (x - cx) ** 2 + (y - cy) ** 2 BETWEEN 4 AND 9 GROUP BY 1, 2),
+g AS (SELECT px.*, c.cell_id, CASE WHEN r.n >= 4 THEN ring ELSE field END AS b FROM px JOIN c ON px.cell_label = c.cell_id JOIN f USING (image_id) LEFT JOIN r ON r.image_id = px.image_id AND r.cell_id = c.cell_id)
+SELECT CAST(image_id AS VARCHAR) AS image_id, cell_id, round(first(b), 6) AS local_background_od, {_domain('nuclear', 'nuc_label > 0')}, {_domain('cytoplasm', 'nuc_label = 0')}, {_domain('whole_cell', 'true')} FROM g GROUP BY 1, 2""")
+def one_pass_cells(spark, d):
+    cells = quantify.rows_of(quantify.measure_labels(labelled_planes(spark, d), ONE_PASS), "cell")
+    stats = [f"{n}_{s}" for n in quantify.CELL_DOMAINS for s in quantify.CELL_STATS[:7]]
+    return rounded(cells.select("image_id", "cell_id", "local_background_od", *stats))
+
+
 # image kernels: no SQL, tested against brute force and known truth
 
 

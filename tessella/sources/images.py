@@ -149,6 +149,60 @@ def png_image(b: bytes) -> np.ndarray:
     return palette[out.reshape(h, w)].astype(float) / 255 if colour == 3 else out.reshape(h, w, n).astype(float) / 255
 
 
+def rgb_image(content: bytes, most_pixels: float = 80_000_000) -> np.ndarray:
+    """Red, green and blue [row, column, sample] of 0 to 1 of a file's first image; a grey one has them alike. The size is checked before pixels are read."""
+    if content[:4] == b"\x89PNG":
+        w, h = struct.unpack(">II", content[16:24])
+        read = lambda: png_image(content)
+    else:
+        page = tiff_directories(content)[0]
+        w, h = page.get("width", [0])[0], page.get("height", [0])[0]
+        read = lambda: tiff_page(content, page)
+    if w * h > most_pixels:
+        raise ValueError(f"the image has {w * h} pixels, over {most_pixels:.0f}")
+    a = read()
+    return np.repeat(a[..., :1], 3, axis=2) if a.shape[2] < 3 else a[..., :3]
+
+
+def projected(planes: np.ndarray, mode: str) -> np.ndarray:
+    """One plane of several [z, row, column]: max, mean, sum or the middle one."""
+    how = mode.split("_")[0]
+    if how == "middle":
+        return planes[(len(planes) + 1) // 2 - 1]
+    return {"max": planes.max, "mean": planes.mean, "sum": planes.sum}[how](axis=0)
+
+
+def channel_planes(content: bytes, channels: int, z_mode: str = "max", most_pixels: float = 80_000_000) -> tuple[np.ndarray, int]:
+    """The channels [channel, row, column] of a file, z planes projected, and the number of z planes.
+
+    A single page holds the channels as samples; a stack runs through the channels
+    first, as its ImageJ description (if it has one) and the manifest must agree on.
+    """
+    if content[:4] == b"\x89PNG":
+        w, h = struct.unpack(">II", content[16:24])
+        pages = [{"width": [w], "height": [h]}]
+        read = lambda _: png_image(content)
+    else:
+        pages = tiff_directories(content)
+        read = lambda d: tiff_page(content, d)
+    sizes = {(d.get("height", [0])[0], d.get("width", [0])[0]) for d in pages}
+    if len(sizes) != 1:
+        raise ValueError(f"pages of {len(sizes)} sizes")
+    ((h, w),) = sizes
+    if h * w > most_pixels:
+        raise ValueError(f"the image has {h * w} pixels, over {most_pixels:.0f}")
+    if len(pages) == 1:
+        a = read(pages[0])
+        if a.shape[2] < channels:
+            raise ValueError(f"{a.shape[2]} samples for {channels} channels")
+        return np.moveaxis(a[..., :channels], 2, 0), 1
+    c, z = stack_shape(pages[0].get("description"), len(pages), channels)
+    out = []
+    for i in range(c):  # one channel's planes at a time
+        out.append(projected(np.stack([read(pages[j * c + i])[..., 0] for j in range(z)]), z_mode))
+    return np.stack(out), z
+
+
 def read_pages(spark: SparkSession, paths: list[str] | str, most_pixels: int = 80_000_000) -> DataFrame:
     """A row for each page of each file: size, description, float32 data (row by row, samples last), or an error."""
 

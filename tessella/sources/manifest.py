@@ -11,10 +11,10 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.operators import validation as va
+from tessella.operators import inputs, validation as va
 
-#: Other names of manifest columns (fixed values).
-ALIASES = {"image_id": ["sample_id", "image"], "biological_unit_id": ["subject_id", "unit_id"], "condition": ["group"], "source_file": ["file_path", "file"], "field_id": ["field"]}
+#: Other names of manifest columns: those that the input checks know, with the file under the name that runs read.
+ALIASES = {c: others for c, others in inputs.ALIASES.items() if c != "file_path"} | {"source_file": ["file_path"]}
 STAIN_REQUIRED = ("image_id", "biological_unit_id", "condition", "field_id", "source_file")
 STAIN_DEFAULTS = {"analysis_status": "include", "batch_id": "batch_1", "marker": "unspecified_marker", "tissue_type": "unspecified_tissue", "is_negative_control": "false", "magnification": ""}
 CHANNEL_REQUIRED = ("image_id", "biological_unit_id", "condition", "modality", "marker", "channel_name", "channel_index", "channel_role", "file_path")
@@ -37,7 +37,7 @@ def stain_manifest(spark: SparkSession, path: str) -> DataFrame:
     require(df, STAIN_REQUIRED)
     df = va.included(va.fill_defaults(df, STAIN_DEFAULTS))
     scale = F.expr("try_cast(pixel_size_um as double)") if "pixel_size_um" in df.columns else F.lit(None).cast("double")
-    df = df.withColumns({"pixel_size_um": scale, "is_negative_control": F.lower(F.trim("is_negative_control")).isin("true", "t", "1", "yes", "y")})
+    df = df.withColumns({"pixel_size_um": scale, **{c: F.col(c).cast("string") for c in STAIN_REQUIRED}, "is_negative_control": F.lower(F.trim("is_negative_control")).isin("true", "t", "1", "yes", "y")})
     again = va.duplicate_keys(df, ["image_id"]).head(1)
     if again:
         raise ValueError(f"image_id occurs more than once: {again[0].image_id}")
@@ -63,12 +63,28 @@ def channel_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def roi_vertices(spark: SparkSession, path: str) -> DataFrame:
-    """Usable ROI vertices; metadata that differs within an ROI, and named compartments without review, raise."""
+    """Usable ROI vertices. What would change a polygon or its use unseen raises.
+
+    That is: an empty image_id or roi_id, coordinates that aren't finite numbers,
+    unknown actions or states, metadata that differs within an ROI, and named
+    compartments without review.
+    """
     df = va.fill_defaults(read_csv(spark, path), {"compartment": "custom", "action": "include", "selection_source": "manual", "selection_method": "polygon", "reviewer": "", "annotation_status": "selected"})
-    df = df.withColumns({"x": F.expr("try_cast(x as double)"), "y": F.expr("try_cast(y as double)"), "vertex_order": F.expr("try_cast(vertex_order as int)")})
-    df = va.usable_rois(df)
-    meta = ["compartment", "action", "selection_source", "selection_method", "reviewer", "annotation_status"]
-    if va.inconsistent(df, ["image_id", "roi_id"], meta).head(1):
+    require(df, inputs.ROI_COLUMNS)
+    words = {c: inputs.word(c) for c in ("compartment", "action", "selection_source", "selection_method", "annotation_status")}
+    df = df.withColumns(words | {"reviewer": F.trim("reviewer"), "x": inputs.number("x"), "y": inputs.number("y"), "vertex_order": F.expr("try_cast(vertex_order as int)")})
+    states = (*va.USABLE_STATES, *inputs.IGNORED_STATES)
+    wrong = (
+        F.when((inputs.word("image_id") == "") | (inputs.word("roi_id") == ""), "an annotation without image_id or roi_id")
+        .when(F.col("x").isNull() | F.col("y").isNull(), "annotation coordinates must be finite numbers")
+        .when(~F.col("action").isin(*inputs.ACTIONS), "annotation action must be include or exclude")
+        .when(~F.col("annotation_status").isin(*states), "unknown annotation status")
+    )
+    bad = df.select(wrong.alias("wrong"), "image_id", "roi_id").where("wrong is not null").head(1)
+    if bad:
+        raise ValueError(f"{bad[0].wrong}: {bad[0].image_id}/{bad[0].roi_id}")
+    df = df.where(F.col("annotation_status").isin(*va.USABLE_STATES))
+    if va.inconsistent(df, ["image_id", "roi_id"], inputs.ROI_METADATA).head(1):
         raise ValueError("annotation metadata differs within an ROI")
     if va.unreviewed_compartments(df).head(1):
         raise ValueError("a named compartment needs a reviewed, non-automatic selection")
@@ -124,6 +140,111 @@ class Options:
             raise ValueError("dab_thresholds must increase")
 
 
+@dataclass
+class StainRunOptions(Options):
+    """Options of a brightfield run and their defaults (fixed values); lengths in micrometres hold where the scale is known."""
+
+    max_image_pixels: float = 80_000_000.0
+    white_quantile: float = 0.98
+    tissue_od_min: float = 0.10
+    tissue_close_radius_px: int = 2
+    nucleus_blur_sigma_um: float = 0.8
+    nucleus_blur_sigma_px: float = 1.2
+    nucleus_min_area_um2: float = 20.0
+    nucleus_max_area_um2: float = 400.0
+    nucleus_min_area_px: float = 80.0
+    nucleus_max_area_px: float = 5000.0
+    nucleus_min_circularity: float = 0.20
+    nucleus_max_eccentricity: float = 0.98
+    nucleus_min_h_mean: float = 0.035
+    border_margin_um: float = 1.0
+    border_margin_px: int = 3
+    cell_expansion_radius_um: float = 6.0
+    cell_expansion_radius_px: float = 18.0
+    local_background_inner_radius_um: float = 7.0
+    local_background_outer_radius_um: float = 12.0
+    local_background_inner_radius_px: int = 22
+    local_background_outer_radius_px: int = 36
+    local_background_min_pixels: int = 60
+    use_local_background: bool = True
+    cell_scoring_domain: str = "cytoplasm"
+    minimum_cells_for_qc: int = 20
+    minimum_tissue_fraction_for_qc: float = 0.05
+    high_background_od_for_qc: float = 0.10
+    dab_threshold_negative: float = 0.08
+    dab_threshold_weak: float = 0.18
+    dab_threshold_moderate: float = 0.35
+
+    def __post_init__(self) -> None:
+        self.check()
+
+    def check(self) -> None:
+        self.dab_thresholds = (self.dab_threshold_negative, self.dab_threshold_weak, self.dab_threshold_moderate)
+        super().check()
+        if not self.max_image_pixels > 0:
+            raise ValueError("max_image_pixels must be above zero")
+
+    def effective(self, pixel_size_um: float | None) -> dict[str, float | str]:
+        """Lengths and areas in pixels at a scale, or the fallbacks without one."""
+        s = pixel_size_um
+        if s is None or not 0 < s < float("inf"):
+            return {
+                "scale_mode": "pixel_fallback", "nucleus_blur": self.nucleus_blur_sigma_px, "nucleus_min_area": self.nucleus_min_area_px, "nucleus_max_area": self.nucleus_max_area_px, "border_margin": self.border_margin_px,
+                "cell_reach": int(self.cell_expansion_radius_px), "background_inner": self.local_background_inner_radius_px, "background_outer": self.local_background_outer_radius_px,
+            }
+        least = max(5.0, self.nucleus_min_area_um2 / s**2)
+        inner = max(2, round(self.local_background_inner_radius_um / s))
+        return {
+            "scale_mode": "physical_um", "nucleus_blur": max(0.5, self.nucleus_blur_sigma_um / s), "nucleus_min_area": least, "nucleus_max_area": max(least + 1, self.nucleus_max_area_um2 / s**2), "border_margin": max(1, round(self.border_margin_um / s)),
+            "cell_reach": max(2, round(self.cell_expansion_radius_um / s)), "background_inner": inner, "background_outer": max(inner + 2, round(self.local_background_outer_radius_um / s)),
+        }
+
+
+@dataclass
+class ChannelRunOptions(Options):
+    """Options of a fluorescence run and their defaults (fixed values)."""
+
+    z_mode: str = "max_projection"
+    bg_method: str = "top_hat"
+    bg_radius: int = 25
+    bg_value: str = ""
+    nuc_threshold_method: str = "otsu"
+    nuc_threshold_value: str = ""
+    nuc_min_area: float = 20.0
+    nuc_max_area: float = 5000.0
+    cell_propagation_radius: int = 15
+    max_cytoplasm_expansion_radius: int = 10
+    cytoplasm_boundary_gap_px: float = 1.0
+    nuc_watershed_tolerance: float = 1.0
+    nuc_watershed_ext: int = 1
+    pos_threshold_method: str = "otsu"
+    pos_threshold_value: str = ""
+    colocalization_enabled: bool = False
+    puncta_enabled: bool = False
+    puncta_sigma1: float = 1.0
+    puncta_sigma2: float = 2.5
+    puncta_threshold_sd: float = 3.0
+    max_image_pixels: float = 80_000_000.0
+
+    CHOICES = {
+        "z_mode": ("max_projection", "mean_projection", "sum_projection", "middle_slice", "max", "mean", "sum", "middle"),
+        "bg_method": ("none", "top_hat", "rolling_ball", "morphological_opening", "local_background", "user_defined_background_roi"),
+        "nuc_threshold_method": ("otsu", "manual"),
+    }
+
+    def check(self) -> None:
+        super().check()
+        for name in ("bg_value", "nuc_threshold_value", "pos_threshold_value"):
+            self.value(name)
+        if self.nuc_threshold_method == "manual" and self.value("nuc_threshold_value") is None:
+            raise ValueError("a manual nuclear threshold needs nuc_threshold_value")
+
+    def value(self, name: str) -> float | None:
+        """An optional number: None where it is empty."""
+        text = getattr(self, name).strip()
+        return float(text) if text else None
+
+
 def cast_like(value: Any, text: str) -> Any:
     if isinstance(value, bool):
         if text.lower() in ("true", "t", "1", "yes", "y"):
@@ -133,9 +254,9 @@ def cast_like(value: Any, text: str) -> Any:
         raise ValueError(f"not a boolean: {text}")
     if isinstance(value, tuple):
         return tuple(float(x) for x in text.split(";"))
-    return type(value)(text)
+    return int(float(text)) if isinstance(value, int) else type(value)(text)
 
 
-def read_options(spark: SparkSession, path: str) -> Options:
+def read_options(spark: SparkSession, path: str, defaults: Options | None = None) -> Options:
     rows = read_csv(spark, path).select("parameter", "value").collect()  # a few dozen
-    return Options().overlay({r.parameter: r.value for r in rows})
+    return (defaults or Options()).overlay({r.parameter: r.value for r in rows})

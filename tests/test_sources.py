@@ -52,7 +52,7 @@ def test_read_pages_keeps_errors_as_rows(spark, tmp_path):
     pages.unpersist()
 
 
-STAIN = "sample_id,subject_id,group,field_id,file_path,analysis_status,pixel_size_um\na,u1,control,1,a.png,include,0.5\nb,u1,treated,1,b.png,,\nc,u2,control,1,c.png,exclude,0.5\n"
+STAIN = "image_id,sample_id,condition,image_field,file_path,analysis_status,pixel_size_um\na,u1,control,1,a.png,include,0.5\nb,u1,treated,1,b.png,,\nc,u2,control,1,c.png,exclude,0.5\n"
 
 
 def test_stain_manifest(spark, tmp_path):
