@@ -139,31 +139,3 @@ def free_name(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
-
-
-#: A key is hot if it has this share of all rows and at least so many rows; so there are 1000 hot keys at most.
-HOT_SHARE, HOT_ROWS = 0.001, 1000
-
-
-def spread_join(left: DataFrame, right: DataFrame, key: str, how: str = "left") -> DataFrame:
-    """``left`` joined to ``right``, which has one row for each ``key`` at most, with no task that gets all rows of a key.
-
-    The keys with a thousandth of the rows or more, a thousand at most, meet a
-    broadcast of their own rows; all others are joined by shuffling. ``how`` is
-    inner or left; a null key meets nothing.
-    """
-    counts = left.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n_rows_of_key"))
-    counts = counts.where(F.col("n_rows_of_key") >= max(HOT_ROWS, HOT_SHARE * left.count()))
-    hot = counts.select(F.col(key).alias("hot_key"))
-    if hot.isEmpty():
-        return left.join(right, key, how)
-    hot = materialise(hot, "hot-keys")
-    few = F.broadcast(hot)
-    mine = right.join(few, F.col(key) == F.col("hot_key"), "left_semi")
-    warm = left.join(few, F.col(key) == F.col("hot_key"), "left_semi").join(F.broadcast(mine), key, how)
-    cold = left.join(few, F.col(key) == F.col("hot_key"), "left_anti")
-    # rows without a key all have one hash: they don't go through the shuffle of a left join
-    none = cold.where(F.col(key).isNull())
-    rest = cold.where(F.col(key).isNotNull()).join(right, key, how)
-    out = rest.unionByName(warm)
-    return out.unionByName(none, allowMissingColumns=True) if how == "left" else out

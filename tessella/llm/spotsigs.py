@@ -85,40 +85,60 @@ def likeness(a: np.ndarray, b: np.ndarray, floor: float = FLOOR) -> float:
     return both / (small + large - both)
 
 
-def ordered_blocks(docs: DataFrame, rows: int | None = None) -> DataFrame:
-    """doc_id, text, block and own, in blocks of neighbouring doc_id; each block ends with a copy (own false) of the first rows of the next.
+def block_borders(keyed: DataFrame, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first (doc_id, hash) of each block but the first: quantiles of doc_id; an id that several of them name is cut by even hashes."""
+    found = sorted(keyed.stat.approxQuantile("doc_id", [i / parts for i in range(1, parts)], 0.2 / parts)) if parts > 1 else []
+    ids, count = np.unique(np.array([int(b) for b in found], dtype=np.int64), return_counts=True)
+    low = [np.iinfo(np.int64).min + j * (2**64 // int(c)) for c in count for j in range(c)]
+    return np.repeat(ids, count), np.array(low, dtype=np.int64)
+
+
+def blocks_of(ids: np.ndarray, hashes: np.ndarray, border_ids: np.ndarray, border_hashes: np.ndarray) -> np.ndarray:
+    """How many borders are at or before each (doc_id, hash)."""
+    left, right = np.searchsorted(border_ids, ids, side="left"), np.searchsorted(border_ids, ids, side="right")
+    out = left.copy()
+    for a in np.unique(left[left < right]):  # ids that are borders
+        at = np.flatnonzero((left == a) & (right > a))
+        out[at] = a + np.searchsorted(border_hashes[a : right[at[0]]], hashes[at], side="right")
+    return out.astype(np.int32)
 
-    There are as many blocks as the shuffle has partitions, or more where one would
-    have over BLOCK_ROWS rows (or ``rows``): the driver holds the borders, which are
-    quantiles of doc_id, some 50 bytes for a million documents. A task reads its block
-    as a stream, in the order that Spark sorts it to disk. The first block follows the
-    last. A null doc_id is the smallest.
+
+def ordered_blocks(docs: DataFrame, rows: int | None = None) -> DataFrame:
+    """doc_id, text, h (its hash), block and own, in blocks of neighbours; each block ends with a copy (own false) of the first rows of the next.
+
+    Rows are ordered by doc_id, then by the text's hash, so that an id with many rows
+    fills many blocks. There are as many blocks as the shuffle has partitions, or more
+    where one would have over BLOCK_ROWS rows (or ``rows``): the driver holds the
+    borders, some 50 bytes for a million documents. A task reads its block as a
+    stream, in the order that Spark sorts it to disk. The first block follows the
+    last. A null doc_id is the smallest. Only rows equal to a block's first in both
+    are copied.
     """
     spark = docs.sparkSession
     n = docs.count()
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"), F.xxhash64(text_or_empty()).alias("h"))
     parts = max(1, math.ceil(n / rows)) if rows else max(min(n // 100 + 1, int(spark.conf.get("spark.sql.shuffle.partitions"))), math.ceil(n / BLOCK_ROWS))
-    borders = sorted(set(keyed.stat.approxQuantile("doc_id", [i / parts for i in range(1, parts)], 0.2 / parts))) if parts > 1 else []
-    borders = np.array([int(b) for b in borders], dtype=np.int64)
+    border_ids, border_hashes = block_borders(keyed, parts)
 
     @F.pandas_udf("int")
-    def block_of(doc_id):
-        values = doc_id.fillna(np.iinfo(np.int64).min).to_numpy(dtype=np.int64)
-        return __import__("pandas").Series(np.searchsorted(borders, values, side="right").astype(np.int32))
+    def block_of(doc_id, h):
+        ids = doc_id.fillna(np.iinfo(np.int64).min).to_numpy(dtype=np.int64)
+        return __import__("pandas").Series(blocks_of(ids, h.to_numpy(dtype=np.int64), border_ids, border_hashes))
 
-    blocks = keyed.withColumn("block", block_of("doc_id"))
-    firsts = blocks.select("block", "doc_id").groupBy("block").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id")).alias("first")).orderBy("block").collect()
-    chain = [(r.block, firsts[i - 1].block, r.first.doc_id) for i, r in enumerate(firsts)]  # a row for each block
+    blocks = keyed.withColumn("block", block_of("doc_id", "h"))
+    firsts = blocks.select("block", "doc_id", "h").groupBy("block").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "h")).alias("first")).orderBy("block").collect()
+    chain = [(r.block, firsts[i - 1].block, r.first.doc_id, r.first.h) for i, r in enumerate(firsts)]  # a row for each block
     if not chain:
         return blocks.withColumn("own", F.lit(True))
-    before = spark.createDataFrame(chain, "block int, previous int, first long")
+    before = spark.createDataFrame(chain, "block int, previous int, first long, first_h long")
     marked = blocks.join(F.broadcast(before), "block")  # a row for a block, see above
-    copies = F.when(F.col("doc_id").eqNullSafe(F.col("first")), F.array(F.struct("block", F.lit(True).alias("own")), F.struct(F.col("previous").alias("block"), F.lit(False).alias("own")))).otherwise(F.array(F.struct("block", F.lit(True).alias("own"))))
-    return marked.withColumn("to", F.explode(copies)).select("doc_id", "text", "to.block", "to.own")
+    here, there = F.struct("block", F.lit(True).alias("own")), F.struct(F.col("previous").alias("block"), F.lit(False).alias("own"))
+    copies = F.when(F.col("doc_id").eqNullSafe(F.col("first")) & (F.col("h") == F.col("first_h")), F.array(here, there)).otherwise(F.array(here))
+    return marked.withColumn("to", F.explode(copies)).select("doc_id", "text", "h", "to.block", "to.own")
 
 
 def with_neighbours(docs: DataFrame, rows: int | None = None) -> DataFrame:
-    """doc_id, text and next_text (of the next document by doc_id, then text; after the last the first), block after block."""
+    """doc_id, text and next_text (of the next document by doc_id, then the text's hash; after the last the first), block after block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = held = None  # held: an own row whose follower is still to come
@@ -145,8 +165,8 @@ def with_neighbours(docs: DataFrame, rows: int | None = None) -> DataFrame:
             yield out([(*held, first)])
 
     blocks = ordered_blocks(docs, rows)
-    one = blocks.select("block", F.expr("not own").alias("copy"), "doc_id", "own", "text")
-    return one.repartition("block").sortWithinPartitions("block", "copy", "doc_id", "text").select("block", "own", "doc_id", "text").mapInArrow(run, "doc_id long, text string, next_text string")
+    one = blocks.select("block", F.expr("not own").alias("copy"), "doc_id", "own", "h", "text")
+    return one.repartition("block").sortWithinPartitions("block", "copy", "doc_id", "h", "text").select("block", "own", "doc_id", "text").mapInArrow(run, "doc_id long, text string, next_text string")
 
 
 def edit(text: str, following: str) -> str:
@@ -159,7 +179,7 @@ def fingerprints(docs: DataFrame, floor: float = FLOOR) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of every document.
 
     A null text is empty; texts without words have an empty fingerprint and are
-    alike. Rows with one doc_id follow each other by text. A table of one row
+    alike. Rows with one doc_id follow each other by the hash of their text. A table of one row
     has itself as its next document; an empty table gives none.
     """
 
@@ -212,5 +232,6 @@ def similar_documents(prints: DataFrame, similarity: float = 0.75) -> DataFrame:
 
 
 def op10_spotsigs(spark, sf_dir: str) -> DataFrame:
+    """``fingerprints`` of all ``documents``."""
     small_batches(spark)
     return fingerprints(table(spark, sf_dir, "documents"))

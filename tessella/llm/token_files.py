@@ -40,15 +40,17 @@ def dictionary_hash(dictionary: bytes) -> bytes:
 def train_dictionary(docs: DataFrame, vocabulary: str, samples: int = 2000, longest: int = 8192, size: int = 1 << 16) -> bytes:
     """A zstandard dictionary from the id arrays of a bounded sample.
 
-    The sample is the ``samples`` documents (by hash of the key) of at most
-    ``longest`` characters: at most 16 M characters on the driver. Too few or too
-    uniform samples give no dictionary (``b""``).
+    The sample is the ``samples`` documents (by hash of the key) that have a text, of a
+    longer one a stretch of ``longest`` characters whose place the text's hash
+    decides: at most 16 M characters on the driver. Too few or too uniform samples
+    give no dictionary (``b""``).
     """
     import zstandard
 
     from tessella.llm.tokens import ChunkEncoder
 
-    few = bounded_sample(docs.where(F.length("text").between(1, longest)).select("doc_id", "text"), samples, "text")
+    begin = F.pmod(F.xxhash64("text"), F.greatest(F.length("text") - longest + 1, F.lit(1)).cast("long")) + 1
+    few = bounded_sample(docs.where(F.length("text") > 0).select("doc_id", F.substring("text", begin.cast("int"), F.lit(longest)).alias("text")), samples, "text")
     arrays = [ids.tobytes() for ids in ChunkEncoder(vocabulary).encode([r.text for r in few.collect()])]
     try:
         return zstandard.train_dictionary(min(size, max(256, sum(map(len, arrays)) // 10)), arrays).as_bytes()
@@ -59,7 +61,8 @@ def train_dictionary(docs: DataFrame, vocabulary: str, samples: int = 2000, long
 def write_token_files(docs: DataFrame, path: str, vocabulary: str) -> None:
     """Write ids of every whole text (null: no text), each with id 2 after it, in ascending order of ``doc_id``.
 
-    A null ``doc_id`` comes first; rows with one ``doc_id`` are ordered by text.
+    A null ``doc_id`` comes first; rows with one ``doc_id`` are ordered by a hash of
+    their text, so that an id with many texts fills many files.
     Other columns are not read. An empty table gives a data set without files.
     """
     spark = docs.sparkSession
@@ -91,9 +94,10 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str) -> None:
             yield pa.RecordBatch.from_arrays([pa.array([body + len(body).to_bytes(8, "little") + TRAILER], pa.binary())], ["row"])
 
     (
-        docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"))
-        .repartitionByRange(parts, "doc_id")
-        .sortWithinPartitions("doc_id", "text")
+        docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"), F.xxhash64(text_or_empty()).alias("h"))
+        .repartitionByRange(parts, "doc_id", "h")
+        .sortWithinPartitions("doc_id", "h", "text")
+        .select("doc_id", "text")
         .mapInArrow(files, "row binary")
         .select(F.col("row").cast("string").alias("value"))
         .write.text(f"{path}/ids")
@@ -161,6 +165,7 @@ def with_start(rows: DataFrame) -> DataFrame:
 
 
 def op5_token_files(spark, sf_dir: str) -> DataFrame:
+    """All ``documents`` written to token files and read back, with the CRC of each document's ids."""
     small_batches(spark)
     path = scratch_path(spark, "token-ids")
     write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))

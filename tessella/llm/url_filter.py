@@ -17,7 +17,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessella.llm.common import materialise, spread_join, table
+from tessella.llm.common import materialise, table
+from tessella.operators.joins import spread_join
 
 
 class Rule(NamedTuple):

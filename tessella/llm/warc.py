@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.llm.common import materialise, scratch_path, slices, small_batches, table
+from tessella.operators.joins import spread_join
 
 CHUNK = 1 << 16
 #: An archive holds at most so many records of at most a chunk each: 128 MiB.
@@ -65,7 +66,11 @@ def chunk_table(pages: DataFrame, chunk: int = CHUNK) -> DataFrame:
     heads = heads.withColumn("size", F.octet_length("payload").cast("long"))
     groups = heads.groupBy("digest", "size").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("page_id", "tag")).alias("last"))
     groups = materialise(groups.where("n > 1").select("digest", "size", F.col("last.page_id").alias("keeper"), F.col("last.tag").alias("keeper_tag")), "warc-groups")
-    joined = heads.join(F.broadcast(groups) if groups.count() <= BROADCAST_GROUPS else groups, ["digest", "size"], "left")
+    if groups.count() <= BROADCAST_GROUPS:
+        joined = heads.join(F.broadcast(groups), ["digest", "size"], "left")
+    else:  # the commonest payloads, as of an empty page, don't go through the shuffle
+        key = F.concat_ws(":", "digest", "size")
+        joined = spread_join(heads.withColumn("group", key), groups.select(key.alias("group"), "keeper", "keeper_tag"), "group").drop("group")
     keeps = F.col("keeper_tag").isNull() | (F.col("page_id").eqNullSafe(F.col("keeper")) & (F.col("tag") == F.col("keeper_tag")))
     joined = joined.withColumns({"keeper": F.when(~keeps, F.col("keeper")), "keeper_tag": F.when(~keeps, F.col("keeper_tag"))})
     chunks = F.when(F.col("keeper_tag").isNull(), F.greatest(F.lit(1), F.ceil(F.col("size") / chunk))).otherwise(1).cast("int")
@@ -217,6 +222,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 
 
 def op9_warc(spark, sf_dir: str) -> DataFrame:
+    """All ``pages`` written as WARC records and read back."""
     small_batches(spark)
     path = scratch_path(spark, "warc")
     write_archives(table(spark, sf_dir, "pages"), path)

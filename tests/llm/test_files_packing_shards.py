@@ -132,3 +132,19 @@ def test_shards_with_a_hot_key(spark, documents):
     for r in got.collect():
         slots.setdefault(r.shard, []).append(r.slot)
     assert sum(map(len, slots.values())) == 1600 and all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_an_id_with_many_texts_fills_many_files(spark, documents, tmp_path):
+    rows = [(5, f"text number {i}") for i in range(400)] + [(i, "other") for i in range(200)]
+    path = str(tmp_path / "t")
+    token_files.write_token_files(documents(rows), path, public_tokenizers.path("byte_bpe_50k.json"))
+    got = token_files.with_start(token_files.read_token_files(spark, path)).collect()
+    ids = [r.doc_id for r in sorted(got, key=lambda r: r.start)]
+    assert ids == sorted(d for d, _ in rows)
+    sizes = [len(token_files.read_index(bytes(r.content))) for r in spark.read.format("binaryFile").load(f"{path}/ids").collect() if r.length]
+    assert len(sizes) == 4 and max(sizes) < 300
+
+
+def test_long_texts_enter_the_dictionary(documents):
+    rows = [(i, " ".join(f"very long text of rare words {j % 97}" for j in range(2000))) for i in range(40)]
+    assert token_files.train_dictionary(documents(rows), public_tokenizers.path("byte_bpe_50k.json"), longest=4000)

@@ -534,3 +534,20 @@ def test_near_duplicates_with_clashing_columns(spark):
     docs = spark.createDataFrame([(i, text, *names) for i in (3, 1, 1)] + [(5, "other", *names)], f"doc_id long, text string, {', '.join(f'{n} string' for n in names)}")
     kept = corpus_pipeline.near_duplicates(spark, docs, "")
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 5]
+
+
+def test_fingerprints_of_one_id_are_dealt_to_blocks(documents):
+    rows = [(5, f"the word {i} of it {i * i} is here") for i in range(300)] + [(i, f"the text {i} of others") for i in range(10, 310)]
+    blocks = spotsigs.ordered_blocks(documents(rows), 20).collect()
+    sizes = {}
+    for r in blocks:
+        sizes[r.block] = sizes.get(r.block, 0) + 1
+    assert sum(r.own for r in blocks) == 600 and len(blocks) - 600 == len(sizes) > 20 and max(sizes.values()) < 90
+    got = spotsigs.with_neighbours(documents(rows), 20).collect()
+    follow = {(r.doc_id, r.text): r.next_text for r in got}
+    assert len(got) == len(follow) == 600 and len(set(follow.values())) == 600
+    at, seen = rows[0][1], 0
+    while seen < 600:  # one circle through all texts
+        at, seen = next(v for (d, t), v in follow.items() if t == at), seen + 1
+    assert at == rows[0][1]
+    assert all(follow[i, t] == f"the text {i + 1} of others" for i, t in rows[300:-1])

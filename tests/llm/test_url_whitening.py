@@ -3,7 +3,8 @@ import math
 import numpy as np
 import pytest
 
-from tessella.llm import common, url_filter, whitening
+from tessella.llm import url_filter, whitening
+from tessella.operators import joins
 
 URLS = [
     "https://A.Example.NET/en/1?x=/en/", "http://example.net/EN/2", "http://net/", "http://net", "http://www.net?q=/a", "http://xnet/a", "http://example.com/de/#top", "http://sub.example.com/de", "http://b.org/fr/1", "ftp://org/fr/",
@@ -88,8 +89,8 @@ def plain_bounds(rows, labels, z):
 @pytest.mark.parametrize("hot", [False, True])
 def test_reputation_like_plain_loops(spark, monkeypatch, hot):
     if hot:
-        monkeypatch.setattr(common, "HOT_ROWS", 2)
-        monkeypatch.setattr(common, "HOT_SHARE", 0.02)
+        monkeypatch.setattr(joins, "HOT_ROWS", 2)
+        monkeypatch.setattr(joins, "HOT_SHARE", 0.02)
     rng = np.random.default_rng(3)
     rows, labels, share = [], [], {}
     for i in range(1500):
@@ -128,15 +129,6 @@ def test_url_filter_without_rows_or_labels(spark):
     assert url_filter.judge_urls(pages, label_rows(spark, [(1, 0, 0)])).count() == 3
 
 
-def test_spread_join(spark, monkeypatch):
-    monkeypatch.setattr(common, "HOT_ROWS", 5)
-    left = spark.createDataFrame([(k if k != 9 else None, i) for i, k in enumerate([1] * 50 + [2, 3, 9, 9] * 3)], "k long, v long")
-    right = spark.createDataFrame([(1, "one"), (2, "two"), (7, "seven")], "k long, name string")
-    for how in ("left", "inner"):
-        got = sorted(map(str, common.spread_join(left, right, "k", how).select("k", "v", "name").collect()))
-        assert got == sorted(map(str, left.join(right, "k", how).select("k", "v", "name").collect())) and got
-
-
 # whitening
 
 
