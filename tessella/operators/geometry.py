@@ -113,6 +113,42 @@ def nearest_gap(nuclei: DataFrame, bucket: float) -> DataFrame:
     return pairs.groupBy("image_id").agg(F.min(F.col("d") - F.col("radius_a") - F.col("radius_b")).alias("smallest_gap"), F.count(F.lit(1)).alias("n_pairs"))
 
 
+def smallest_gap(nuclei: DataFrame) -> DataFrame:
+    """Smallest gap (distance less both radii) of any two nuclei of an image, however far apart; null for a single one.
+
+    Neighbours along x, along y and along both at once (bits of the two interleaved)
+    give a bound: no pair whose centres are farther apart than that gap and twice the
+    largest radius can have a smaller one. Square buckets of this size, each image's
+    own, then hold every pair that may: an equi-join of neighbouring buckets.
+    """
+    box = Window.partitionBy("image_id")
+    side = F.greatest(F.max("cx").over(box) - F.min("cx").over(box), F.max("cy").over(box) - F.min("cy").over(box), F.lit(1e-9))
+    cell = [F.floor((F.col(c) - F.min(c).over(box)) / F.col("side") * 65535).cast("long") for c in ("cx", "cy")]
+    placed = nuclei.withColumn("side", side)
+    placed = placed.withColumns({"ux": cell[0], "uy": cell[1], "largest": F.max("radius").over(box)})
+    bits = [F.shiftleft(F.shiftright(F.col(u), i).bitwiseAND(F.lit(1)), 2 * i + j) for j, u in enumerate(("ux", "uy")) for i in range(16)]
+    both = bits[0]
+    for b in bits[1:]:
+        both = both.bitwiseOR(b)
+    placed = placed.withColumn("curve", both)
+
+    def gap(order: str) -> Column:
+        line = box.orderBy(order, "cx", "cy", "nucleus_id")
+        x, y, r = (F.lead(c).over(line) for c in ("cx", "cy", "radius"))
+        return F.sqrt((x - F.col("cx")) ** 2 + (y - F.col("cy")) ** 2) - r - F.col("radius")
+
+    bounds = placed.withColumns({f"gap_{o}": gap(o) for o in ("cx", "cy", "curve")}).groupBy("image_id").agg(F.least(*(F.min(f"gap_{o}") for o in ("cx", "cy", "curve"))).alias("bound"), F.max("largest").alias("largest"), F.count(F.lit(1)).alias("n_nuclei"))
+    bucket = F.greatest(F.col("bound") + 2 * F.col("largest"), F.lit(1e-6)) * (1 + 1e-9)
+    sized = nuclei.join(bounds.where("bound is not null").select("image_id", bucket.alias("bucket")), "image_id")
+    n = sized.withColumns({"bx": F.floor(F.col("cx") / F.col("bucket")), "by": F.floor(F.col("cy") / F.col("bucket"))})
+    around = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1))))
+    a = n.withColumn("o", around).select("image_id", (F.col("bx") + F.col("o.i")).alias("bx"), (F.col("by") + F.col("o.j")).alias("by"), *(F.col(c).alias(f"{c}_a") for c in ("nucleus_id", "cx", "cy", "radius")))
+    b = n.select("image_id", "bx", "by", *(F.col(c).alias(f"{c}_b") for c in ("nucleus_id", "cx", "cy", "radius")))
+    d = F.sqrt((F.col("cx_a") - F.col("cx_b")) ** 2 + (F.col("cy_a") - F.col("cy_b")) ** 2) - F.col("radius_a") - F.col("radius_b")
+    found = a.join(b, ["image_id", "bx", "by"]).where("nucleus_id_a < nucleus_id_b").groupBy("image_id").agg(F.min(d).alias("smallest_gap"))
+    return bounds.select("image_id", "n_nuclei").join(found, "image_id", "left")
+
+
 def label_contacts(pixels: DataFrame, label: str) -> DataFrame:
     """Pairs of different labels that touch along x or y, and at how many places."""
     across, down = Window.partitionBy("image_id", "y").orderBy("x"), Window.partitionBy("image_id", "x").orderBy("y")

@@ -43,10 +43,10 @@ def object_scores(counts: DataFrame) -> DataFrame:
 
 
 def pixel_overlap(pixels: DataFrame, keys: Sequence[str], predicted: str, truth: str) -> DataFrame:
-    """Dice and IoU of the foregrounds; 1 where both are empty."""
+    """Dice and IoU of the foregrounds; 0 where both are empty."""
     p, t = F.col(predicted) > 0, F.col(truth) > 0
     both, np_, nt = F.count(F.when(p & t, 1)), F.count(F.when(p, 1)), F.count(F.when(t, 1))
-    return pixels.groupBy(*keys).agg(F.when(np_ + nt > 0, 2 * both / F.nullif(np_ + nt, F.lit(0))).otherwise(1.0).alias("dice"), F.when(np_ + nt > 0, both / F.nullif(np_ + nt - both, F.lit(0))).otherwise(1.0).alias("iou"))
+    return pixels.groupBy(*keys).agg(F.when(np_ + nt > 0, 2 * both / F.nullif(np_ + nt, F.lit(0))).otherwise(0.0).alias("dice"), F.when(np_ + nt > 0, both / F.nullif(np_ + nt - both, F.lit(0))).otherwise(0.0).alias("iou"))
 
 
 def benchmark_means(scores: DataFrame, everywhere: Sequence[str], where_defined: Sequence[str]) -> DataFrame:

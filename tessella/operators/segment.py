@@ -233,13 +233,7 @@ def segment_fluorescent(planes: DataFrame, options: FluorescenceOptions | None =
 def decode_instances(code: np.ndarray) -> np.ndarray:
     """Labels of an instance-colour mask: the commonest colour is background, every other colour's regions are objects."""
     values, count = np.unique(code, return_counts=True)
-    back = values[np.argmax(count)]
-    out, n = np.zeros(code.shape, dtype=np.int32), 0
-    for v in values[values != back]:
-        found = k.components(code == v)
-        out = np.where(found > 0, found + n, out)
-        n += int(found.max())
-    return out
+    return k.value_components(code, values[np.argmax(count)])
 
 
 def external_mask(mask: np.ndarray, shape: tuple[int, int]) -> np.ndarray:

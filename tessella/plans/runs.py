@@ -24,6 +24,7 @@ META = ("biological_unit_id", "condition", "field_id", "batch_id", "marker", "ti
 EFFECT_KEYS = ("marker", "tissue_type", "batch_id", "compartment", "cell_scoring_domain")
 #: Columns of a cell by scoring domain (fixed values).
 SCORED = {"nucleus": "nuclear", "cytoplasm": "cytoplasm", "whole_cell": "whole_cell"}
+JPEG = r"(?i)\.jpe?g$"
 #: A manifest of more rows meets its files by shuffling, not by broadcast.
 BROADCAST_IMAGES = 100_000
 
@@ -36,6 +37,9 @@ def files_of(spark: SparkSession, manifest: DataFrame, base: str, column: str =
     named = manifest.withColumn("path", inputs.path_in(column, base))
     folders = sorted(r.f for r in named.select(F.regexp_replace("path", r"[^/\\]*$", "").alias("f")).distinct().collect())  # folders, not files
     found = spark.read.format("binaryFile").option("ignoreMissingFiles", True).load(folders).select(F.regexp_replace("path", "^file:/+", "/").alias("path"), "content")
+    if not named.where(F.col("path").rlike(JPEG)).isEmpty():  # decoded by Spark's own source
+        decoded = spark.read.format("image").load(folders).select(F.regexp_replace("image.origin", "^file:/+", "/").alias("path"), im.jpeg_content().alias("content"))
+        found = found.where(~F.col("path").rlike(JPEG)).unionByName(decoded.where(F.col("path").rlike(JPEG) & F.col("content").isNotNull()))
     rows = named.count()
     if rows <= BROADCAST_IMAGES:
         found = found.join(F.broadcast(named.select("path").distinct()), "path", "left_semi")

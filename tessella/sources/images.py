@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of each TIFF field type (fixed values).
@@ -67,6 +67,36 @@ def unpack_bits(b: bytes) -> bytes:
     return bytes(out)
 
 
+def unpack_lzw(b: bytes) -> bytes:
+    """TIFF's LZW: codes of 9 to 12 bits, high bits first; 256 clears the table, 257 ends. The width grows one code early."""
+    out, at, held, bits = bytearray(), 0, 0, 0
+    single = [bytes([i]) for i in range(256)] + [b"", b""]
+    table, width, last = list(single), 9, b""
+    while True:
+        while bits < width:
+            if at >= len(b):
+                return bytes(out)  # no end code
+            held, at, bits = (held << 8) | b[at], at + 1, bits + 8
+        bits -= width
+        code, held = held >> bits, held & ((1 << bits) - 1)
+        if code == 257:
+            return bytes(out)
+        if code == 256:
+            table, width, last = list(single), 9, b""
+            continue
+        if code < len(table):
+            entry = table[code]
+        elif code == len(table) and last:
+            entry = last + last[:1]
+        else:
+            raise ValueError("broken LZW data")
+        if last:
+            table.append(last + entry[:1])
+        out += entry
+        last = entry
+        width = 12 if len(table) >= 2047 else 11 if len(table) >= 1023 else 10 if len(table) >= 511 else 9
+
+
 def tiff_page(b: bytes, page: dict) -> np.ndarray:
     """Samples [row, column, sample] of 0 to 1 for whole numbers, as they are for floats."""
     one = lambda k, d: page.get(k, [d])[0]
@@ -76,6 +106,8 @@ def tiff_page(b: bytes, page: dict) -> np.ndarray:
     strips = [b[o : o + c] for o, c in zip(page["offsets"], page["counts"], strict=True)]
     if how == 32773:
         strips = [unpack_bits(s) for s in strips]
+    elif how == 5:
+        strips = [unpack_lzw(s) for s in strips]
     elif how in (8, 32946):
         strips = [zlib.decompress(s) for s in strips]
     elif how != 1:
@@ -94,6 +126,19 @@ def imagej_description(text: str | None) -> dict[str, str]:
     return dict(line.split("=", 1) for line in text.splitlines() if "=" in line)
 
 
+#: Bytes at the start of a file in which an ImageJ description is looked for.
+SCANNED = 1 << 20
+
+
+def scanned_description(content: bytes) -> str | None:
+    """The ImageJ description that stands in the first bytes of a file outside its tags, up to a zero byte."""
+    at = content.find(b"ImageJ=", 0, SCANNED)
+    if at < 0:
+        return None
+    end = content.find(b"\0", at, SCANNED)
+    return content[at : end if end >= 0 else SCANNED].decode("latin-1")
+
+
 def stack_shape(description: str | None, pages: int, channels: int) -> tuple[int, int]:
     """(channels, planes) of a stack; raises if it disagrees with its pages, the manifest, or has several times."""
     d = imagej_description(description)
@@ -149,9 +194,22 @@ def png_image(b: bytes) -> np.ndarray:
     return palette[out.reshape(h, w)].astype(float) / 255 if colour == 3 else out.reshape(h, w, n).astype(float) / 255
 
 
-def rgb_image(content: bytes, most_pixels: float = 80_000_000) -> np.ndarray:
-    """Red, green and blue [row, column, sample] of 0 to 1 of a file's first image; a grey one has them alike. The size is checked before pixels are read."""
-    if content[:4] == b"\x89PNG":
+#: Marks the content that ``jpeg_content`` makes (fixed value).
+RAW_MARK = b"BGR8"
+
+
+def jpeg_content(image: str = "image") -> Column:
+    """Bytes of a row of Spark's ``image`` source: a mark, height, width and samples (big-endian), then its samples; null if it couldn't be read."""
+    sizes = [F.unhex(F.lpad(F.hex(f"{image}.{c}"), 8, "0")) for c in ("height", "width", "nChannels")]
+    return F.when(F.col(f"{image}.height") > 0, F.concat(F.lit(RAW_MARK), *sizes, F.col(f"{image}.data")))
+
+
+def first_image(content: bytes, most_pixels: float = 80_000_000) -> np.ndarray:
+    """Samples [row, column, sample] of 0 to 1 of a file's first image. The size is checked before pixels are read."""
+    if content[:4] == RAW_MARK:
+        h, w, n = struct.unpack(">III", content[4:16])
+        read = lambda: np.frombuffer(content, np.uint8, offset=16).reshape(h, w, n)[..., ::-1].astype(float) / 255
+    elif content[:4] == b"\x89PNG":
         w, h = struct.unpack(">II", content[16:24])
         read = lambda: png_image(content)
     else:
@@ -160,7 +218,12 @@ def rgb_image(content: bytes, most_pixels: float = 80_000_000) -> np.ndarray:
         read = lambda: tiff_page(content, page)
     if w * h > most_pixels:
         raise ValueError(f"the image has {w * h} pixels, over {most_pixels:.0f}")
-    a = read()
+    return read()
+
+
+def rgb_image(content: bytes, most_pixels: float = 80_000_000) -> np.ndarray:
+    """Red, green and blue of a file's first image; a grey one has them alike."""
+    a = first_image(content, most_pixels)
     return np.repeat(a[..., :1], 3, axis=2) if a.shape[2] < 3 else a[..., :3]
 
 
@@ -196,7 +259,8 @@ def channel_planes(content: bytes, channels: int, z_mode: str = "max", most_pixe
         if a.shape[2] < channels:
             raise ValueError(f"{a.shape[2]} samples for {channels} channels")
         return np.moveaxis(a[..., :channels], 2, 0), 1
-    c, z = stack_shape(pages[0].get("description"), len(pages), channels)
+    told = pages[0].get("description")
+    c, z = stack_shape(told if imagej_description(told) else scanned_description(content) or told, len(pages), channels)
     out = []
     for i in range(c):  # one channel's planes at a time
         out.append(projected(np.stack([read(pages[j * c + i])[..., 0] for j in range(z)]), z_mode))
