@@ -3,9 +3,6 @@
 from __future__ import annotations
 
 import logging
-import re
-import tempfile
-import uuid
 from collections.abc import Mapping
 from pathlib import Path
 
@@ -36,16 +33,6 @@ def mapped(table: DataFrame, settings: Mapping[str, str], prefix: str) -> DataFr
     return table.select(*(F.expr(e).alias(n.removeprefix(f"{prefix}.")) for n, e in settings.items() if n.startswith(f"{prefix}.")))
 
 
-def fresh_folder(spark: SparkSession, name: str) -> str:
-    """A new folder under ``spark.checkpoint.dir``; a temp folder stands in where the master is local and none is set."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        root = f"{tempfile.gettempdir()}/tessella-jobs"
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def session(name: str) -> SparkSession:
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(message)s")
     spark = SparkSession.builder.appName(name).getOrCreate()

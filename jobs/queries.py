@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobs import review_intake, study_tables
-from jobs.common import fresh_folder, settings_of
+from jobs.common import settings_of
+from tessella.sources.scratch import fresh_folder
 
 
 def job1_study_tables(spark: SparkSession, sf_dir: str) -> DataFrame:

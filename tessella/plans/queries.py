@@ -634,6 +634,19 @@ def paired_effects_signflip(spark, d):
     return st.paired_effects(u, ["compartment", "unit_block"], list(st.METRIC_LABELS), "F", "O")
 
 
+FLIP_SQL = """bl AS (SELECT compartment, CAST(floor(biological_unit_id / 10) AS BIGINT) AS unit_block, metric, list(d ORDER BY biological_unit_id) AS ds FROM df WHERE d IS NOT NULL GROUP BY 1, 2, 3),
+fl AS (SELECT compartment, unit_block, metric, ds, 0 AS k, 0.0::DOUBLE AS s FROM bl UNION ALL SELECT compartment, unit_block, metric, ds, k + 1, s + sg * ds[k + 1] FROM fl, (VALUES (1), (-1)) g(sg) WHERE k < len(ds)),
+pv AS (SELECT compartment, unit_block, metric, avg(CASE WHEN abs(s / len(ds)) >= abs(list_avg(ds)) - 1.4901161193847656e-08 THEN 1.0 ELSE 0.0 END) AS p FROM fl WHERE k = len(ds) AND len(ds) BETWEEN 2 AND 20 GROUP BY 1, 2, 3)"""
+
+
+@query(f"WITH RECURSIVE {RG}, {UNIT_SQL}, {EFFECT_SQL}, {FLIP_SQL} SELECT compartment, unit_block, metric, len(ds) AS n_paired_units, round(p, 6) AS exact_signflip_p_mean_difference FROM bl LEFT JOIN pv USING (compartment, unit_block, metric)")
+def exact_signflip(spark, d):
+    """All units in blocks of ten, every sign vector counted."""
+    u = st.unit_summary(full_regions(spark, d)).withColumn("unit_block", F.floor(F.col("biological_unit_id") / 10))
+    e = st.paired_effects(u, ["compartment", "unit_block"], ["h_score", "tissue_mean_dab_od", "tissue_positive_area_fraction"], "F", "O")
+    return rounded(e.select("compartment", "unit_block", "metric", "n_paired_units", "exact_signflip_p_mean_difference"))
+
+
 def bar_query(stat: str, bar: str, low: str, high: str):
     centre = "avg(c_acctbal)" if stat == "mean" else "quantile_cont(c_acctbal, 0.5)"
 

@@ -156,9 +156,11 @@ def png_image(b: bytes) -> np.ndarray:
     if b[:8] != b"\x89PNG\r\n\x1a\n":
         raise ValueError("not a PNG file")
     at, data, palette = 8, [], None
-    while at < len(b):
+    while at + 12 <= len(b):
         size, kind = struct.unpack_from(">I4s", b, at)
         body = b[at + 8 : at + 8 + size]
+        if kind == b"IEND":
+            break  # what follows isn't the image's
         if kind == b"IHDR":
             w, h, bits, colour, _, _, interlace = struct.unpack(">IIBBBBB", body)
         elif kind == b"PLTE":
