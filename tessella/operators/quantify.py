@@ -53,6 +53,10 @@ def tagged_schema(kinds: dict[str, str]) -> str:
 TAGGED = tagged_schema(KINDS)
 
 
+#: Rows that a task passes on together.
+ROWS_TOGETHER = 10_000
+
+
 @dataclass
 class CellOptions:
     """Thresholds and the ring of the local background (pixels)."""
@@ -232,15 +236,22 @@ def each_image(images: DataFrame, measure: Callable[[object], list[dict]], kinds
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         columns = ["image_id", "kind", *kinds, "error"]
+
+        def out(rows: list[dict]) -> pd.DataFrame:
+            return pd.DataFrame({c: pd.Series([r.get(c) for r in rows], dtype=object) for c in columns})
+
         for frame in frames:
+            held: list[dict] = []
             for row in frame.itertuples(index=False):
                 try:
-                    found = measure(row)
+                    held += measure(row)
                 except Exception as e:  # one bad image must not end the run
-                    found = [{"image_id": row.image_id, "kind": "error", "error": f"{type(e).__name__}: {e}"}]
-                for at in range(0, len(found), 10_000):
-                    part = pd.DataFrame(found[at : at + 10_000], columns=columns).astype(object)
-                    yield part.where(part.notna(), None)
+                    held.append({"image_id": row.image_id, "kind": "error", "error": f"{type(e).__name__}: {e}"})
+                while len(held) >= ROWS_TOGETHER:
+                    yield out(held[:ROWS_TOGETHER])
+                    held = held[ROWS_TOGETHER:]
+            if held:
+                yield out(held)
 
     return images.mapInPandas(run, tagged_schema(kinds))
 

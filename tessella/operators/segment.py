@@ -230,6 +230,33 @@ def segment_fluorescent(planes: DataFrame, options: FluorescenceOptions | None =
     return each_image(planes, segment)
 
 
+def nucleus_features(planes: DataFrame, options: FluorescenceOptions | None = None) -> DataFrame:
+    """(image_id, nuc_label, area, cx, cy, eccentricity) of the nuclei of planes ``nuclear``: segmented and measured in one pass, no pixel leaves its task.
+
+    An image that fails gives no row; ``segment_fluorescent`` tells why.
+    """
+    o = options or FluorescenceOptions()
+    columns = ("area", "cx", "cy", "eccentricity")
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            ids, found = [], []
+            for row in frame.itertuples(index=False):
+                try:
+                    nuclei = fluorescence_nuclei(plane(row, "nuclear"), o)
+                except Exception:  # one bad image must not end the run
+                    continue
+                f = k.features(nuclei, nuclei.astype(float))
+                n = len(f["area"])
+                ids += [row.image_id] * n
+                found.append(np.column_stack([np.arange(1, n + 1), *(f[c] for c in columns)]))
+            if ids:
+                table = np.concatenate(found)
+                yield pd.DataFrame({"image_id": ids, "nuc_label": table[:, 0].astype("i4"), "area": table[:, 1].astype("i8"), **{c: table[:, i] for i, c in enumerate(columns[1:], 2)}})
+
+    return planes.mapInPandas(run, f"image_id {id_type(planes)}, nuc_label int, area long, cx double, cy double, eccentricity double")
+
+
 def decode_instances(code: np.ndarray) -> np.ndarray:
     """Labels of an instance-colour mask: the commonest colour is background, every other colour's regions are objects."""
     values, count = np.unique(code, return_counts=True)

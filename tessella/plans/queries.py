@@ -784,8 +784,7 @@ def fluorescence_segmentation(spark, d):
     from tessella.operators import segment
 
     o = segment.FluorescenceOptions(blur=1.0, min_area=4, max_area=600, radius=3)
-    labels = segment.segment_fluorescent(planes_of(spark, d), o)
-    return measure.moments(segment.label_pixels(labels).withColumn("v", F.lit(1.0)), ["image_id"], "nuc_label", "v")
+    return segment.nucleus_features(planes_of(spark, d), o)
 
 
 def kernel_query(name: str, kernel: Callable):

@@ -57,3 +57,28 @@ def test_fluorescence_run(spark):
     assert units["control", "cytoplasm"].mean_intensity > units["treated", "cytoplasm"].mean_intensity
     assert not {"optical_density", "h_score", "dab_od"} & set(run.compartments.columns)
     assert run.cells.count() == 50
+
+
+def test_features_in_one_pass_equal_pixel_rows(spark):
+    from pyspark.sql import functions as F
+
+    from tessella.operators import measure, segment
+
+    rows = [(f"F{i}", 128, 128, scenes.fluorescence_scene(size=128, cells=8, seed=i)["nuclear"].astype("<f4").tobytes()) for i in range(3)] + [("dark", 8, 8, np.zeros((8, 8), "<f4").tobytes())]
+    planes = spark.createDataFrame(rows, "image_id string, h int, w int, nuclear binary")
+    o = segment.FluorescenceOptions(min_area=30)
+    labels = segment.label_pixels(segment.segment_fluorescent(planes, o)).withColumn("v", F.lit(1.0))
+    want = {(r.image_id, r.nuc_label): r for r in measure.moments(labels, ["image_id"], "nuc_label", "v").collect()}
+    got = {(r.image_id, r.nuc_label): r for r in segment.nucleus_features(planes, o).collect()}
+    assert set(got) == set(want) and len(got) > 9
+    for key, r in got.items():
+        assert r.area == want[key].area and np.allclose([r.cx, r.cy, r.eccentricity], [want[key].cx, want[key].cy, want[key].eccentricity], atol=1e-6)
+
+
+def test_image_without_kept_nuclei_is_no_error(spark):
+    from tessella.operators import segment
+
+    one = np.zeros((32, 32), "<f4")
+    one[10:13, 10:13] = 1
+    labels = segment.segment_fluorescent(spark.createDataFrame([("a", 32, 32, one.tobytes())], "image_id string, h int, w int, nuclear binary"), segment.FluorescenceOptions(min_area=500)).head()
+    assert (labels.status, labels.n_cells, labels.error) == ("OK", 0, None)
