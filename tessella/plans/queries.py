@@ -601,10 +601,12 @@ def unit_weighted(spark, d):
     return rounded(u)
 
 
-@query(f"""WITH {RG} SELECT biological_unit_id, condition, 'm' AS marker, compartment, count(DISTINCT image_id) AS n_images, round(sum(area_px), 6) AS total_area_um2, round(avg(mean_od) + 1e-9, 5) AS mean_intensity, round(quantile_cont(median_cell_od, 0.5), 6) AS median_intensity, round(sum(integrated_od), 4) AS integrated_intensity, round(avg(positive_area_px / area_px), 6) AS positive_area_fraction FROM rg GROUP BY 1, 2, 4""")
+@query(f"""WITH {RG} SELECT biological_unit_id, condition, 'm' AS marker, compartment, count(DISTINCT image_id) AS n_images, round(sum(area_px), 6) AS total_area_um2, round(avg(mean_od), 9) AS mean_intensity, round(quantile_cont(median_cell_od, 0.5), 6) AS median_intensity, round(sum(integrated_od), 4) AS integrated_intensity, round(avg(positive_area_px / area_px), 6) AS positive_area_fraction FROM rg GROUP BY 1, 2, 4""")
 def unit_unweighted(spark, d):
     r = full_regions(spark, d).select("image_id", "biological_unit_id", "condition", "marker", "compartment", F.col("area_px").alias("area_um2"), F.col("mean_od").alias("mean_intensity"), F.col("median_cell_od").alias("median_intensity"), F.col("integrated_od").alias("integrated_intensity"), (F.col("positive_area_px") / F.col("area_px")).alias("positive_area_fraction"))
-    return rounded(st.unit_means(r).withColumns({"integrated_intensity": F.round("integrated_intensity", 4), "mean_intensity": F.round(F.col("mean_intensity") + 1e-9, 5)}))
+    u = st.unit_means(r)
+    digits = {"mean_intensity": 9, "integrated_intensity": 4}
+    return u.select(*(F.round(c, digits.get(c, 6)).alias(c) if t == "double" else F.col(c) for c, t in u.dtypes))
 
 
 @query(f"WITH {RG} SELECT condition, count(DISTINCT image_id) AS n_images, count(DISTINCT biological_unit_id) AS n_biological_units FROM rg WHERE compartment = 'global' GROUP BY 1")
