@@ -394,7 +394,7 @@ def outlined(spark, d):
     return geometry.pixels_in_polygons(outlines(spark, d), 32, 32)
 
 
-@query(f"WITH {OUTLINE_SQL} SELECT image_id, roi_id, count(*) AS n_pixels, sum(x) AS sum_x, sum(y) AS sum_y, sum(x * 31 + y * y) AS check_sum FROM ins GROUP BY 1, 2")
+@query(f"WITH {OUTLINE_SQL} SELECT image_id, roi_id, count(*) AS n_pixels, sum(x)::BIGINT AS sum_x, sum(y)::BIGINT AS sum_y, sum(x * 31 + y * y)::BIGINT AS check_sum FROM ins GROUP BY 1, 2")
 def point_in_polygon(spark, d):
     x, y = F.col("x").cast("long"), F.col("y").cast("long")
     return rounded(outlined(spark, d).groupBy("image_id", "roi_id").agg(F.count(F.lit(1)).alias("n_pixels"), F.sum(x).alias("sum_x"), F.sum(y).alias("sum_y"), F.sum(x * 31 + y * y).alias("check_sum")))
