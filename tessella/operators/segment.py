@@ -13,6 +13,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
@@ -22,6 +24,8 @@ from tessella.operators import pixels as px
 
 #: Bytes of label planes that a task passes on together.
 FRAME_BYTES = 32 << 20
+#: Bytes of planes that a task turns from Arrow to NumPy at once.
+SLICE_BYTES = 1 << 20
 LABELS = "h int, w int, nuc binary, cell binary, tissue binary, n_cells int, status string, error string"
 
 
@@ -281,16 +285,29 @@ def label_pixels(labels: DataFrame) -> DataFrame:
     return labels.where("status = 'OK'").mapInPandas(run, f"image_id {id_type(labels)}, x int, y int, nuc_label int, cell_label int, tissue boolean")
 
 
+def small_batches(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches whose planes ``column`` have ``SLICE_BYTES`` at most, or of one row."""
+    for batch in batches:
+        size = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(column))), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        ends, begin = np.cumsum(size), 0
+        while begin < len(size):
+            done = ends[begin - 1] if begin else 0
+            end = max(begin + 1, int(np.searchsorted(ends, done + SLICE_BYTES, side="right")))
+            yield batch.slice(begin, end - begin)
+            begin = end
+
+
 def plane_pixels(planes: DataFrame, column: str, name: str = "v") -> DataFrame:
     """Pixel rows (image_id, x, y, value) of a plane column."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for r in frame.itertuples(index=False):
-                y, x = np.divmod(np.arange(r.h * r.w), r.w)
-                yield pd.DataFrame({"image_id": r.image_id, "x": x.astype("i4"), "y": y.astype("i4"), name: np.frombuffer(r.data, "<f4").astype(float)})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in small_batches(batches, "data"):
+            for i, r in enumerate(part.select(["h", "w", "data"]).to_pandas().itertuples(index=False)):
+                y, x = np.divmod(np.arange(r.h * r.w, dtype="i4"), np.int32(r.w))
+                ids = part.column("image_id").take(pa.array(np.full(len(x), i)))
+                yield pa.RecordBatch.from_arrays([ids, pa.array(x), pa.array(y), pa.array(np.frombuffer(r.data, "<f4").astype(float))], ["image_id", "x", "y", name])
 
-    return planes.select("image_id", "h", "w", F.col(column).alias("data")).mapInPandas(run, f"image_id {id_type(planes)}, x int, y int, {name} double")
+    return planes.select("image_id", "h", "w", F.col(column).alias("data")).mapInArrow(run, f"image_id {id_type(planes)}, x int, y int, {name} double")
 
 
 def map_planes(planes: DataFrame, column: str, kernel: Callable[[np.ndarray], np.ndarray], name: str) -> DataFrame:
@@ -298,8 +315,10 @@ def map_planes(planes: DataFrame, column: str, kernel: Callable[[np.ndarray], np
     fields = [f for f in planes.schema.fields if f.name != name]
     schema = StructType([*fields, StructField(name, BinaryType())])
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            yield frame.assign(**{name: [kernel(plane(r, column)).astype("<f4").tobytes() for r in frame.itertuples(index=False)]})[schema.names]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in small_batches(batches, column):
+            rows = part.select(["h", "w", column]).to_pandas().itertuples(index=False)
+            made = pa.array([kernel(plane(r, column)).astype("<f4").tobytes() for r in rows], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(part.column(f.name) for f in fields), made], schema.names)
 
-    return planes.mapInPandas(run, schema)
+    return planes.mapInArrow(run, schema)
