@@ -29,17 +29,32 @@ JPEG = r"(?i)\.jpe?g$"
 BROADCAST_IMAGES = 100_000
 
 
+def is_file(spark: SparkSession, name: str) -> bool:
+    """Whether a path, also one that ends as a folder's, is a file."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(name) if name else None
+    files = path and path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return bool(files) and files.exists(path) and files.getFileStatus(path).isFile()
+
+
 def files_of(spark: SparkSession, manifest: DataFrame, base: str, column: str = "source_file") -> DataFrame:
     """The manifest with ``path`` and ``content`` of its files; ``content`` is null where a file wasn't found.
 
     Folders of the manifest are listed by Spark, which reads only files that meet a row.
+    A ZIP archive stands for a folder: ``tiles.zip/a.png`` names a TIFF or PNG file at its top.
     """
-    named = manifest.withColumn("path", inputs.path_in(column, base))
+    plain = F.regexp_replace("path", "^file:/+", "/").alias("path")
+    named = manifest.withColumn("path", inputs.path_in(column, base)).withColumn("path", plain)
     folders = sorted(r.f for r in named.select(F.regexp_replace("path", r"[^/\\]*$", "").alias("f")).distinct().collect())  # folders, not files
-    found = spark.read.format("binaryFile").option("ignoreMissingFiles", True).load(folders).select(F.regexp_replace("path", "^file:/+", "/").alias("path"), "content")
-    if not named.where(F.col("path").rlike(JPEG)).isEmpty():  # decoded by Spark's own source
+    archives = [f for f in folders if is_file(spark, f)]
+    folders = [f for f in folders if f not in set(archives)]
+    read = spark.read.format("binaryFile").option("ignoreMissingFiles", True)
+    found = read.load(folders).select(plain, "content") if folders or not archives else None
+    if folders and not named.where(F.col("path").rlike(JPEG)).isEmpty():  # decoded by Spark's own source
         decoded = spark.read.format("image").load(folders).select(F.regexp_replace("image.origin", "^file:/+", "/").alias("path"), im.jpeg_content().alias("content"))
         found = found.where(~F.col("path").rlike(JPEG)).unionByName(decoded.where(F.col("path").rlike(JPEG) & F.col("content").isNotNull()))
+    if archives:
+        packed = im.image_files(spark, archives).select(plain, "content")
+        found = packed if found is None else found.unionByName(packed)
     rows = named.count()
     if rows <= BROADCAST_IMAGES:
         found = found.join(F.broadcast(named.select("path").distinct()), "path", "left_semi")

@@ -22,22 +22,23 @@ def as_csv(df: DataFrame, name: str) -> str:
 
 
 def files(spark, d, encode, name: str) -> str:
-    """A file for each embedding (``encode``: plane of 0 to 1 and its id to bytes), in a folder of its own."""
+    """A file for each embedding (``encode``: plane of 0 to 1 and its id to bytes), in ZIP archives in a folder of their own."""
 
     def run(frames):
-        for frame in frames:
-            rows = [encode((np.asarray(e, dtype="<f4").astype(float).reshape(8, 8) + 0.5).clip(0, 1), i) for i, e in zip(frame["vec_id"], frame["embedding"], strict=True)]
-            yield pd.DataFrame({"image_id": frame["vec_id"], "content": rows})
+        rows = (r for frame in frames for r in zip(frame["vec_id"], frame["embedding"], strict=True))
+        made = ((f"image_id={i or ''}", encode((np.asarray(e, dtype="<f4").astype(float).reshape(8, 8) + 0.5).clip(0, 1), i and int(i))) for i, e in rows)
+        for archive in im.zipped_files(made):
+            yield pd.DataFrame({"content": [archive]})
 
     path = fresh_folder(spark, name)
-    content = table(spark, d, "embeddings").select("vec_id", "embedding").mapInPandas(run, "image_id long, content binary")
+    planes = table(spark, d, "embeddings").select(F.col("vec_id").cast("string").alias("vec_id"), "embedding").repartition(spark.sparkContext.defaultParallelism)
     # the text writer puts down the bytes of a row unchanged, and a line feed
-    content.select("image_id", F.col("content").cast("string").alias("value")).write.partitionBy("image_id").text(path)
+    planes.mapInPandas(run, "content binary").select(F.col("content").cast("string").alias("value")).write.option("maxRecordsPerFile", 1).text(path)
     return path
 
 
 def image_of_path() -> Column:
-    return F.regexp_extract("path", r"image_id=(-?\d+)", 1).cast("long")
+    return F.regexp_extract("path", r"image_id=(-?\d+)$", 1).try_cast("long")
 
 
 @query("""SELECT 'S' || o_orderkey AS image_id, CAST(o_custkey AS VARCHAR) AS biological_unit_id, o_orderstatus AS condition, o_orderpriority AS field_id, 'img/' || o_orderkey || '.png' AS source_file, CASE WHEN o_orderkey % 3 = 0 THEN 'batch_1' ELSE 'b' || o_orderkey % 3 END AS batch_id, 'unspecified_marker' AS marker,
@@ -88,17 +89,40 @@ def source_options(spark, d):
     return spark.createDataFrame([(run, p, str(getattr(o, p))) for run, o, names in named for p in names], "run string, parameter string, value string")
 
 
+#: Pixel rows that a task passes on together, if no single plane has more (fixed value).
+FRAME_PIXELS = 1 << 15
+
+
+def pixel_frames(planes, columns: list[str]):
+    """Frames of pixel rows of ``planes``: (values of ``columns``, height, width, {name: value of each pixel})."""
+    held, n = [], 0
+
+    def frame():
+        sizes = [h * w for _, h, w, _ in held]
+        yx = [np.divmod(np.arange(h * w), w) for _, h, w, _ in held]
+        named = {c: pd.Series([ids[k] for ids, *_ in held]).repeat(sizes).to_numpy() for k, c in enumerate(columns)}
+        return pd.DataFrame({**named, "x": np.concatenate([x for _, x in yx]), "y": np.concatenate([y for y, _ in yx]), **{c: np.concatenate([v[c] for *_, v in held]) for c in held[0][3]}})
+
+    for plane in planes:
+        held.append(plane)
+        n += plane[1] * plane[2]
+        if n >= FRAME_PIXELS:
+            yield frame()
+            held, n = [], 0
+    if held:
+        yield frame()
+
+
 def level_rows(frame: DataFrame, columns: str) -> DataFrame:
     """Pixel rows of planes (``data``, float32 of 0 to 1) as whole levels of 16 bits."""
+    names = columns.split()
 
     def run(frames):
-        for f in frames:
-            for r in f.itertuples(index=False):
-                y, x = np.divmod(np.arange(r.h * r.w), r.w)
-                yield pd.DataFrame({**{c: getattr(r, c) for c in columns.split()}, "x": x, "y": y, "level": np.round(np.frombuffer(r.data, "<f4").astype(float) * 65535).astype("i8")})
+        rows = (r for f in frames for r in f.astype({c: "Int64" for c in names}).itertuples(index=False))
+        return pixel_frames((([getattr(r, c) for c in names], r.h, r.w, {"level": np.round(np.frombuffer(r.data, "<f4").astype(float) * 65535).astype("i8")}) for r in rows), names)
 
-    kinds = ", ".join(f"{c} long" for c in columns.split())
-    return frame.select(*columns.split(), "h", "w", "data").mapInPandas(run, f"{kinds}, x long, y long, level long")
+    kinds = ", ".join(f"{c} long" for c in names)
+    return frame.select(*names, "h", "w", "data").mapInPandas(run, f"{kinds}, x long, y long, level long")
 
 
 def quadrants(plane: np.ndarray) -> list[np.ndarray]:
@@ -108,9 +132,8 @@ def quadrants(plane: np.ndarray) -> list[np.ndarray]:
 @query(f"WITH {PX} SELECT image_id, (x // 4) + 1 AS channel_index, (y // 4) + 1 AS z, x % 4 AS x, y % 4 AS y, CAST(round_even(greatest(0, least(1, v + 0.5)) * 65535, 0) AS BIGINT) AS level FROM px")
 def source_tiff_stack(spark, d):
     """ImageJ stacks of 2 channels and 2 planes, every second one deflated."""
-    path = files(spark, d, lambda p, i: im.write_tiff(quadrants(p), description="ImageJ=1.53\nimages=4\nchannels=2\nslices=2\n", deflate=i % 2 == 1), "tiff")
-    pages = im.read_pages(spark, path)
-    stacks = im.stack_planes(pages, pages.select("path", F.lit(2).alias("n_channels")).distinct())
+    path = files(spark, d, lambda p, i: im.write_tiff(quadrants(p), description="ImageJ=1.53\nimages=4\nchannels=2\nslices=2\n", deflate=i is not None and i % 2 == 1), "tiff")
+    stacks = im.stack_planes(im.read_pages(spark, path), im.image_files(spark, path).select("path", F.lit(2).alias("n_channels")))
     return level_rows(stacks.where("error is null").withColumns({"image_id": image_of_path(), "channel_index": F.col("channel_index").cast("long"), "z": F.col("z").cast("long")}), "image_id channel_index z")
 
 
@@ -118,30 +141,27 @@ def source_tiff_stack(spark, d):
 def source_channel_planes(spark, d):
     """The same stacks by a manifest's files, each channel's planes projected to their maximum."""
     path = files(spark, d, lambda p, i: im.write_tiff(quadrants(p), description="ImageJ=1.53\nimages=4\nchannels=2\nslices=2\n"), "tiff")
-    found = spark.read.format("binaryFile").load(path).select(image_of_path().alias("image_id"), "content")
+    found = im.image_files(spark, path).select(image_of_path().cast("string").alias("image_id"), "content")
 
     def run(frames):
-        for f in frames:
-            for i, content in zip(f["image_id"], f["content"], strict=True):
-                planes, _ = im.channel_planes(content, 2, "max_projection")
-                yield pd.DataFrame({"image_id": i, "channel_index": [1, 2], "h": planes.shape[1], "w": planes.shape[2], "data": [p.astype("<f4").tobytes() for p in planes]})
+        stacks = ((i, im.channel_planes(content, 2, "max_projection")[0]) for f in frames for i, content in zip(f["image_id"], f["content"], strict=True))
+        return im.in_frames(((i, c, *p.shape, p.astype("<f4").tobytes()) for i, planes in stacks for c, p in enumerate(planes, 1)), ["image_id", "channel_index", "h", "w", "data"], "data")
 
-    return level_rows(found.mapInPandas(run, "image_id long, channel_index long, h int, w int, data binary"), "image_id channel_index")
+    planes = found.mapInPandas(run, "image_id string, channel_index long, h int, w int, data binary")
+    return level_rows(planes.withColumn("image_id", F.col("image_id").cast("long")), "image_id channel_index")
 
 
 @query(f"WITH {PX}, c AS (SELECT image_id, x % 4 AS x, y % 4 AS y, 2 * (y // 4) + x // 4 AS q, CAST(round_even(greatest(0, least(1, v + 0.5)) * 255, 0) AS BIGINT) AS l FROM px) SELECT 'P' || image_id AS image_id, x, y, max(l) FILTER (q = 0) AS r, max(l) FILTER (q = 1) AS g, max(l) FILTER (q = 2) AS b FROM c GROUP BY 1, 2, 3")
 def source_png(spark, d):
     """Colour files that a manifest names."""
     path = files(spark, d, lambda p, i: im.write_png(np.stack(quadrants(p)[:3], axis=-1)), "png")
-    names = spark.read.format("binaryFile").load(path).select(F.concat(F.lit("P"), image_of_path()).alias("image_id"), F.regexp_extract("path", r"(image_id=.*)$", 1).alias("source_file"))
-    found = runs.files_of(spark, names, path)
+    names = im.image_files(spark, path).select(F.concat(F.lit("P"), image_of_path()).alias("image_id"), F.regexp_extract("path", r"([^/]+/[^/]+)$", 1).alias("source_file"))
+    manifest = spark.read.schema("image_id string, source_file string").option("header", True).csv(as_csv(names, "png-manifest"))
+    found = runs.files_of(spark, manifest, path)
 
     def run(frames):
-        y, x = np.divmod(np.arange(16), 4)
-        for f in frames:
-            for i, content in zip(f["image_id"], f["content"], strict=True):
-                level = np.round(im.rgb_image(content) * 255).astype("i8").reshape(16, 3)
-                yield pd.DataFrame({"image_id": i, "x": x, "y": y, "r": level[:, 0], "g": level[:, 1], "b": level[:, 2]})
+        images = ((i, np.round(im.rgb_image(content) * 255).astype("i8")) for f in frames for i, content in zip(f["image_id"], f["content"], strict=True))
+        return pixel_frames((([i], *a.shape[:2], {c: a[..., k].ravel() for k, c in enumerate("rgb")}) for i, a in images), ["image_id"])
 
     return found.select("image_id", "content").mapInPandas(run, "image_id string, x long, y long, r long, g long, b long")
 
@@ -150,13 +170,10 @@ def source_png(spark, d):
 def source_external_mask(spark, d):
     """Masks as files, read as labels of their regions."""
     path = files(spark, d, lambda p, i: im.write_png((p >= 0.5).astype(float)), "mask")
-    found = spark.read.format("binaryFile").load(path).select(image_of_path().alias("image_id"), "content")
+    found = im.image_files(spark, path).select(image_of_path().cast("string").alias("image_id"), "content")
 
     def run(frames):
-        y, x = np.divmod(np.arange(64), 8)
-        for f in frames:
-            for i, content in zip(f["image_id"], f["content"], strict=True):
-                labels = segment.external_mask(im.first_image(content)[..., 0], (8, 8))
-                yield pd.DataFrame({"image_id": i, "x": x, "y": y, "inside": labels.ravel() > 0})
+        masks = ((i, segment.external_mask(im.first_image(content)[..., 0], (8, 8)) > 0) for f in frames for i, content in zip(f["image_id"], f["content"], strict=True))
+        return pixel_frames((([i], *m.shape, {"inside": m.ravel()}) for i, m in masks), ["image_id"])
 
-    return found.mapInPandas(run, "image_id long, x long, y long, inside boolean")
+    return found.mapInPandas(run, "image_id string, x long, y long, inside boolean").withColumn("image_id", F.col("image_id").cast("long"))

@@ -153,3 +153,46 @@ def test_stack_that_does_not_divide_gives_an_error_row(spark):
     got = sorted((r.path, r.error, r.data is None) for r in images.stack_planes(pages, channels).collect())
     assert [g[0] for g in got] == ["a"] * 4 + ["b", "c"] and all(g[1] is None and not g[2] for g in got[:4])
     assert "3 pages" in got[4][1] and got[4][2] and got[5][1:] == ("ValueError: no image", True)
+
+
+def test_files_of_archives(spark, tmp_path):
+    stack = images.write_tiff([np.full((2, 3), 0.5)] * 2, 16)
+    packed = list(images.zipped_files([("a.tif", stack), ("a.tif", stack), ("b.png", images.write_png(np.zeros((2, 3, 3)))), ("c.tif", b"nothing")]))
+    assert len(packed) == 1
+    put(tmp_path / "part.txt", packed[0] + b"\n")  # as Spark's text writer leaves it
+    put(tmp_path / "broken.zip", packed[0][:40])
+    put(tmp_path / "alone.tif", stack)
+    found = {r.path.removeprefix(f"file:{tmp_path}/"): r.content for r in images.image_files(spark, str(tmp_path)).collect()}
+    assert set(found) == {"part.txt/0-a.tif", "part.txt/1-a.tif", "part.txt/2-b.png", "part.txt/3-c.tif", "broken.zip", "alone.tif"} and found["part.txt/1-a.tif"] == stack
+    pages = {(r.path.removeprefix(f"file:{tmp_path}/"), r.page): r.error for r in images.read_pages(spark, str(tmp_path)).collect()}
+    assert {k for k, error in pages.items() if error is None} == {(f, p) for f in ("part.txt/0-a.tif", "part.txt/1-a.tif", "alone.tif") for p in (1, 2)} | {("part.txt/2-b.png", 1)}
+    assert {k for k, error in pages.items() if error} == {("part.txt/3-c.tif", 0), ("broken.zip", 0)}
+
+
+def test_a_file_of_an_archive_that_is_damaged_is_empty():
+    b = bytearray(images.zipped([("a", b"first"), ("b", b"second")]))
+    b[b.index(b"first")] ^= 1
+    assert list(images.members("z", bytes(b))) == [("z/a", b""), ("z/b", b"second")]
+
+
+def test_manifest_of_files_in_archives(spark, tmp_path):
+    from tessella.plans import runs
+
+    put(tmp_path / "tiles.zip", images.zipped([("a.png", b"A"), ("in/b.png", b"B"), ("c.png", b"C")]))
+    put(tmp_path / "d.png", b"D")
+    manifest = spark.createDataFrame([(1, "tiles.zip/a.png"), (2, "tiles.zip/lost.png"), (3, "d.png"), (4, "tiles.zip/c.png")], "image_id int, source_file string")
+    for rows, base, want in ((manifest, f"{tmp_path}", {1: b"A", 2: None, 3: b"D", 4: b"C"}), (manifest.where("image_id <> 3"), f"file://{tmp_path}", {1: b"A", 2: None, 4: b"C"})):
+        assert {r.image_id: r.content for r in runs.files_of(spark, rows, base).collect()} == want
+
+
+def test_sources_write_few_files(spark, tmp_path):
+    """A file of its own for each embedding took seconds by the number of embeddings; ids may be missing or occur twice."""
+    from tessella.plans import source_queries as sq
+
+    n = len(list(spark.read.format("binaryFile").load(sq.files(spark, "/root/testdata/sf0.001", lambda p, i: images.write_png(p), "few")).select("path").collect()))
+    assert 0 < n <= spark.sparkContext.defaultParallelism
+    plane = [0.25] * 64
+    spark.createDataFrame([(7, plane), (7, plane), (None, plane)], "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    for query, rows in (("source_tiff_stack", 64), ("source_channel_planes", 32), ("source_external_mask", 64)):
+        got = [r.image_id for r in getattr(sq, query)(spark, str(tmp_path)).collect()]
+        assert (got.count(7), got.count(None)) == (2 * rows, rows)
