@@ -7,6 +7,8 @@ biological unit.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,8 +38,15 @@ def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.withColumns({"tissue": F.expr(TISSUE), "nuc_label": F.expr(NUC), "cell_label": F.expr(CELL)})
 
 
+#: Line items of a task that sorts them by region; more have more tasks.
+TASK_LINES = 1 << 19
+
+
 def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+    """Region rows. Lines and orders are dealt by order once, to so many tasks that a task's sorts don't grow with the table."""
+    lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(lines.count() / TASK_LINES))  # counted from the files' footers
+    lines = lines.repartition(tasks, "l_orderkey").join(orders.repartition(tasks, "o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"))
     part = F.when(F.col("l_returnflag") == "A", "tumor").when(F.col("l_returnflag") == "R", "stroma").otherwise("global")
     return (
         lines.groupBy(F.col("l_orderkey").alias("image_id"), F.col("l_returnflag").alias("roi_id"), F.col("l_linestatus").alias("condition"))

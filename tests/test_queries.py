@@ -35,3 +35,14 @@ def test_signflip_takes_every_unit(spark, con):
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.count() == 10 and "h_score" not in df.columns and "tissue_area_px" in df.columns
+
+
+def test_regions_have_tasks_by_lines(spark, con, monkeypatch):
+    """With a fixed number of tasks a task's sorts grew with the lines."""
+    from tessella.plans import stand_ins
+
+    monkeypatch.setattr(stand_ins, "TASK_LINES", 500, raising=False)
+    lines = con.execute("SELECT count(*) FROM lineitem").fetchone()[0]
+    assert lines > 500 * 4 and stand_ins.regions(spark, SF).rdd.getNumPartitions() == -(-lines // 500)
+    for name in ("primary_long", "exact_signflip"):
+        assert oracle.differences(spark, con, entry.plans.QUERIES[name], SQL[name], SF) == ""
