@@ -6,13 +6,12 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tessella.functions import kernels as k
 from tessella.operators import geometry, provenance, segment
 from tessella.plans.queries import query, rounded
-from tessella.plans.stand_ins import PX, table
+from tessella.plans.stand_ins import PX, line_tasks, table
 
 CUT = 0.05
 MASK_SQL = f"{PX}, mk AS (SELECT image_id, x, y, v, v >= {CUT} AS m FROM px), o AS (SELECT dx, dy FROM range(-1, 2) a(dx), range(-1, 2) b(dy) WHERE dx * dx + dy * dy <= 1), o8 AS (SELECT dx, dy FROM range(-1, 2) a(dx), range(-1, 2) b(dy))"
@@ -81,9 +80,9 @@ NUCLEI_SQL = "nu AS (SELECT l_orderkey // 8 AS image_id, row_number() OVER (PART
 @query(f"WITH {NUCLEI_SQL}, g AS (SELECT a.image_id, min(sqrt((a.cx - b.cx) ** 2 + (a.cy - b.cy) ** 2) - a.r - b.r) AS smallest_gap FROM nu a JOIN nu b ON a.image_id = b.image_id AND a.id < b.id GROUP BY 1) SELECT image_id, count(*) AS n_nuclei, round(first(smallest_gap), 6) AS smallest_gap FROM nu LEFT JOIN g USING (image_id) GROUP BY 1")
 def smallest_gap(spark, d):
     image = F.floor(F.col("l_orderkey") / 8)
-    order = Window.partitionBy(image).orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
-    nuclei = table(spark, d, "lineitem").select(image.alias("image_id"), F.row_number().over(order).alias("nucleus_id"), (F.col("l_partkey") % 997).cast("double").alias("cx"), (F.col("l_extendedprice") % 991).alias("cy"), (F.sqrt("l_quantity") / 2).alias("radius"))
-    return rounded(geometry.smallest_gap(nuclei))
+    lines = table(spark, d, "lineitem")
+    nuclei = lines.select(image.alias("image_id"), (F.col("l_partkey") % 997).cast("double").alias("cx"), (F.col("l_extendedprice") % 991).alias("cy"), (F.sqrt("l_quantity") / 2).alias("radius"))
+    return rounded(geometry.smallest_gap(nuclei, line_tasks(spark, lines)))
 
 
 @query("""WITH l AS (SELECT source || '/' || doc_id || '.txt' AS path, sha256(coalesce(text, '')) AS d FROM documents WHERE doc_id % 13 <> 0), f AS (SELECT source || '/' || doc_id || '.txt' AS path, sha256(replace(coalesce(text, ''), chr(13) || chr(10), chr(10)) || CASE WHEN doc_id % 7 = 0 THEN '!' ELSE '' END) AS d FROM documents WHERE doc_id % 11 <> 0)

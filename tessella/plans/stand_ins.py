@@ -38,7 +38,7 @@ def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.withColumns({"tissue": F.expr(TISSUE), "nuc_label": F.expr(NUC), "cell_label": F.expr(CELL)})
 
 
-#: Line items of a task that sorts them by region; more have more tasks.
+#: Line items of a task that sorts them by region or image; more have more tasks.
 TASK_LINES = 1 << 19
 #: To more tasks than this Spark's shuffle sorts what it writes in memory (fixed value: the default of spark.shuffle.sort.bypassMergeThreshold).
 UNSORTED_TASKS = 200
@@ -46,11 +46,16 @@ UNSORTED_TASKS = 200
 MOST_TASK_LINES = 1 << 22
 
 
+def line_tasks(spark: SparkSession, lines: DataFrame) -> int:
+    """So many tasks that a task's sorts of line items don't grow with the table."""
+    n = lines.count()  # from the files' footers
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(math.ceil(n / TASK_LINES), UNSORTED_TASKS), math.ceil(n / MOST_TASK_LINES))
+
+
 def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Region rows. Lines and orders are dealt by order once, to so many tasks that a task's sorts don't grow with the table."""
     lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    n = lines.count()  # from the files' footers
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(math.ceil(n / TASK_LINES), UNSORTED_TASKS), math.ceil(n / MOST_TASK_LINES))
+    tasks = line_tasks(spark, lines)
     lines = lines.repartition(tasks, "l_orderkey").join(orders.repartition(tasks, "o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"))
     part = F.when(F.col("l_returnflag") == "A", "tumor").when(F.col("l_returnflag") == "R", "stroma").otherwise("global")
     return (

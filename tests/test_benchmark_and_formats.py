@@ -120,6 +120,45 @@ def test_smallest_gap_however_far(spark):
     assert got[3].smallest_gap is None and got[3].n_nuclei == 1
 
 
+def plain_gap(mine):
+    """The smallest gap of all pairs of (x, y, radius) by SQL's rules: nulls don't count, NaN is the greatest."""
+    known, gaps = [m for m in mine if None not in m], []
+    with np.errstate(all="ignore"):
+        for i, a in enumerate(known):
+            gaps += [float(np.sqrt((np.float64(a[0]) - b[0]) ** 2 + (np.float64(a[1]) - b[1]) ** 2) - a[2] - b[2]) for b in known[:i]]
+    return min(gaps, key=lambda g: (np.isnan(g), g), default=None)
+
+
+def test_smallest_gap_of_odd_nuclei(spark):
+    nan, inf = float("nan"), float("inf")
+    images = [
+        [(0.0, 0.0, 1.0), (None, 5.0, 1.0), (10.0, 10.0, 1.0)],
+        [(0.0, 0.0, 1.0), (5.0, 5.0, None), (10.0, 10.0, 1.0)],
+        [(0.0, 0.0, 1.0), (5.0, None, 2.0), (6.0, 6.0, nan), (nan, 4.0, 1.0), (10.0, 10.0, 1.0)],
+        [(0.0, 0.0, 1.0), (nan, 5.0, 1.0)],
+        [(0.0, 0.0, 1.0), (None, 5.0, 1.0)],
+        [(nan, nan, nan), (None, None, None)],
+        [(0.0, 0.0, 1.0), (inf, 3.0, 1.0), (4.0, -inf, 1.0)],
+        [(0.0, 0.0, 1.0), (inf, 3.0, 1.0), (30.0, 40.0, 1.0), (5.0, 5.0, inf)],
+        [(7.0, 7.0, float(r)) for r in range(40)] + [(7.0, 8.0, 0.5), (60.0, 7.0, 0.0)],
+        [(float(x), float(y), 0.0) for x in range(12) for y in range(12)],
+        [(0.0, 0.0, 5.0), (0.0, -0.0, 7.0), (-0.0, 0.0, 6.0), (3.0, 0.0, 0.0)],
+        [(1e9 + 0.25 * i * i, -1e9 - i, 0.01) for i in range(30)],
+    ]
+    rng = np.random.default_rng(5)
+    for n in range(2, 120):
+        span, most = (float(rng.choice(v)) for v in ([1, 30, 1000], [0.1, 3, 40]))
+        xyr = np.column_stack([rng.uniform(-span, span, (n, 2)), rng.exponential(most, n)])
+        images.append([tuple(map(float, row)) for row in (np.round(xyr) if n % 3 == 0 else xyr)])
+    rows = [(i, j, *n) for i, image in enumerate(images) for j, n in enumerate(image)] + [(None, 0, 0.0, 0.0, 1.0), (None, 1, 9.0, 0.0, 1.0)]
+    nuclei = spark.createDataFrame(rows, "image_id int, nucleus_id int, cx double, cy double, radius double")
+    got = {r.image_id: r for r in geometry.smallest_gap(nuclei, 3).collect()}
+    assert len(got) == len(images) + 1 and got[None].n_nuclei == 2 and got[None].smallest_gap is None
+    for i, image in enumerate(images):
+        want = plain_gap(image)
+        assert got[i].n_nuclei == len(image) and (got[i].smallest_gap is None if want is None else got[i].smallest_gap == pytest.approx(want, nan_ok=True)), i
+
+
 # formats
 
 

@@ -46,3 +46,15 @@ def test_regions_have_tasks_by_lines(spark, con, monkeypatch):
     assert lines > 500 * 4 and stand_ins.regions(spark, SF).rdd.getNumPartitions() == -(-lines // 500)
     for name in ("primary_long", "exact_signflip"):
         assert oracle.differences(spark, con, entry.plans.QUERIES[name], SQL[name], SF) == ""
+
+
+def test_smallest_gap_shuffles_once(spark, con, monkeypatch):
+    """A nucleus was shuffled to nine buckets, so that the disk ran out."""
+    from tessella.plans import stand_ins
+
+    monkeypatch.setattr(stand_ins, "TASK_LINES", 500)
+    found, lines = entry.plans.QUERIES["smallest_gap"](spark, SF), con.execute("SELECT count(*) FROM lineitem").fetchone()[0]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "Join" not in plan
+    assert lines > 500 * 4 and found.rdd.getNumPartitions() == -(-lines // 500)
+    assert oracle.differences(spark, con, entry.plans.QUERIES["smallest_gap"], SQL["smallest_gap"], SF) == ""
